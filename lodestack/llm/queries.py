@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestack.llm import packing, token_store
+from lodestack.llm import exact_dedup, packing, simhash, token_store
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,12 +17,22 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, documents(spark, sf_dir))
 
 
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedup(spark, documents(spark, sf_dir)).drop("file", "row")
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.op8(spark, documents(spark, sf_dir))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(spark, documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_exact_dedup": op3_exact_dedup,
     "op8_token_store": op8_token_store,
+    "op10_simhash": op10_simhash,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_exact_dedup": exact_dedup.SQL}

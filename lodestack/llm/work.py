@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,3 +54,19 @@ def join_by_key(left: DataFrame, right: DataFrame, key: str, n: str, total: int)
     in_hot = left.join(F.broadcast(hot), key)
     in_cold = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold.hint("shuffle_hash"), key)
     return in_hot.unionByName(in_cold.select(in_hot.columns))
+
+
+def located(docs: DataFrame, *columns: str) -> DataFrame:
+    """The columns, and where each row stands: file, row (unique even for repeated rows).
+
+    Input that isn't read straight from Parquet files is written to the shared folder first.
+    """
+    def places(df: DataFrame) -> DataFrame:
+        return df.select(*columns, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+
+    try:
+        out = places(docs)
+        out.schema  # noqa: B018  resolves the hidden column
+        return out
+    except AnalysisException:
+        return places(materialise(docs.select(*columns), "located"))
