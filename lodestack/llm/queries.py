@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestack.llm import exact_dedup, packing, simhash, token_store
+from lodestack.llm import exact_dedup, language_id, packing, simhash, token_store
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(spark, documents(spark, sf_dir))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, documents(spark, sf_dir))
 
@@ -30,6 +34,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_exact_dedup": op3_exact_dedup,
     "op8_token_store": op8_token_store,

@@ -9,18 +9,26 @@ with a special token's string go through the library as a whole. The result is t
 from __future__ import annotations
 
 import os
-import re
+from itertools import islice
 
 import numpy as np
 
-ODD = re.compile(r" \s|\s |\s\Z")
 JOINED = 1000  # chunks a call of the library
 
 
+class Known(dict):
+    """Chunks that are kept; others are looked up in extra."""
+
+    extra: dict[str, bytes]
+
+    def __missing__(self, chunk: str) -> bytes:
+        return self.extra[chunk]
+
+
 class ChunkEncoder:
     """Bounded by cache_limit entries; once full, further chunks are encoded without being kept."""
 
-    def __init__(self, path: str, cache_limit: int = 400_000):
+    def __init__(self, path: str, cache_limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -30,7 +38,7 @@ class ChunkEncoder:
         self.leads = np.zeros(max(vocabulary.values()) + 1, bool)  # ids whose text begins with a space
         for token, i in vocabulary.items():
             self.leads[i] = token.startswith("Ġ")
-        self.cache: dict[str, bytes] = {}
+        self.cache = Known()
         self.first: dict[str, bytes] = {"": b""}
         self.limit = cache_limit
 
@@ -53,30 +61,31 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        plain, whole = [], []
-        for i, t in enumerate(texts):
-            (whole if ODD.search(t) or any(s in t for s in self.specials) else plain).append(i)
+        split = [t.split(" ") for t in texts]
+        whole = {i for i, t in enumerate(texts) if any(s in t for s in self.specials)}
+        heads = {s[0] for s in split}.difference(self.first)
+        need = set().union(*(s[1:] for s in split))
+        need.difference_update(self.cache)
+        # next to a space, or at an end, white space makes runs that cross chunks
+        odd = {c for c in need if not c or c[0].isspace() or c[-1].isspace()} | {c for c in heads if c and c[-1].isspace()}
+        if odd:
+            whole |= {i for i, s in enumerate(split) if not odd.isdisjoint(s)}
+            need -= odd
+            heads -= odd
         for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
             out[i] = ids
-        split = [texts[i].split(" ") for i in plain]
-        need = set().union(*split).difference(self.cache)
         found = self._chunks(list(need)) if need else {}
-        room = self.limit - len(self.cache)
-        if room >= len(found):
-            self.cache.update(found)
-            get = self.cache.__getitem__
-        else:
-            for k in list(found)[: max(0, room)]:
-                self.cache[k] = found[k]
-            kept, extra = self.cache.get, found.__getitem__
-            get = lambda c: kept(c) or extra(c)
-        heads = [c for c in {s[0] for s in split} if c not in self.first]
-        head = dict(zip(heads, self._whole(heads)))
+        room = max(0, self.limit - len(self.cache))
+        self.cache.update(found if room >= len(found) else islice(found.items(), room))
+        self.cache.extra = found
+        head = dict(zip(heads, self._whole(list(heads))))
         if len(self.first) < self.limit // 8:
             self.first.update(head)
-        for i, s in zip(plain, split):
-            a = self.first.get(s[0])
-            out[i] = (head[s[0]] if a is None else a) + b"".join(map(get, s[1:]))
+        get = self.cache.__getitem__
+        for i, s in enumerate(split):
+            if i not in whole:
+                a = self.first.get(s[0])
+                out[i] = (head[s[0]] if a is None else a) + b"".join(map(get, s[1:]))
         return out
 
 
