@@ -29,6 +29,8 @@ LETTER = re.compile(r"[^\W\d_]")
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double, bits_per_byte double"
 #: Bytes scored at once, and bytes a lane.
 WINDOW, LANE = 1 << 20, 256
+#: Bytes of a text that are judged together.
+SEGMENT = 128
 
 
 @dataclass
@@ -39,32 +41,40 @@ class Model:
     step: np.ndarray  # state * classes + class -> state
     cost: np.ndarray  # state * classes + class -> bits for each language
 
-    def code_lengths(self, texts: list[bytes]) -> np.ndarray:
-        """Bits of each text under each language."""
-        ends = np.cumsum([len(t) + 1 for t in texts])
-        starts = np.concatenate([[0], ends[:-1]])
+    def code_lengths(self, texts: list[bytes], segment: int = SEGMENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each segment of each text: bits under each language, the text's number, bytes.
+
+        Segments follow one another within a text; the context runs on across them, so a text's
+        code length is the sum of its segments'.
+        """
+        size = np.array([len(t) for t in texts])
+        parts = np.maximum(1, -(-size // segment))
+        text = np.repeat(np.arange(len(texts)), parts)
+        k = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
+        begins = np.cumsum(size + 1) - size - 1
+        starts = begins[text] + k * segment
+        end = int(size.sum()) + len(texts)
         data = np.concatenate([np.zeros(self.order + 1, np.uint8), self.classes[np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)]])
-        begin = self.order + 1
-        data[begin + ends - 1] = 0  # between documents, whatever byte stood there
-        total = np.zeros((len(texts), len(self.languages)))
+        origin = self.order + 1
+        data[origin + begins + size] = 0  # after each text, whatever class that byte has
+        total = np.zeros((len(text), len(self.languages)))
         width = int(self.classes.max()) + 1
-        for low in range(0, int(ends[-1]), WINDOW):
-            n = min(WINDOW, int(ends[-1]) - low)
+        for low in range(0, end, WINDOW):
+            n = min(WINDOW, end - low)
             lanes = -(-n // LANE)
-            at = begin + low + np.arange(lanes) * LANE
+            at = origin + low + np.arange(lanes) * LANE
             state = np.zeros(lanes, np.int32)
             index = np.zeros((LANE, lanes), np.int32)
-            for k in range(-self.order, LANE):
-                here = state * width + data[np.minimum(at + k, len(data) - 1)]
-                if k >= 0:
-                    index[k] = here
+            for i in range(-self.order, LANE):
+                here = state * width + data[np.minimum(at + i, len(data) - 1)]
+                if i >= 0:
+                    index[i] = here
                 state = self.step[here]
             costs = self.cost[index.T.reshape(-1)[:n]]
-            first = int(np.searchsorted(ends, low, "right"))
+            first = int(np.searchsorted(starts, low, "right")) - 1
             last = int(np.searchsorted(starts, low + n, "left"))
-            cuts = np.maximum(starts[first:last] - low, 0)
-            total[first:last] += np.add.reduceat(costs, cuts, axis=0, dtype=np.float64)
-        return total
+            total[first:last] += np.add.reduceat(costs, np.maximum(starts[first:last] - low, 0), axis=0, dtype=np.float64)
+        return total, text, np.minimum(segment, size[text] - k * segment)
 
 
 def train(samples: dict[str, list[bytes]], order: int = 4, states: int = 6000) -> Model:
@@ -154,9 +164,11 @@ def identify(spark: SparkSession, docs: DataFrame, order: int = 4, states: int =
     """Per document: doc_id, held_out, lang_pred, score, bits_per_byte.
 
     Only text decides a prediction. `und`, with score 0, if text is null or has no letter, or
-    if nothing could be learned. score is the posterior of the best language at equal priors, from the exact code
-    lengths of the whole text; ties go to the first language by name. Repeated rows are
-    predicted each, an empty table gives no rows, other columns are ignored.
+    if nothing could be learned. score is the share of the whole text's bytes that is in the
+    predicted language, each segment's posterior at equal priors coming from its exact code
+    lengths; so a passage in another language, however badly it codes, counts by its size. Ties
+    go to the first language by name. bits_per_byte is the least code length of the whole text.
+    Repeated rows are predicted each, an empty table gives no rows, other columns are ignored.
     """
     learned = sample(docs, texts, longest, bytes_each)
     model = spark.sparkContext.broadcast(train(learned, order, states) if learned else None)
@@ -169,12 +181,14 @@ def identify(spark: SparkSession, docs: DataFrame, order: int = 4, states: int =
             names, scores, bits = [UND] * len(texts), [0.0] * len(texts), [None] * len(texts)
             if known:
                 raw = [texts[i].encode("utf-8", "surrogatepass") for i in known]
-                length = m.code_lengths(raw)
-                best = length.argmin(1)
-                least = length[np.arange(len(raw)), best]
-                sure = 1 / np.exp2(np.maximum(least[:, None] - length, -1000)).sum(1)
-                for i, k, s, n, b in zip(known, best.tolist(), sure.tolist(), least.tolist(), raw):
-                    names[i], scores[i], bits[i] = m.languages[k], s, n / len(b)
+                length, text, size = m.code_lengths(raw)
+                likely = np.exp2(length.min(1, keepdims=True) - length)
+                likely *= (size / likely.sum(1))[:, None]
+                heads = np.flatnonzero(np.diff(text, prepend=-1))
+                share = np.add.reduceat(likely, heads) / np.add.reduceat(size, heads)[:, None]
+                least = np.add.reduceat(length, heads).min(1)
+                for i, k, s, n, b in zip(known, share.argmax(1).tolist(), share.max(1).tolist(), least.tolist(), raw):
+                    names[i], scores[i], bits[i] = m.languages[k], min(1.0, s), n / len(b)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names), pa.array(scores, pa.float64()), pa.array(bits, pa.float64())], ["doc_id", "held_out", "lang_pred", "score", "bits_per_byte"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestack.llm import exact_dedup, language_id, packing, simhash, token_store
+from lodestack.llm import exact_dedup, language_id, packing, quality, sharding, simhash, token_store
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,10 +25,18 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(spark, documents(spark, sf_dir)).drop("file", "row")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.op8(spark, documents(spark, sf_dir))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(spark, documents(spark, sf_dir))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(spark, documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
@@ -37,7 +45,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_token_store": op8_token_store,
+    "op9_sharding": op9_sharding,
     "op10_simhash": op10_simhash,
 }
 ORACLES: dict[str, str] = {"op3_exact_dedup": exact_dedup.SQL}
