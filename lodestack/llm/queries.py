@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestack.llm import exact_dedup, language_id, packing, quality, sharding, simhash, token_store
+from lodestack.llm import exact_dedup, language_id, media_webp, packing, quality, sharding, simhash, token_store
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(spark, documents(spark, sf_dir)).drop("file", "row")
 
 
+def op4_media_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_webp.media_columns(spark, documents(spark, sf_dir))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_media_webp": op4_media_webp,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_token_store": op8_token_store,
     "op9_sharding": op9_sharding,
