@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestack.llm import exact_dedup, language_id, media_webp, packing, quality, sentencepiece_codec, sharding, simhash, token_store
+from lodestack.llm import exact_dedup, html_text, language_id, media_webp, packing, quality, sentencepiece_codec, sharding, simhash, token_store
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op4_media_webp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_webp.media_columns(spark, documents(spark, sf_dir))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip(spark, documents(spark, sf_dir))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_media_webp": op4_media_webp,
+    "op5_html_text": op5_html_text,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_token_store": op8_token_store,
