@@ -160,6 +160,24 @@ def sample(docs: DataFrame, texts: int, longest: int, bytes_each: int) -> dict[s
     return out
 
 
+def predict(model: Model | None, texts: list[str | None]) -> tuple[list[str], list[float], list[float | None]]:
+    """Of each text: language, score, bits a byte."""
+    texts = [t or "" for t in texts]
+    known = [i for i, t in enumerate(texts) if model and LETTER.search(t)]
+    names, scores, bits = [UND] * len(texts), [0.0] * len(texts), [None] * len(texts)
+    if known:
+        raw = [texts[i].encode("utf-8", "surrogatepass") for i in known]
+        length, text, size = model.code_lengths(raw)
+        likely = np.exp2(length.min(1, keepdims=True) - length)
+        likely *= (size / likely.sum(1))[:, None]
+        heads = np.flatnonzero(np.diff(text, prepend=-1))
+        share = np.add.reduceat(likely, heads) / np.add.reduceat(size, heads)[:, None]
+        least = np.add.reduceat(length, heads).min(1)
+        for i, k, s, n, b in zip(known, share.argmax(1).tolist(), share.max(1).tolist(), least.tolist(), raw):
+            names[i], scores[i], bits[i] = model.languages[k], min(1.0, s), n / len(b)
+    return names, scores, bits
+
+
 def identify(spark: SparkSession, docs: DataFrame, order: int = 4, states: int = 6000, texts: int = 400, longest: int = 20_000, bytes_each: int = 300_000) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score, bits_per_byte.
 
@@ -174,22 +192,31 @@ def identify(spark: SparkSession, docs: DataFrame, order: int = 4, states: int =
     model = spark.sparkContext.broadcast(train(learned, order, states) if learned else None)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model | None = model.value
         for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            known = [i for i, t in enumerate(texts) if m and LETTER.search(t)]
-            names, scores, bits = [UND] * len(texts), [0.0] * len(texts), [None] * len(texts)
-            if known:
-                raw = [texts[i].encode("utf-8", "surrogatepass") for i in known]
-                length, text, size = m.code_lengths(raw)
-                likely = np.exp2(length.min(1, keepdims=True) - length)
-                likely *= (size / likely.sum(1))[:, None]
-                heads = np.flatnonzero(np.diff(text, prepend=-1))
-                share = np.add.reduceat(likely, heads) / np.add.reduceat(size, heads)[:, None]
-                least = np.add.reduceat(length, heads).min(1)
-                for i, k, s, n, b in zip(known, share.argmax(1).tolist(), share.max(1).tolist(), least.tolist(), raw):
-                    names[i], scores[i], bits[i] = m.languages[k], min(1.0, s), n / len(b)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names), pa.array(scores, pa.float64()), pa.array(bits, pa.float64())], ["doc_id", "held_out", "lang_pred", "score", "bits_per_byte"])
+            names, scores, bits = predict(model.value, batch.column(2).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(bits, pa.float64())], ["doc_id", "held_out", "lang_pred", "score", "bits_per_byte"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
     return rows.mapInArrow(score, RESULT)
+
+
+def keep_known(spark: SparkSession, docs: DataFrame, least: float = 0.4, order: int = 4, states: int = 6000, texts: int = 400, longest: int = 20_000, bytes_each: int = 300_000) -> DataFrame:
+    """The rows of docs, with all their columns, of a known language.
+
+    A row goes if its language is `und` or its score is below least: most of it is in no one
+    language. If nothing could be learned (no row has a language tag), only rows without a letter go.
+    """
+    learned = sample(docs, texts, longest, bytes_each)
+    model = spark.sparkContext.broadcast(train(learned, order, states) if learned else None)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            if model.value is None:
+                keep = [bool(LETTER.search(t or "")) for t in found]
+            else:
+                names, scores, _ = predict(model.value, found)
+                keep = [n != UND and s >= least for n, s in zip(names, scores)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

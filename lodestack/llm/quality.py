@@ -192,9 +192,9 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, most_labelled:
 def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **bounds: int) -> DataFrame:
     """Per document: doc_id, quality (probability), text_score, meta_score, kept.
 
-    Whole texts are read. Null text and null metadata are values of their own; repeated rows are scored each; an
-    empty table gives no rows; other columns are ignored. Without labels of both kinds nothing
-    can be judged: all scores are null and every document is kept.
+    Whole texts are read. Null text and null metadata are values of their own; repeated rows are
+    scored each; an empty table gives no rows; other columns are ignored. Without labels of both
+    kinds nothing can be judged: all scores are null and every document is kept.
     """
     model = spark.sparkContext.broadcast(fit(spark, docs, labels, **bounds))
 
@@ -202,9 +202,23 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: fl
         for batch in batches:
             if model.value is None:
                 none = pa.nulls(batch.num_rows, pa.float64())
-                yield pa.RecordBatch.from_arrays([batch.column(0), none, none, none, pa.array([True] * batch.num_rows)], ["doc_id", "quality", "text_score", "meta_score", "kept"])
+                scores = [none, none, none, pa.array([True] * batch.num_rows, pa.bool_())]
             else:
                 s = model.value.scores(*_views(batch, COLUMNS))
-                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x.astype(np.float64)) for x in s), pa.array(s[0] >= threshold)], ["doc_id", "quality", "text_score", "meta_score", "kept"])
+                scores = [*(pa.array(x.astype(np.float64)) for x in s), pa.array(s[0] >= threshold)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *scores], ["doc_id", "quality", "text_score", "meta_score", "kept"])
 
     return _rows(docs).mapInArrow(run, RESULT)
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **bounds: int) -> DataFrame:
+    """The rows of docs, with all their columns, that score keeps. No join: rows are judged as they pass."""
+    model = spark.sparkContext.broadcast(fit(spark, docs, labels, **bounds))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if model.value is not None and batch.num_rows:
+                batch = batch.filter(pa.array(model.value.scores(*_views(batch, COLUMNS))[0] >= threshold))
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)

@@ -56,17 +56,24 @@ def join_by_key(left: DataFrame, right: DataFrame, key: str, n: str, total: int)
     return in_hot.unionByName(in_cold.select(in_hot.columns))
 
 
+def in_files(docs: DataFrame) -> DataFrame:
+    """docs, or where it isn't read straight from Parquet files, docs written to the shared folder."""
+    try:
+        docs.select("_metadata.file_path", "_metadata.row_index").schema  # noqa: B018  resolves them
+        return docs
+    except AnalysisException:
+        return materialise(docs, "rows")
+
+
 def located(docs: DataFrame, *columns: str) -> DataFrame:
-    """The columns, and where each row stands: file, row (unique even for repeated rows).
+    """The columns, and where each row stands: file, row (unique even for repeated rows)."""
+    place = F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    return in_files(docs).select(*columns, *place)
 
-    Input that isn't read straight from Parquet files is written to the shared folder first.
-    """
-    def places(df: DataFrame) -> DataFrame:
-        return df.select(*columns, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
 
-    try:
-        out = places(docs)
-        out.schema  # noqa: B018  resolves the hidden column
-        return out
-    except AnalysisException:
-        return places(materialise(docs.select(*columns), "located"))
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """docs (see in_files) without the rows that dropped names by file and row; all columns."""
+    names = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    rows = docs.select(*names, F.col("_metadata.file_path").alias("_at_file"), F.col("_metadata.row_index").alias("_at_row"))
+    gone = dropped.select(F.col("file").alias("_at_file"), F.col("row").alias("_at_row"))
+    return rows.join(gone.hint("shuffle_hash"), ["_at_file", "_at_row"], "left_anti").select(*names)
