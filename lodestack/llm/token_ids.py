@@ -16,15 +16,6 @@ import numpy as np
 JOINED = 1000  # chunks a call of the library
 
 
-class Known(dict):
-    """Chunks that are kept; others are looked up in extra."""
-
-    extra: dict[str, bytes]
-
-    def __missing__(self, chunk: str) -> bytes:
-        return self.extra[chunk]
-
-
 class ChunkEncoder:
     """Bounded by cache_limit entries; once full, further chunks are encoded without being kept."""
 
@@ -38,8 +29,9 @@ class ChunkEncoder:
         self.leads = np.zeros(max(vocabulary.values()) + 1, bool)  # ids whose text begins with a space
         for token, i in vocabulary.items():
             self.leads[i] = token.startswith("Ġ")
-        self.cache = Known()
-        self.first: dict[str, bytes] = {"": b""}
+        self.cache: dict[str, bytes] = {}
+        self.cache[""] = b""  # stands for a text's first word, which no space leads
+        self.first: dict[str, bytes] = {"": b""}  # without a space before
         self.limit = cache_limit
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -59,33 +51,47 @@ class ChunkEncoder:
             out.update((c, raw[a:b]) for c, a, b in zip(part, at.tolist(), ends))
         return out
 
+    def _keep_first(self, ids: dict[str, bytes]) -> None:
+        if len(self.first) < self.limit // 8:
+            self.first.update(ids)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
+        whole = {i for i, t in enumerate(texts) if "  " in t or t[-1:] == " " or any(s in t for s in self.specials)}
         split = [t.split(" ") for t in texts]
-        whole = {i for i, t in enumerate(texts) if any(s in t for s in self.specials)}
-        heads = {s[0] for s in split}.difference(self.first)
-        need = set().union(*(s[1:] for s in split))
-        need.difference_update(self.cache)
+        begin = [s[0] for s in split]
+        get, first = self.cache.get, self.first.get
+        parts, gaps, need = [], [], set()
+        for s in split:
+            s[0] = ""
+            ids = list(map(get, s))
+            gap = [k for k, v in enumerate(ids) if v is None]
+            need.update([s[k] for k in gap])
+            parts.append(ids)
+            gaps.append(gap)
+        heads = set(begin).difference(self.first)
         # next to a space, or at an end, white space makes runs that cross chunks
-        odd = {c for c in need if not c or c[0].isspace() or c[-1].isspace()} | {c for c in heads if c and c[-1].isspace()}
-        if odd:
-            whole |= {i for i, s in enumerate(split) if not odd.isdisjoint(s)}
+        odd = {c for c in need if not c or c[0].isspace() or c[-1].isspace()}
+        odd_heads = {c for c in heads if c and c[-1].isspace()}
+        if odd or odd_heads:
+            whole |= {i for i, s in enumerate(split) if begin[i] in odd_heads or not odd.isdisjoint(s)}
             need -= odd
-            heads -= odd
+            heads -= odd_heads
         for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
             out[i] = ids
         found = self._chunks(list(need)) if need else {}
-        room = max(0, self.limit - len(self.cache))
-        self.cache.update(found if room >= len(found) else islice(found.items(), room))
-        self.cache.extra = found
         head = dict(zip(heads, self._whole(list(heads))))
-        if len(self.first) < self.limit // 8:
-            self.first.update(head)
-        get = self.cache.__getitem__
         for i, s in enumerate(split):
             if i not in whole:
-                a = self.first.get(s[0])
-                out[i] = (head[s[0]] if a is None else a) + b"".join(map(get, s[1:]))
+                ids = parts[i]
+                for k in gaps[i]:
+                    ids[k] = found[s[k]]
+                a = first(begin[i])
+                ids[0] = head[begin[i]] if a is None else a
+                out[i] = b"".join(ids)
+        self._keep_first(head)
+        room = max(0, self.limit - len(self.cache))
+        self.cache.update(found if room >= len(found) else islice(found.items(), room))
         return out
 
 

@@ -195,7 +195,9 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
             for row in batch.to_pylist():
                 s = Segment.from_bytes(row["payload"])
                 starts = s.starts[:-1] + (base[row["part"]] + row["start"])
-                crc = [zlib.crc32(s.document(k).astype("<u4").tobytes()) for k in range(len(s.counts))]
+                ids = memoryview(s.range(0, int(s.starts[-1])).astype("<u4").tobytes())
+                at = (s.starts * 4).tolist()
+                crc = [zlib.crc32(ids[a:b]) for a, b in zip(at, at[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(s.doc_ids, pa.int64()), pa.array(starts), pa.array(s.counts), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return segments.select("part", "start", "payload").mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
