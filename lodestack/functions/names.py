@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Suffixes of two parts.
 DOUBLE = (".tar.gz", ".tar.zst", ".tar.xz", ".geojson.gz", ".csv.gz", ".json.gz")
@@ -25,7 +26,7 @@ def stable_name(name: Column) -> Column:
     return F.concat(slug(name), F.lit("-"), F.substring(F.sha2(name, 256), 1, 10))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unaccented(text: pd.Series) -> pd.Series:
     def plain(s: str | None) -> str | None:
         return s if s is None or s.isascii() else "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))

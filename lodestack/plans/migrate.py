@@ -126,6 +126,9 @@ def _facts(marker: dict[str, Any]) -> dict[str, Any]:
 def _partial(rows: DataFrame, target: Path, who: dict[str, Any], error: str) -> dict[str, Any]:
     """Commit what could be read as `*.partial.parquet`, with a sidecar that tells why."""
     part = target.with_name(re.sub(r"\.parquet$", "", target.name) + ".partial.parquet")
+    if commit.is_complete(part, who):
+        return {"status": "partial", "output": str(part), **_facts(commit.read_marker(part))}
+    shutil.rmtree(part, ignore_errors=True)  # of an earlier version of the source
     good = rows.filter("error is null").select("json")
     if good.isEmpty():
         return {}

@@ -64,11 +64,9 @@ def append_jsonl(path: str | Path, record: dict[str, Any]) -> None:
 
 
 def encoding_of(data: bytes) -> str:
-    """utf-8-sig if the bytes are UTF-8 (a cut character at the end is no fault), else cp1252."""
-    for cut in range(4):
-        try:
-            data[: len(data) - cut].decode("utf-8-sig")
-            return "utf-8-sig"
-        except UnicodeDecodeError:
-            continue
-    return "cp1252"
+    """utf-8-sig if the bytes are UTF-8 (a character cut at the end is no fault), else cp1252."""
+    try:
+        data.decode("utf-8-sig")
+    except UnicodeDecodeError as e:
+        return "utf-8-sig" if e.reason == "unexpected end of data" else "cp1252"
+    return "utf-8-sig"
