@@ -40,7 +40,7 @@ def knapsack(weights: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[n
     return best, last
 
 
-def configuration_program(histogram: dict[int, int], capacity: int, rounds: int = 400, eta: float = 12.0, tolerance: float = 0.02) -> dict[tuple[int, ...], float]:
+def configuration_program(histogram: dict[int, int], capacity: int, rounds: int = 400, eta: float = 4.0, tolerance: float = 0.005) -> dict[tuple[int, ...], float]:
     """Fractional numbers of configurations (descending lengths) that nearly cover the histogram.
 
     Multiplicative weights: the price of a length is its share of the capacity times exp(eta *
