@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import io
 import json
 from collections.abc import Iterable
 from pathlib import Path
 from typing import Any
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestack.plans import commit
 from lodestack.sources import geo, pgdump
-from lodestack.sources.files import atomic_json, identity
+from lodestack.sources.files import atomic_json, identity, write_atomically
 
 
 def load_reference(folder: str | Path) -> dict[str, dict[str, Any]]:
@@ -72,7 +75,11 @@ def convert(spark: SparkSession, source: str, output: str | Path, catalog_path:
         marker = commit.commit(frames[t["table"]], target, source_id, t["rows"], metadata=metadata, extra={"table": t["table"], "columns": t["columns"], "geometry_columns": [g["name"] for g in shapes]})
         out.append({"table": t["table"], "rows": marker["rows"], "parts": marker["parts"], "state": "done"})
     if manifest := table_manifest(spark, output):
-        atomic_json(output / "manifest.json", [r.asDict() for r in manifest.collect()])
+        rows = [r.asDict() for r in manifest.collect()]
+        atomic_json(output / "manifest.json", rows)
+        buffer = io.BytesIO()
+        pq.write_table(pa.Table.from_pylist(rows), buffer, compression="zstd")
+        write_atomically(output / "manifest.parquet", buffer.getvalue())
     return out
 
 

@@ -109,7 +109,10 @@ def migrate_file(spark: SparkSession, path: str, kind: str, target: Path, log: P
     except Exception as e:
         record |= {"status": "failed", "error": f"{type(e).__name__}: {str(e)[:500]}"}
         rest = salvaged(spark, path, kind)
-        if rest is not None:
+        whole = jsonfiles.read_features(spark, path) if kind == "geojson" and _is_whole(rest) else None
+        if whole is not None:  # the features can be read, but a geometry can't
+            record |= {"status": "done", "representation": "lossless-geojson-feature-text", **_facts(commit.commit(whole, target, who, extra={"kind": kind, "representation": "lossless-geojson-feature-text"}))}
+        elif rest is not None:
             record |= _partial(rest, target, who, record["error"])
         elif kind == "kml":
             blob, representation = reader(spark, path, "blob")
@@ -119,6 +122,10 @@ def migrate_file(spark: SparkSession, path: str, kind: str, target: Path, log: P
     return record
 
 
+def _is_whole(rows: DataFrame | None) -> bool:
+    return rows is not None and rows.filter("error is not null").isEmpty()
+
+
 def _facts(marker: dict[str, Any]) -> dict[str, Any]:
     return {"rows": marker["rows"], "bytes": marker["parquet_bytes"]}
 

@@ -29,6 +29,12 @@ def sevenzip() -> str | None:
     return next(filter(None, map(shutil.which, ("7z", "7zz", "7za"))), None)
 
 
+def sevenzip_ok(path: str) -> bool:
+    """Whether the external tool finds an archive whole; False without the tool."""
+    tool = sevenzip()
+    return tool is not None and subprocess.run([tool, "t", path], capture_output=True).returncode == 0
+
+
 def _by_7z(data: bytes, name: str) -> bytes:
     tool = sevenzip()
     if tool is None:

@@ -154,6 +154,18 @@ def build_catalog(path: str, member: str | None = None, split: int = SPLIT) -> d
         return {**scan(stream, offset, split), "source": identity(path), "member": member}
 
 
+def unpack(path: str, target: str, member: str | None = None) -> str:
+    """The SQL text of a gzipped or archived dump as a plain file, whose ranges can be read in parallel."""
+    import os
+    import shutil
+
+    stream, _ = open_dump(path, member)
+    with stream, open(target + ".tmp", "wb") as out:
+        shutil.copyfileobj(stream, out, CHUNK)
+    os.replace(target + ".tmp", target)
+    return target
+
+
 def save_catalog(catalog: dict[str, Any], path: str) -> None:
     from lodestack.sources.files import atomic_json
 

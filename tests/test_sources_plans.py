@@ -87,6 +87,7 @@ def test_read_dump(spark, dump, tmp_path, form):
     assert pgdump.read_table(spark, path, "c", catalog).count() == 0
     with pytest.raises(KeyError):
         pgdump.read_table(spark, path, "nope", catalog)
+    assert Path(pgdump.unpack(path, str(tmp_path / "plain.sql"))).read_bytes() == (Path(path).read_bytes() if form in ("sql", "crlf") else DUMP.encode())
 
 
 def test_stale_catalog_raises(dump, tmp_path):
@@ -277,21 +278,22 @@ def test_migrate_and_retry(spark, tmp_path):
     (raw / "c.json").write_text('[1,2,{"a"')
     (raw / "d.pdf").write_text("no")
     (raw / "e.rar").write_bytes(b"Rar!\x1a\x07\x00")
+    (raw / "h.geojson").write_text('{"type":"FeatureCollection","features":[{"type":"Feature","properties":{"n":1},"geometry":{"type":"Odd","coordinates":[]}}]}')
     make_zip(raw / "f.zip", {"in/g.csv": "q\n5\n", "note.pdf": "x"})
     log = tmp_path / "log.jsonl"
     counts = migrate.run(spark, str(raw), tmp_path / "out", log)
-    assert counts == {"done": 3, "partial": 1, "unsupported": 1}
+    assert counts == {"done": 4, "partial": 1, "unsupported": 1}
     assert spark.read.parquet(str(tmp_path / "out" / "b.json.parquet")).count() == 2
     part = json.loads((tmp_path / "out" / "c.json.partial.json").read_text())
     assert part["status"] == "partial" and part["rows_recovered"] == 2
     assert spark.read.parquet(str(tmp_path / "out" / "f.zip.parquet" / "in" / "g.csv.parquet")).collect()[0][0] == "5"
-    assert migrate.run(spark, str(raw), tmp_path / "out", log)["skip"] == 3
+    assert migrate.run(spark, str(raw), tmp_path / "out", log)["skip"] == 4
     from lodestack.operators import reconcile
 
     records = catalogs.read_logs(spark, str(log))
     sizes = spark.createDataFrame([(str(p), p.stat().st_size) for p in raw.iterdir()], "source string, bytes long")
     states = {r["raw_path"]: r["class"] for r in reconcile.classify(records, str(raw), sizes).collect()}
-    assert states == {"a.csv": "complete", "b.json": "complete", "c.json": "partial", "e.rar": "ignored", "f.zip": "complete"} or states["c.json"] in ("partial", "missing")
+    assert states == {"a.csv": "complete", "b.json": "complete", "c.json": "partial", "e.rar": "ignored", "f.zip": "complete", "h.geojson": "complete"} or states["c.json"] in ("partial", "missing")
     queue = reconcile.retry_queue(records, str(raw), ["ignored"], sizes).collect()
     assert [r["source"] for r in queue] == [str(raw / "e.rar")]
 
