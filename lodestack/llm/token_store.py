@@ -41,14 +41,14 @@ class Level:
 
     @classmethod
     def of(cls, values: np.ndarray) -> tuple[Level, np.ndarray]:
-        more = values >> 8
-        if not more.any():
-            return cls(values.astype(np.uint8)), more[:0]
-        on = more > 0
+        """The level of little-endian uint32 values, and what goes on to the next."""
+        codes, on = values.view(np.uint8)[::4].copy(), values > 255
+        if not on.any():
+            return cls(codes), values[:0]
         bits = np.packbits(on, bitorder="little")
         bits = np.pad(bits, (0, -len(bits) % (BLOCK // 8)))
         ranks = np.concatenate([[0], ONES[bits].reshape(-1, BLOCK // 8).sum(1, dtype=np.uint32).cumsum()]).astype("<u4")
-        return cls((values & 255).astype(np.uint8), bits, ranks), more[on]
+        return cls(codes, bits, ranks), values[on] >> np.uint32(8)
 
     def rank(self, i: int) -> int:
         """Ones before bit i."""
@@ -70,12 +70,13 @@ class Segment:
         self.starts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
 
     @classmethod
-    def build(cls, doc_ids: list[int | None], ids: list[np.ndarray]) -> Segment:
-        levels, values = [], np.concatenate(ids).astype(np.uint32) if ids else np.zeros(0, np.uint32)
+    def build(cls, doc_ids: list[int | None], counts: list[int], values: np.ndarray) -> Segment:
+        """From the ids of all documents in a row, and how many each has."""
+        levels: list[Level] = []
         while len(values) or not levels:
             level, values = Level.of(values)
             levels.append(level)
-        return cls(levels, doc_ids, np.array([len(x) for x in ids], np.int64))
+        return cls(levels, doc_ids, np.array(counts, np.int64))
 
     def __getitem__(self, i: int) -> int:
         """Any token, by one byte and one rank a level."""
@@ -93,15 +94,15 @@ class Segment:
         """Tokens a to b-1: on each level they are neighbours, found by two ranks."""
         level = self.levels[0]
         out = level.codes[a:b].astype(np.uint32)
-        where, shift = np.arange(b - a), 8
-        for below in self.levels[1:]:
-            where = where[level.on(a, b)]
+        where = None  # places of the tokens that reach the level, None: all
+        for k, below in enumerate(self.levels[1:], 1):
+            on = level.on(a, b)
+            where = np.flatnonzero(on) if where is None else where[on]
             if not len(where):
                 break
             a = level.rank(a)
             b, level = a + len(where), below
-            out[where] |= level.codes[a:b].astype(np.uint32) << np.uint32(shift)
-            shift += 8
+            out[where] |= level.codes[a:b].astype(np.uint32) << np.uint32(8 * k)
         return out
 
     def document(self, k: int) -> np.ndarray:
@@ -148,13 +149,16 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made, done = TaskContext.get().partitionId(), 0, 0
         doc_ids: list = []
-        ids: list = []
+        ids: list[bytes] = []
         size = 0
 
+        def segment() -> Segment:
+            return Segment.build(doc_ids, [len(x) // 4 for x in ids], np.frombuffer(b"".join(ids), "<u4"))
+
         def flush() -> pa.RecordBatch:
             nonlocal made, done, doc_ids, ids, size
             out = pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([made], pa.int32()), pa.array([done], pa.int64()), pa.array([size], pa.int64()), pa.array([len(ids)], pa.int32()), pa.array([Segment.build(doc_ids, ids).to_bytes()], pa.binary())],
+                [pa.array([part], pa.int32()), pa.array([made], pa.int32()), pa.array([done], pa.int64()), pa.array([size], pa.int64()), pa.array([len(ids)], pa.int32()), pa.array([segment().to_bytes()], pa.binary())],
                 ["part", "segment", "start", "n_tokens", "n_docs", "payload"],
             )
             made, done, doc_ids, ids, size = made + 1, done + size, [], [], 0
@@ -166,8 +170,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
             for a, b in text_groups(texts):
                 for key, raw in zip(keys[a:b], encoder(model).encode(texts[a:b])):
                     doc_ids.append(key)
-                    ids.append(np.frombuffer(raw + tail, "<u4"))
-                    size += len(ids[-1])
+                    ids.append(raw + tail)
+                    size += len(ids[-1]) // 4
                     if size >= segment_tokens:
                         yield flush()
         if ids:
