@@ -160,7 +160,8 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     a written table, so lost executors cost one round. The number of rounds grows with the
     logarithm of the diameter; if `most` didn't do, it raises instead of returning part.
     """
-    both = materialise(edges.union(edges.select("b", "a")).distinct().toDF("u", "v"), "links")
+    ways = F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v"))))
+    both = materialise(edges.select(ways.alias("e")).select("e.u", "e.v").distinct(), "links")
     labels = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("v"), F.least("u", "m").alias("label")), "labels")
     for _ in range(most):
         near = both.join(labels, "v").groupBy(F.col("u").alias("v")).agg(F.min("label").alias("near"))
