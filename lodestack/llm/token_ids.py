@@ -9,11 +9,12 @@ with a special token's string go through the library as a whole. The result is t
 from __future__ import annotations
 
 import os
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 
-JOINED = 1000  # chunks a call of the library
+MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
+JOINED = 64  # chunks a call of the library
 
 
 class ChunkEncoder:
@@ -40,16 +41,32 @@ class ChunkEncoder:
 
     def _chunks(self, chunks: list[str]) -> dict[str, bytes]:
         """Ids of " chunk" for chunks that hold no space and don't begin or end with white space."""
-        out: dict[str, bytes] = {}
-        parts = [chunks[i : i + JOINED] for i in range(0, len(chunks), JOINED)]
-        for part, e in zip(parts, self.tokenizer.encode_batch_fast([" " + " ".join(p) for p in parts], add_special_tokens=False)):
-            ids = np.array(e.ids, "<u4")
-            at = np.flatnonzero(self.leads[ids]) * 4
-            if len(at) != len(part):
-                raise ValueError("a chunk does not begin with exactly one token that leads with a space")
-            raw, ends = ids.tobytes(), [*at[1:].tolist(), len(ids) * 4]
-            out.update((c, raw[a:b]) for c, a, b in zip(part, at.tolist(), ends))
-        return out
+        parts = [" " + " ".join(chunks[i : i + JOINED]) for i in range(0, len(chunks), JOINED)]
+        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        ids = np.array(list(chain.from_iterable(e.ids for e in found)), "<u4")
+        at = np.flatnonzero(self.leads[ids]) * 4
+        if len(at) != len(chunks):
+            raise ValueError("a chunk does not begin with exactly one token that leads with a space")
+        raw, starts = ids.tobytes(), at.tolist()
+        return {c: raw[x:y] for c, x, y in zip(chunks, starts, [*starts[1:], len(raw)])}
+
+    def _new(self, need: set[str]) -> dict[str, bytes]:
+        """Ids of new chunks. A known chunk that ends in a letter and marks after it are pre-tokens of their own."""
+        known, ended, plain = self.cache.get, [], []
+        for c in need:
+            word = c.rstrip(MARKS)
+            if len(word) < len(c) and word and word[-1].isalpha() and (ids := known(word)) is not None:
+                ended.append((c, ids, c[len(word) :]))
+            else:
+                plain.append(c)
+        found = self._chunks(plain) if plain else {}
+        marks = {m for _, _, m in ended}.difference(self.first)
+        marks = dict(zip(marks, self._whole(list(marks))))
+        first = self.first.get
+        for c, ids, m in ended:
+            found[c] = ids + (first(m) or marks[m])
+        self._keep_first(marks)
+        return found
 
     def _keep_first(self, ids: dict[str, bytes]) -> None:
         if len(self.first) < self.limit // 8:
@@ -79,7 +96,7 @@ class ChunkEncoder:
             heads -= odd_heads
         for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
             out[i] = ids
-        found = self._chunks(list(need)) if need else {}
+        found = self._new(need) if need else {}
         head = dict(zip(heads, self._whole(list(heads))))
         for i, s in enumerate(split):
             if i not in whole:
