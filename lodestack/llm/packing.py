@@ -169,10 +169,10 @@ def pieces(docs: DataFrame, capacity: int, tokenizer: str | None, end_id: int) -
         part, seen = TaskContext.get().partitionId(), [0] * (capacity + 1)
         tail = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            keys, texts = batch.column(0).to_pylist(), batch.column(1)
             for a, b in text_groups(texts):
                 rows = []
-                for key, raw in zip(keys[a:b], encoder(model).encode(texts[a:b])):
+                for key, raw in zip(keys[a:b], encoder(model).encode(texts.slice(a, b - a))):
                     raw += tail
                     n = len(raw) // 4
                     first = (n - 1) % capacity + 1  # only the first piece may be shorter

@@ -242,7 +242,7 @@ def encode_documents(docs: DataFrame, model: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for a, b in text_groups(texts):
+            for a, b in text_groups(texts, 4_000_000):
                 ids = [np.frombuffer(codec(path).encode(t), "<u4").astype(np.int32) for t in texts[a:b]]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids), pa.int32()))

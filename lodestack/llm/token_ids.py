@@ -12,6 +12,8 @@ import os
 from itertools import chain, islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 JOINED = 64  # chunks a call of the library
@@ -72,41 +74,50 @@ class ChunkEncoder:
         if len(self.first) < self.limit // 8:
             self.first.update(ids)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(texts)
-        whole = {i for i, t in enumerate(texts) if "  " in t or t[-1:] == " " or any(s in t for s in self.specials)}
-        split = [t.split(" ") for t in texts]
-        begin = [s[0] for s in split]
-        get, first = self.cache.get, self.first.get
-        parts, gaps, need = [], [], set()
-        for s in split:
-            s[0] = ""
-            ids = list(map(get, s))
-            gap = [k for k, v in enumerate(ids) if v is None]
-            need.update([s[k] for k in gap])
-            parts.append(ids)
-            gaps.append(gap)
-        heads = set(begin).difference(self.first)
-        # next to a space, or at an end, white space makes runs that cross chunks
-        odd = {c for c in need if not c or c[0].isspace() or c[-1].isspace()}
-        odd_heads = {c for c in heads if c and c[-1].isspace()}
-        if odd or odd_heads:
-            whole |= {i for i, s in enumerate(split) if begin[i] in odd_heads or not odd.isdisjoint(s)}
-            need -= odd
-            heads -= odd_heads
-        for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
-            out[i] = ids
-        found = self._new(need) if need else {}
-        head = dict(zip(heads, self._whole(list(heads))))
-        for i, s in enumerate(split):
-            if i not in whole:
-                ids = parts[i]
-                for k in gaps[i]:
-                    ids[k] = found[s[k]]
-                a = first(begin[i])
-                ids[0] = head[begin[i]] if a is None else a
-                out[i] = b"".join(ids)
-        self._keep_first(head)
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        """Ids of each text. Words are split and made distinct as Arrow arrays, before Python sees them."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        if not len(texts):
+            return []
+        flags = pc.or_(pc.match_substring(texts, "  "), pc.ends_with(texts, " "))
+        for special in self.specials:
+            flags = pc.or_(flags, pc.match_substring(texts, special))
+        whole = np.asarray(flags).copy()
+        lists = pc.split_pattern(texts, " ")
+        bounds = np.asarray(lists.offsets) - lists.offsets[0].as_py()
+        distinct = lists.flatten().dictionary_encode()
+        codes, words = np.array(distinct.indices), distinct.dictionary.to_pylist()
+        ids = list(map(self.cache.get, words))
+        gaps = [k for k, v in enumerate(ids) if v is None]
+        # next to a space, or at an end, white space makes runs that cross words
+        odd = [k for k in gaps if (w := words[k])[0].isspace() or w[-1].isspace()]
+        if odd:
+            is_odd = np.zeros(len(words), bool)
+            is_odd[odd] = True
+            whole |= np.logical_or.reduceat(is_odd[codes], bounds[:-1])
+        found = self._new({words[k] for k in gaps}.difference(words[k] for k in odd)) if gaps else {}
+        for k in gaps:
+            ids[k] = found.get(words[k], b"")
+        heads = [words[k] for k in codes[bounds[:-1]].tolist()]
+        new = set(heads).difference(self.first)
+        new = dict(zip(new, self._whole(list(new))))
+        first = self.first.get
+        codes[bounds[:-1]] = len(words) + np.arange(len(texts))  # no space leads a text's first word
+        ids += [new[h] if (v := first(h)) is None else v for h in heads]
+        pool = np.frombuffer(b"".join(ids), "<u4")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        each = size[codes]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        place = np.repeat(((np.cumsum(size) - size)[codes] - ends[:-1]).astype(np.int32), each)
+        place += np.arange(ends[-1], dtype=np.int32)
+        raw = pool[place].tobytes()
+        cuts = (ends[bounds] * 4).tolist()
+        out = [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+        at = np.flatnonzero(whole).tolist()
+        for i, v in zip(at, self._whole([texts[i].as_py() for i in at])):
+            out[i] = v
+        self._keep_first(new)
         room = max(0, self.limit - len(self.cache))
         self.cache.update(found if room >= len(found) else islice(found.items(), room))
         return out
@@ -130,13 +141,14 @@ def tokenizer_path(path: str | None) -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def text_groups(texts, most: int = 4_000_000):
-    """Slices (first, end) of a batch that hold at most so many characters, one text at least."""
+def text_groups(texts: pa.Array | list, most: int = 8_000_000):
+    """Slices (first, end) of a batch that hold at most so many bytes (characters of a list), one text at least."""
+    sizes = pc.binary_length(texts).to_pylist() if isinstance(texts, pa.Array) else map(len, texts)
     first = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > most:
+    for i, n in enumerate(sizes):
+        if size and size + n > most:
             yield first, i
             first, size = i, 0
-        size += len(t)
+        size += n
     if first < len(texts):
         yield first, len(texts)

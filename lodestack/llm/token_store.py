@@ -166,9 +166,9 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
 
         tail = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            keys, texts = batch.column(0).to_pylist(), batch.column(1)
             for a, b in text_groups(texts):
-                for key, raw in zip(keys[a:b], encoder(model).encode(texts[a:b])):
+                for key, raw in zip(keys[a:b], encoder(model).encode(texts.slice(a, b - a))):
                     doc_ids.append(key)
                     ids.append(raw + tail)
                     size += len(ids[-1]) // 4
