@@ -60,29 +60,40 @@ def _keyed(datasets: DataFrame, side: str) -> DataFrame:
     return out.withColumn("tokens", tokens).select(*[F.col(c).alias(f"{side}_{c}") for c in ("relative_path", "leaf", "parent", "bytes", "tokens")])
 
 
-def scored(sources: DataFrame, targets: DataFrame) -> DataFrame:
-    """raw_path, target_path, target_bytes, score, reason of every pair that matches, by the first rule that holds."""
+def scored(sources: DataFrame, targets: DataFrame, same_name: bool = True) -> DataFrame:
+    """raw_path, target_path, target_bytes, score, reason of every pair that matches, by the first rule that holds.
+
+    Without same_name, pairs that share nothing but a leaf name are left out: their number grows
+    with the square of a common name's count.
+    """
     a, b = _keyed(sources, "s"), _keyed(targets, "t")
     pair = ["s_relative_path", "t_relative_path", "t_bytes"]
 
-    def found(joined: DataFrame, rule: tuple[int, str], rank: int) -> DataFrame:
-        return joined.select(*pair, F.lit(rule[0]).alias("score"), F.lit(rule[1]).alias("reason"), F.lit(rank).alias("rank"))
+    def found(joined: DataFrame, *rules: tuple) -> DataFrame:
+        """Pairs with the first of the rules (condition, (score, reason), rank) that holds."""
+        rule = None
+        for condition, (score, reason), rank in rules:
+            value = F.struct(F.lit(score).alias("score"), F.lit(reason).alias("reason"), F.lit(rank).alias("rank"))
+            rule = value if condition is None and rule is None else rule.otherwise(value) if condition is None else (F if rule is None else rule).when(condition, value)
+        return joined.select(*pair, rule.alias("m"))
 
-    same = a.join(b, a["s_relative_path"] == b["t_relative_path"])
-    below = b.withColumn("up", F.explode(names.ancestors(F.col("t_relative_path"))))
+    path = F.col("t_relative_path")
+    below = b.withColumn("up", F.explode(F.array_append(names.ancestors(path), path)))
     lower = a.join(below, a["s_relative_path"] == below["up"])
     above = a.withColumn("up", F.explode(names.ancestors(F.col("s_relative_path"))))
-    upper = above.join(b, above["up"] == b["t_relative_path"])
-    leaf = a.join(b, a["s_leaf"] == b["t_leaf"])
-    near = leaf.filter(F.col("s_parent") == F.col("t_parent"))
+    upper = above.join(b, above["up"] == path)
+    same_parent = F.col("s_parent") == F.col("t_parent")
+    leaf = a.join(b, (a["s_leaf"] == b["t_leaf"]) if same_name else (a["s_leaf"] == b["t_leaf"]) & same_parent)
     ta, tb = a.withColumn("token", F.explode("s_tokens")), b.withColumn("token", F.explode("t_tokens"))
     common = ta.join(tb, (ta["s_parent"] == tb["t_parent"]) & (ta["token"] == tb["token"]))
     counted = common.groupBy(*pair).agg(F.count("*").alias("common"), F.first(F.size("s_tokens")).alias("n"), F.first(F.size("t_tokens")).alias("m"))
     alike = counted.filter((F.col("common") >= 2) & (F.col("common") / (F.col("n") + F.col("m") - F.col("common")) >= 0.75))
-    every = [found(j, r, k) for k, (j, r) in enumerate(((same, EXACT), (lower, RAW_PARENT), (upper, DERIVED_PARENT), (near, PARENT_NAME), (leaf, NAME), (alike, SIMILAR)))]
-    rows = reduce(DataFrame.unionByName, every)
-    best = rows.groupBy(*pair).agg(F.min_by(F.struct("score", "reason"), F.col("rank")).alias("m"))
-    return best.select(F.col("s_relative_path").alias("raw_path"), F.col("t_relative_path").alias("target_path"), F.col("t_bytes").alias("target_bytes"), "m.score", "m.reason")
+    every = [
+        found(lower, (F.col("s_relative_path") == path, EXACT, 0), (None, RAW_PARENT, 1)), found(upper, (None, DERIVED_PARENT, 2)),
+        found(leaf, (same_parent, PARENT_NAME, 3), (None, NAME, 4)), found(alike, (None, SIMILAR, 5)),
+    ]
+    best = reduce(DataFrame.unionByName, every).groupBy(*pair).agg(F.min_by("m", F.col("m.rank")).alias("m"))
+    return best.select(F.col("s_relative_path").alias("raw_path"), path.alias("target_path"), F.col("t_bytes").alias("target_bytes"), "m.score", "m.reason")
 
 
 def matches(pairs: DataFrame) -> DataFrame:
@@ -97,10 +108,28 @@ def matches(pairs: DataFrame) -> DataFrame:
     unclear = (F.col("b.ties") > 1) & ~F.col("b.top.reason").isin(*MANY_ALLOWED)
     return rows.select(
         "raw_path", F.when(~unclear, F.col("b.top.path")).alias("path"), F.when(~unclear, F.col("b.top.bytes")).alias("bytes"), F.when(unclear, 0).otherwise(F.col("b.score")).alias("score"),
-        F.when(unclear, "ambiguous").otherwise(F.col("b.top.reason")).alias("reason"), "n", F.array_join("targets", ";").alias("paths"), "all_bytes", "targets",
+        F.when(unclear, "ambiguous").otherwise(F.col("b.top.reason")).alias("reason"), "n", F.array_join("targets", ";").alias("paths"), "all_bytes", "targets", F.col("b.score").alias("top_score"),
     )
 
 
+def all_matches(sources: DataFrame, targets: DataFrame) -> DataFrame:
+    """matches of all sources. Targets that share only a leaf name are counted by name, never paired.
+
+    Where no better rule holds, a source's name decides: one target of that name is its match, more are ambiguous.
+    """
+    found = matches(scored(sources, targets, same_name=False))
+    a, b = _keyed(sources, "s"), _keyed(targets, "t")
+    leaf = b.groupBy("t_leaf").agg(F.count("*").alias("same"), F.min(F.struct(names.depth(F.col("t_relative_path")).alias("depth"), F.col("t_relative_path").alias("path"), F.col("t_bytes").alias("bytes"))).alias("one"))
+    named = a.join(leaf, a["s_leaf"] == leaf["t_leaf"], "left").select(F.col("s_relative_path").alias("raw_path"), "same", "one")
+    rows = named.join(found, "raw_path", "left")
+    by_name = F.col("same").isNotNull() & (F.coalesce("top_score", F.lit(0)) < NAME[0])
+    single = by_name & (F.col("same") == 1)
+    return rows.select(
+        "raw_path", F.when(by_name, F.when(single, F.col("one.path"))).otherwise(F.col("path")).alias("path"), F.when(by_name, F.when(single, F.col("one.bytes"))).otherwise(F.col("bytes")).alias("bytes"),
+        F.when(single, NAME[0]).when(by_name, 0).otherwise(F.col("score")).alias("score"), F.when(single, NAME[1]).when(by_name, "ambiguous").otherwise(F.col("reason")).alias("reason"), "n", "paths", "all_bytes", "targets",
+    ).filter("reason is not null")
+
+
 def best(pairs: DataFrame) -> DataFrame:
     """raw_path, path, bytes, score, reason: the best target of each source; a tie is `ambiguous`, but for exact and ancestor matches."""
     return matches(pairs).select("raw_path", "path", "bytes", "score", "reason")
@@ -114,7 +143,7 @@ def structural(pairs: DataFrame) -> DataFrame:
 def _side(raw: DataFrame, found: DataFrame, side: str) -> DataFrame:
     rows = raw.select("raw_path").join(found, "raw_path", "left")
     size = F.coalesce("all_bytes", "bytes", F.lit(0))
-    present = (F.col("n") > 0) | (F.col("path").isNotNull() & (F.col("score") >= 60))
+    present = (F.coalesce("n", F.lit(0)) > 0) | (F.col("path").isNotNull() & (F.col("score") >= 60))
     return rows.select(
         "raw_path", F.when(F.col("n") > 1, F.col("paths")).otherwise(F.coalesce("path", F.lit(""))).alias(f"{side}_path"), names.gib(size).alias(f"{side}_gib"),
         F.when(F.col("n") > 1, "one-to-many-structural").otherwise(F.coalesce("reason", F.lit(""))).alias(f"{side}_match"), F.coalesce("score", F.lit(0)).alias(f"{side}_score"), F.coalesce(present, F.lit(False)).alias(f"{side}_present"),
@@ -122,7 +151,7 @@ def _side(raw: DataFrame, found: DataFrame, side: str) -> DataFrame:
 
 
 def _orphans(targets: DataFrame, found: DataFrame, side: str) -> DataFrame:
-    chosen = found.select(F.explode(F.array_append(F.col("targets"), F.col("path"))).alias("path")).filter("path is not null")
+    chosen = found.select(F.explode(F.array_append(F.coalesce("targets", F.array().cast("array<string>")), F.col("path"))).alias("path")).filter("path is not null")
     rows = targets.join(chosen, targets["relative_path"] == F.col("path"), "left_anti")
     other = "parquet" if side == "numpy" else "numpy"
     return rows.select(
@@ -134,7 +163,7 @@ def _orphans(targets: DataFrame, found: DataFrame, side: str) -> DataFrame:
 
 def audit(raw: DataFrame, numpy: DataFrame, parquet: DataFrame) -> DataFrame:
     """Every raw dataset with its legacy and Parquet matches, status and action; then derived datasets that nothing matched."""
-    in_numpy, in_parquet = matches(scored(raw, numpy)), matches(scored(raw, parquet))
+    in_numpy, in_parquet = all_matches(raw, numpy), all_matches(raw, parquet)
     sources = raw.select(F.col("relative_path").alias("raw_path"), names.gib(F.col("bytes")).alias("raw_gib"), F.col("files").alias("raw_files"), F.col("formats").alias("raw_formats"))
     rows = sources.join(_side(sources, in_numpy, "numpy"), "raw_path").join(_side(sources, in_parquet, "parquet"), "raw_path")
     status = F.when(F.col("parquet_present"), "parquet-candidate-present").when(F.col("numpy_present"), "legacy-only").otherwise("raw-only")
