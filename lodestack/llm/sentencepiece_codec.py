@@ -19,10 +19,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestack.llm.token_ids import text_groups
+from lodestack.llm.token_ids import concatenated, distinct_words, text_groups
 
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
@@ -201,6 +202,20 @@ class Codec:
             out.append(self._word(SPACE * run))
         return b"".join(out)
 
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """encode of each text; words that single spaces part are made distinct as Arrow arrays first."""
+        if not len(texts):
+            return []
+        odd = pc.or_(pc.or_(pc.match_substring(texts, "  "), pc.match_substring(texts, SPACE)), pc.or_(pc.starts_with(texts, " "), pc.ends_with(texts, " ")))
+        alone = np.flatnonzero(np.asarray(pc.or_(odd, pc.equal(texts, ""))) if self.prefix else np.ones(len(texts), bool)).tolist()
+        bounds, codes, words = distinct_words(texts)
+        known = self.words.get
+        ids = [(known(w) or self._word(SPACE + w, w)) if w else b"" for w in words]
+        out = concatenated(bounds, codes, ids)
+        for i in alone:
+            out[i] = self.encode(texts[i].as_py())
+        return out
+
     def _word(self, chars: str, key: str | None = None) -> bytes:
         out = np.array(self.search([chars]), "<u4").tobytes()
         if key is not None and len(self.words) < self.kept:
@@ -241,9 +256,9 @@ def encode_documents(docs: DataFrame, model: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in text_groups(texts, 4_000_000):
-                ids = [np.frombuffer(codec(path).encode(t), "<u4").astype(np.int32) for t in texts[a:b]]
+            texts = batch.column(1)
+            for a, b in text_groups(texts):
+                ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in codec(path).encode_all(texts.slice(a, b - a))]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids), pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), column], ["doc_id", "ids"])
@@ -270,11 +285,11 @@ def round_trip(spark: SparkSession, docs: DataFrame, model: str | None = None) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for t in batch.column(1).to_pylist():
-                ids = codec(path).encode(t)
-                back = codec(path).decode(ids)
-                rows.append((len(ids) // 4, zlib.crc32(ids), len(back), hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest()))
+            rows, texts = [], batch.column(1)
+            for a, b in text_groups(texts):
+                for ids in codec(path).encode_all(texts.slice(a, b - a)):
+                    back = codec(path).decode(ids)
+                    rows.append((len(ids) // 4, zlib.crc32(ids), len(back), hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest()))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
             made = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["doc_id", "n_ids", "ids_crc32", "decoded_chars", "decoded_sha256"])

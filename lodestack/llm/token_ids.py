@@ -19,6 +19,27 @@ MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 JOINED = 64  # chunks a call of the library
 
 
+def distinct_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Texts split at each space: where each text's words begin and end, the words' numbers, and distinct words."""
+    lists = pc.split_pattern(texts, " ")
+    bounds = np.asarray(lists.offsets) - lists.offsets[0].as_py()
+    distinct = lists.flatten().dictionary_encode()
+    return bounds, np.array(distinct.indices), distinct.dictionary.to_pylist()
+
+
+def concatenated(bounds: np.ndarray, codes: np.ndarray, ids: list[bytes]) -> list[bytes]:
+    """Of each text, the ids (uint32 bytes by word number) of its words."""
+    pool = np.frombuffer(b"".join(ids), "<u4")
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    each = size[codes]
+    ends = np.concatenate([[0], np.cumsum(each)])
+    place = np.repeat(((np.cumsum(size) - size)[codes] - ends[:-1]).astype(np.int32), each)
+    place += np.arange(ends[-1], dtype=np.int32)
+    raw = pool[place].tobytes()
+    cuts = (ends[bounds] * 4).tolist()
+    return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
 class ChunkEncoder:
     """Bounded by cache_limit entries; once full, further chunks are encoded without being kept."""
 
@@ -84,10 +105,7 @@ class ChunkEncoder:
         for special in self.specials:
             flags = pc.or_(flags, pc.match_substring(texts, special))
         whole = np.asarray(flags).copy()
-        lists = pc.split_pattern(texts, " ")
-        bounds = np.asarray(lists.offsets) - lists.offsets[0].as_py()
-        distinct = lists.flatten().dictionary_encode()
-        codes, words = np.array(distinct.indices), distinct.dictionary.to_pylist()
+        bounds, codes, words = distinct_words(texts)
         ids = list(map(self.cache.get, words))
         gaps = [k for k, v in enumerate(ids) if v is None]
         # next to a space, or at an end, white space makes runs that cross words
@@ -105,15 +123,7 @@ class ChunkEncoder:
         first = self.first.get
         codes[bounds[:-1]] = len(words) + np.arange(len(texts))  # no space leads a text's first word
         ids += [new[h] if (v := first(h)) is None else v for h in heads]
-        pool = np.frombuffer(b"".join(ids), "<u4")
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        each = size[codes]
-        ends = np.concatenate([[0], np.cumsum(each)])
-        place = np.repeat(((np.cumsum(size) - size)[codes] - ends[:-1]).astype(np.int32), each)
-        place += np.arange(ends[-1], dtype=np.int32)
-        raw = pool[place].tobytes()
-        cuts = (ends[bounds] * 4).tolist()
-        out = [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+        out = concatenated(bounds, codes, ids)
         at = np.flatnonzero(whole).tolist()
         for i, v in zip(at, self._whole([texts[i].as_py() for i in at])):
             out[i] = v

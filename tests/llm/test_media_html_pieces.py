@@ -153,6 +153,10 @@ def test_ids_are_the_library_ids(model, kind):
             assert "".join(library.id_to_piece(i) for i in ids) == "".join(library.id_to_piece(i) for i in want)
             assert abs(sum(own.score[i] for i in ids) - sum(own.score[i] for i in want)) < 1e-3 or any(library.is_byte(i) for i in want)
         assert own.decode(own.encode(t)) == t
+    import pyarrow as pa
+
+    texts += ["a▁b", "▁", "x▁ y"]
+    assert own.encode_all(pa.array(texts)) == [own.encode(t) for t in texts]
 
 
 def test_window_stays_bounded(model):
