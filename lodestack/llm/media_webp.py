@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestack.llm.token_ids import text_groups
+from lodestack.llm.token_ids import batch_parts
 from lodestack.llm.work import materialise
 
 # Fixed values of the format: order of the code length codes, alphabet sizes, cache multiplier.
@@ -642,11 +642,10 @@ def write_media(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in text_groups(texts, 2_000_000):
-                raw = [t.encode("utf-8", "surrogatepass") for t in texts[a:b]]
+            for part in batch_parts(batch, "text", 2_000_000):
+                raw = [t.encode("utf-8", "surrogatepass") for t in part.column(1).to_pylist()]
                 media = [store(r + b" " * (max(UNIT, -(-len(r) // UNIT) * UNIT) - len(r))) for r in raw]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([len(r) for r in raw], pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(r) for r in raw], pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_bytes long, media binary")

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestack.llm.token_ids import batch_parts
+
 RESULT = "doc_id long, quality double, text_score double, meta_score double, kept boolean"
 #: Byte classes: control, space, newline, lower case, upper case, digit, ".,;:", quotes and brackets, beyond ASCII, and single marks.
 MARKS = b"!|#$%&*"
@@ -171,7 +173,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, most_labelled:
     pool = rows.filter(unit < most_pool / n_docs).join(seen, "doc_id", "left_anti").withColumn("label", F.lit(None).cast("int"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in batch_parts(whole, "text")):
             a, b = _views(batch, COLUMNS)
             both = np.hstack([a, b]).astype("<f4")
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(batch.schema.get_field_index("label")), pa.array([r.tobytes() for r in both], pa.binary())], ["doc_id", "label", "x"])
@@ -199,7 +201,7 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: fl
     model = spark.sparkContext.broadcast(fit(spark, docs, labels, **bounds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in batch_parts(whole, "text")):
             if model.value is None:
                 none = pa.nulls(batch.num_rows, pa.float64())
                 scores = [none, none, none, pa.array([True] * batch.num_rows, pa.bool_())]
@@ -216,7 +218,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold
     model = spark.sparkContext.broadcast(fit(spark, docs, labels, **bounds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in batch_parts(whole, "text")):
             if model.value is not None and batch.num_rows:
                 batch = batch.filter(pa.array(model.value.scores(*_views(batch, COLUMNS))[0] >= threshold))
             yield batch

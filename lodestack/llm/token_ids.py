@@ -153,7 +153,7 @@ def tokenizer_path(path: str | None) -> str:
 
 def text_groups(texts: pa.Array | list, most: int = 8_000_000):
     """Slices (first, end) of a batch that hold at most so many bytes (characters of a list), one text at least."""
-    sizes = pc.binary_length(texts).to_pylist() if isinstance(texts, pa.Array) else map(len, texts)
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist() if isinstance(texts, pa.Array) else map(len, texts)
     first = size = 0
     for i, n in enumerate(sizes):
         if size and size + n > most:
@@ -162,3 +162,9 @@ def text_groups(texts: pa.Array | list, most: int = 8_000_000):
         size += n
     if first < len(texts):
         yield first, len(texts)
+
+
+def batch_parts(batch: pa.RecordBatch, column: str, most: int = 8_000_000):
+    """Slices of a batch whose texts hold at most so many bytes, one row at least: what is decoded at once stays small."""
+    for a, b in text_groups(batch.column(batch.schema.get_field_index(column)), most):
+        yield batch.slice(a, b - a)
