@@ -185,8 +185,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, distance: int = 4, shi
     prints = materialise(rows.mapInArrow(_fingerprints(shingle), "doc_id long, file string, row long, fp long"), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "file", "row")).alias("first")
     classes = materialise(prints.groupBy("fp").agg(first, F.count("*").alias("n")), "classes")
-    count, total = classes.count(), prints.count()
-    found = components(links(spark, classes.select("fp"), count, distance))
+    return kept_rows(prints, classes, components(links(spark, classes.select("fp"), classes.count(), distance)))
+
+
+def kept_rows(prints: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of prints with the component of their fingerprint; found names components of more than one fingerprint."""
+    total = prints.count()
     known = classes.join(found, classes["fp"] == found["v"], "left").select("fp", "first", "n", F.coalesce("label", "fp").alias("label"))
     least = known.groupBy("label").agg(F.min("first").alias("least"))
     named = materialise(known.join(least, "label").select("fp", "n", F.col("least.doc_id").alias("component_id"), F.col("least.file").alias("keep_file"), F.col("least.row").alias("keep_row")), "components")

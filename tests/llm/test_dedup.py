@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter, defaultdict
 from hashlib import sha256
 
@@ -6,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestack.llm import exact_dedup, simhash
+from lodestack.llm import exact_dedup, near_copies, simhash
 
 
 def groups(rows):
@@ -182,3 +183,65 @@ def test_components_of_chains(spark):
     random.Random(1).shuffle(edges)
     got = {r["v"]: r["label"] for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(301)}, 1000: 1000, 1001: 1000, 1002: 1000, -5: -5, -4: -5}
+
+
+def slow_shingles(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
+
+
+def slow_alike(a, b):
+    return a == b or 5 * len(a & b) >= 4 * len(a | b) > 0
+
+
+def slow_copies(rows):
+    """Component (least doc_id, null last) of each row by comparing all pairs."""
+    sets, part = [slow_shingles(r[1]) for r in rows], list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if part[i] != part[j] and slow_alike(sets[i], sets[j]):
+                part = [part[j] if p == part[i] else p for p in part]
+    return [min((r[0] for r, p in zip(rows, part) if p == q and r[0] is not None), default=None) for q in part]
+
+
+def edited_rows():
+    """Copies with edits around the limit, chains of them, a passage that many share, short and empty texts."""
+    r = random.Random(9)
+    word = lambda: f"w{r.randrange(3000)}"
+    passage = " ".join(word() for _ in range(40))
+    rows = []
+    for g in range(30):
+        words = [word() for _ in range(20 + 8 * g)]
+        for k in range(5):
+            rows.append((5000 - len(rows), " ".join(words)))
+            for _ in range(r.randrange(1 + g // 4)):
+                words[r.randrange(len(words))] = word()
+            if k == 2:
+                words = words[r.randrange(1 + g // 2) :] + [word()]
+    rows += [(6000 + i, passage + " " + " ".join(word() for _ in range(i))) for i in range(40)]
+    return rows + [(7000, None), (7001, ""), (7002, "a B"), (7003, "A  b"), (7004, "a b c")]
+
+
+@pytest.mark.parametrize("sample", [1, near_copies.SAMPLE])
+def test_near_copies_against_all_pairs(spark, monkeypatch, sample):
+    monkeypatch.setattr(near_copies, "SAMPLE", sample)
+    rows = edited_rows()
+    got = {r["doc_id"]: r for r in near_copies.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    want = dict(zip([r[0] for r in rows], slow_copies(rows)))
+    assert {d: r["component_id"] for d, r in got.items()} == want
+    assert {d for d, r in got.items() if r["stays"]} == set(want.values())
+
+
+def test_stage_drops_copies_that_short_fingerprints_miss(spark, tmp_path):
+    import corpus_pipeline
+
+    rows = edited_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.near_deduplication(spark, docs, str(tmp_path)).collect()}
+    assert kept == set(slow_copies(rows))
+
+
+def test_near_copies_of_odd_rows(spark, odd, odd_rows, empty):
+    got = Counter((r["doc_id"], r["component_id"]) for r in near_copies.near_copies(spark, odd).collect())
+    assert got == Counter((r[0], c) for r, c in zip(odd_rows, slow_copies(odd_rows)))
+    assert near_copies.near_copies(spark, empty).count() == 0
