@@ -89,13 +89,17 @@ def _ods(data: bytes) -> Iterator[tuple[str, list[str | None]]]:
             if _tag(row) != "table-row":
                 continue
             cells: list[str | None] = []
+            gap = 0
             for c in row:
                 if _tag(c) not in ("table-cell", "covered-table-cell"):
                     continue
                 text = "\n".join("".join(p.itertext()) for p in c if _tag(p) == "p") or _attribute(c, "value")
-                cells += [text or None] * min(int(_attribute(c, "number-columns-repeated") or 1), 16384 if text else 1)
-            while cells and cells[-1] is None:
-                cells.pop()
+                times = int(_attribute(c, "number-columns-repeated") or 1)
+                if text:
+                    cells += [None] * gap + [text] * min(times, 16384)
+                    gap = 0
+                else:  # a run at the end of the row is dropped
+                    gap += times
             times = int(_attribute(row, "number-rows-repeated") or 1) if cells else 1
             for _ in range(times):
                 yield _attribute(table, "name") or "", cells

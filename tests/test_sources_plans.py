@@ -350,3 +350,10 @@ def test_streams(spark, tmp_path):
     put(("d", "done", 5))
     status.new_files(spark, f"{base}/in", f"{base}/seen", f"{base}/seen-state").awaitTermination()
     assert spark.read.parquet(f"{base}/seen").count() > n
+
+
+def test_ods_gaps_keep_columns(tmp_path):
+    empty = '<t:table-cell t:number-columns-repeated="{}"/>'
+    cell = "<t:table-cell><p>{}</p></t:table-cell>"
+    make_zip(tmp_path / "x.ods", {"content.xml": f'<d xmlns:t="t"><t:table t:name="T"><t:table-row>{cell.format("A")}{empty.format(2)}{empty.format(1)}{cell.format("E")}{empty.format(16379)}</t:table-row></t:table></d>'})
+    assert list(sheets.sheet_rows((tmp_path / "x.ods").read_bytes())) == [("T", ["A", None, None, None, "E"])]
