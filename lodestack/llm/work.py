@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 #: Keys above this many rows, and above 1/HOT_PARTS of all rows, are joined by broadcast.
 HOT_ROWS = 1000
-HOT_PARTS = 500
+HOT_PARTS = 100_000
+#: Words of 64 bits in the table that sieve broadcasts, whatever the number of members.
+SIEVE_WORDS = 1 << 18
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -56,6 +58,19 @@ def join_by_key(left: DataFrame, right: DataFrame, key: str, n: str, total: int)
     return in_hot.unionByName(in_cold.select(in_hot.columns))
 
 
+def sieve(rows: DataFrame, members: DataFrame, *keys: str) -> DataFrame:
+    """rows without most of those whose keys (not null) no member has; none that a member has is dropped.
+
+    A Bloom filter with one hash function: a broadcast table of at most SIEVE_WORDS words. The
+    more members, the more other rows pass; a join still decides.
+    """
+    bit = F.pmod(F.xxhash64(*keys), F.lit(64 * SIEVE_WORDS))
+    one = F.expr("shiftleft(1L, cast(_bit & 63 as int))")
+    words = members.select(bit.alias("_bit")).groupBy(F.shiftright("_bit", 6).alias("_at")).agg(F.bit_or(one).alias("_word"))
+    found = rows.withColumn("_bit", bit).join(F.broadcast(words), F.shiftright("_bit", 6) == F.col("_at"))
+    return found.filter(F.col("_word").bitwiseAND(one) != 0).select(*rows.columns)
+
+
 def in_files(docs: DataFrame) -> DataFrame:
     """docs, or where it isn't read straight from Parquet files, docs written to the shared folder."""
     try:

@@ -222,10 +222,18 @@ def edited_rows():
     return rows + [(7000, None), (7001, ""), (7002, "a B"), (7003, "A  b"), (7004, "a b c")]
 
 
-@pytest.mark.parametrize("sample", [1, near_copies.SAMPLE])
-def test_near_copies_against_all_pairs(spark, monkeypatch, sample):
-    monkeypatch.setattr(near_copies, "SAMPLE", sample)
+@pytest.mark.parametrize("bins, block, many", [(near_copies.BINS, near_copies.BLOCK, 0), (1, 16, 60), (4096, 4, 60)])
+def test_near_copies_against_all_pairs(spark, monkeypatch, bins, block, many):
+    """Also with components that must be split into blocks, and many sets outside their largest part."""
+    monkeypatch.setattr(near_copies, "BINS", bins)
+    monkeypatch.setattr(near_copies, "BLOCK", block)
     rows = edited_rows()
+    base = [f"v{i}" for i in range(60)]
+    for i in range(many):  # copies of one text with one or two words changed
+        words = list(base)
+        words[i] = "x"
+        words[(7 * i) % 60] = f"y{i % 3}"
+        rows.append((8000 + i, " ".join(words)))
     got = {r["doc_id"]: r for r in near_copies.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
     want = dict(zip([r[0] for r in rows], slow_copies(rows)))
     assert {d: r["component_id"] for d, r in got.items()} == want
