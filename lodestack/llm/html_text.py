@@ -2,10 +2,13 @@
 
 A page is read into a tree of block elements; inline formatting belongs to its block. What HTML
 itself marks as no content goes first: scripts, styles, forms, menus, headers, footers, asides,
-and elements whose class, id or role names an advert, a notice, a menu, a sidebar or comments.
-For every node, characters a tag are adjusted by the share of characters and tags in links; a
-node's sum adds the densities of its children. The subtree of the greatest sum holds the text,
-and others whose density reaches the least density on the way from it up to the body.
+hidden elements. For every other node, characters a tag are adjusted by the share of characters
+and tags in links; a node's sum adds the densities of its children. The subtree of the greatest
+sum holds the text, and others whose density reaches the least density on the way from it up to
+the body. Class names decide after that: an element named as an advert, menu, sidebar, notice or
+comments is neither chosen as that subtree nor kept inside it.
+
+Reading is linear in the page: from a quote that never closes on, tags end at the next ">".
 """
 
 from __future__ import annotations
@@ -13,13 +16,15 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+REST = re.compile(r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|([^\s=/"'>]+)""")
 # Names of elements and of parts of pages.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "xmp", "noembed", "noframes", "svg", "math"}
@@ -27,128 +32,181 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"}
 NO_CONTENT = {"head", "nav", "header", "footer", "aside", "form", "button", "select", "option", "fieldset", "dialog", "menu", "object", "canvas", "audio", "video", "map"}
 NO_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "form", "toolbar"}
+#: Words of a class or id, whole between spaces, hyphens and underscores, that name a part as no article text.
 NO_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|notices|alert|popup|modal|overlay|newsletter|subscribe|subscription|paywall|"
-    r"nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|sidebar|side|aside|widget|related|recommended|footer|footnav|header|masthead|topbar|toolbar|"
-    r"comments?|commentlist|disqus|replies|respond|reactions|share|sharing|social|login|signup|search|tags|copyright|legal|skip)(?:$|[\s_-])",
+    r"(?:^|[\s_-])(?:ads?|advert|adverts|advertisement|advertising|adsense|sponsored|promo|promotion|banner|cookie|cookies|consent|gdpr|notice|notices|popup|modal|newsletter|subscribe|paywall|"
+    r"nav|navbar|navigation|menu|breadcrumb|breadcrumbs|pagination|pager|sidebar|footer|masthead|topbar|toolbar|comments?|commentlist|disqus|replies|login|signup)(?:$|[\s_-])",
     re.I,
 )
 KEEP = {"article", "main", "body", "html"}
 #: Elements that end an open paragraph, and those that end an open one of their own kind.
 ENDS_P = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul"}
 ENDS_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+P_SCOPE = {"table", "td", "th", "button", "object"}
 SCOPE = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "noise", "link", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "level", "in_p", "parts", "noise", "named", "link", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, noise: bool = False):
-        self.tag, self.parent, self.noise = tag, parent, noise
+    def __init__(self, tag: str, parent: Node | None, noise: bool = False, named: bool = False):
+        self.tag, self.parent, self.noise, self.named = tag, parent, noise, named
+        self.level = parent.level + 1 if parent else 0
+        self.in_p = parent is not None and tag not in P_SCOPE and (parent.in_p or parent.tag == "p")
         self.parts: list = []  # text, None (a break) and nodes, in page order
         self.link = 0
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def _noise(tag: str, attributes: str) -> bool:
+def _kind(tag: str, attributes: str) -> tuple[bool, bool]:
+    """Whether HTML itself marks an element as no content, and whether its class or id names it so."""
     if tag in NO_CONTENT:
-        return True
+        return True, False
+    named = False
     if not attributes or attributes.isspace():
-        return False
+        return False, False
     for name, a, b, c, bare in ATTRIBUTE.findall(attributes):
         name, value = (name or bare).lower(), a or b or c
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return True, False
         if name == "role" and value.lower() in NO_ROLE:
-            return True
+            return True, False
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-        if name in ("class", "id") and tag not in KEEP and NO_NAME.search(value):
-            return True
-    return False
+            return True, False
+        named = named or (name in ("class", "id") and tag not in KEEP and NO_NAME.search(value) is not None)
+    return False, named
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, str, str, int]]:
+    """(text before, "/" of an end tag, name, attributes, position behind); a last one without a name.
+
+    Comments, declarations and processing instructions are left out. Linear: a scan that finds no
+    closing quote or bracket is not made again.
+    """
+    at = start = 0
+    quotes, pending = True, []
+    while (at := page.find("<", at)) >= 0:
+        if page.startswith(("<!", "<?"), at):
+            pending.append(page[start:at])
+            end, width = (page.find("-->", at + 4), 3) if page.startswith("<!--", at) else (page.find(">", at), 1)
+            if end < 0:
+                start = at = len(page)
+                break
+            start = at = end + width
+            continue
+        m = TAG.match(page, at)
+        if m is None:
+            at += 1
+            continue
+        rest = REST.match(page, m.end()) if quotes else None
+        if rest is None:  # an unclosed quote, or an unclosed tag
+            quotes = False
+            end = page.find(">", m.end())
+            if end < 0:
+                break  # the page ends inside a tag
+            attributes, behind = page[m.end() : end], end + 1
+        else:
+            attributes, behind = rest[1], rest.end()
+        pending.append(page[start:at])
+        at = yield "".join(pending), m[1], m[2].lower(), attributes, behind
+        pending, start = [], at
+    else:
+        at = len(page)
+    yield "".join(pending) + page[start:at], "", "", "", len(page)
 
 
 def parse(page: str) -> Node:
     """Tree of block elements; text of raw elements and of what is no content is left out."""
-    root = Node("html", None)
-    here = root
-    at, end = 0, len(page)
+    root = here = Node("html", None)
+    opened: Counter = Counter({"html": 1})
+    quiet: list = []  # open inline elements that are no content: [node, like elements open inside]
+    unclosed: set[str] = set()  # raw elements that have no end tag any more
 
-    def text(s: str) -> None:
-        if s:
-            here.parts.append(s)
-            if here.link:
-                here.link_chars += len(s.strip())
+    def move(to: Node) -> None:
+        nonlocal here
+        while here.level > to.level:
+            opened[here.tag] -= 1
+            here = here.parent
+        while quiet and quiet[-1][0].level > here.level:
+            quiet.pop()
 
     def close(tags: set[str], stop: set[str]) -> None:
-        nonlocal here
+        if not any(opened[t] > 0 for t in tags):
+            return
         node = here
         while node.parent is not None and node.tag not in stop:
             if node.tag in tags:
-                here = node.parent
-                return
+                return move(node.parent)
             node = node.parent
 
-    while at < end:
-        m = TOKEN.search(page, at)
-        if m is None:
-            text(page[at:])
-            break
-        text(page[at : m.start()])
-        at = m.end()
-        if not m[2]:
-            continue
-        tag = m[2].lower()
-        if m[1]:
+    def put(node: Node) -> None:
+        nonlocal here
+        here.parts.append(node)
+        opened[node.tag] += 1
+        here = node
+
+    reader = tokens(page)
+    token = next(reader)
+    while True:
+        text, slash, tag, attributes, at = token
+        if text:
+            here.parts.append(text)
+            if here.link:
+                here.link_chars += len(text.strip())
+        if not tag:
+            return root
+        if slash:
             if tag in INLINE:
-                if tag == "a" and here.link:
+                if quiet and quiet[-1][0].tag == tag:
+                    quiet[-1][1] -= 1
+                    if not quiet[-1][1]:
+                        move(quiet[-1][0].parent)
+                elif tag == "a" and here.link:
                     here.link -= 1
             elif tag == "br":
                 here.parts.append(None)
-            else:
+            elif opened[tag] > 0 and tag != "html":
                 node = here
-                while node is not None and node.tag != tag:
+                while node.tag != tag:
                     node = node.parent
-                if node is not None and node.parent is not None:
-                    here = node.parent
-            continue
-        if tag in RAW:
-            stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = stop.end() if stop else end
+                move(node.parent)
+        elif tag in RAW:
+            stop = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\s*+>", re.I).search(page, at)
+            if stop is None:
+                unclosed.add(tag)
+            at = stop.end() if stop else len(page)
             here.parts.append(None if tag not in ("script", "style", "template") else "")
-            continue
-        if tag in INLINE:
-            if _noise(tag, m[3]):  # a hidden or named inline element: a block of its own, without content
-                node = Node(tag, here, True)
-                here.parts.append(node)
-                stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = stop.end() if stop else at
-                continue
-            here.tags += 1
-            if tag == "a":
-                here.link += 1
-                here.link_tags += 1
-            continue
-        if tag in VOID:
+        elif tag in INLINE:
+            noise, named = _kind(tag, attributes)
+            if noise or named:  # a block of its own, without content
+                put(Node(tag, here, True))
+                quiet.append([here, 1])
+            else:
+                if quiet and quiet[-1][0].tag == tag:
+                    quiet[-1][1] += 1
+                here.tags += 1
+                if tag == "a":
+                    here.link += 1
+                    here.link_tags += 1
+        elif tag in VOID:
             here.parts.append(None)
             if tag != "br":
                 here.tags += 1
-            continue
-        if tag in ENDS_P:
-            close({"p"}, {"table", "td", "th", "button", "object"})
-        if tag in ENDS_SAME:
-            close(ENDS_SAME[tag], SCOPE[tag])
-        if tag == "html":
-            continue
-        if tag == "body":
-            while here.parent is not None:
-                here = here.parent
-        node = Node(tag, here, _noise(tag, m[3]))
-        here.parts.append(node)
-        if not m[3].rstrip().endswith("/") or tag in ENDS_P or tag in KEEP:
-            here = node
-    return root
+        else:
+            if tag in ENDS_P and (here.tag == "p" or here.in_p):
+                close({"p"}, P_SCOPE)
+            if tag in ENDS_SAME:
+                close(ENDS_SAME[tag], SCOPE[tag])
+            if tag == "body":
+                move(root)
+            if tag != "html":
+                node = Node(tag, here, *_kind(tag, attributes))
+                if not attributes.rstrip().endswith("/") or tag in ENDS_P or tag in KEEP:
+                    put(node)
+                else:
+                    here.parts.append(node)
+        token = reader.send(at)
 
 
 def _own(node: Node) -> int:
@@ -188,14 +246,18 @@ def content_nodes(body: Node) -> list[Node]:
     order = measure(body)
     if not body.chars:
         return []
-    best = max(order, key=lambda n: n.total)  # the first, so the outermost, of equals
+    apart: set[Node] = set()  # named as no article text, and all below
+    for node in order:
+        if node.named or node.parent in apart:
+            apart.add(node)
+    best = max((n for n in order if n not in apart), key=lambda n: n.total)  # the first, so the outermost, of equals
     if not best.total:
         return [body]
     threshold, node = best.density, best
     while node is not body:
         node = node.parent
         threshold = min(threshold, node.density)
-    node, whole = best, best
+    whole = node = best
     while node is not body:  # the article that holds it is one text
         node = node.parent
         if node.tag in ("article", "main"):
@@ -212,7 +274,7 @@ def content_nodes(body: Node) -> list[Node]:
             chosen.append(node)
         elif node in above:
             todo += [p for p in reversed(node.parts) if isinstance(p, Node) and not p.noise]
-        elif whole.tag not in ("article", "main") and node.density >= threshold and node.chars:
+        elif whole.tag not in ("article", "main") and node not in apart and node.density >= threshold and node.chars:
             chosen.append(node)
     return chosen
 
@@ -237,7 +299,7 @@ def blocks(node: Node) -> Iterator[str]:
             if part.noise and part.tag in INLINE:
                 continue
             yield from flush()
-            if not part.noise:
+            if not part.noise and not part.named:
                 todo.append(iter(part.parts))
         elif part is None:
             yield from flush()

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -177,3 +178,42 @@ def test_codec_documents(spark, odd, odd_rows, empty, model):
     trip = sentencepiece_codec.round_trip(spark, odd).collect()
     assert Counter((r["doc_id"], r["decoded_chars"], r["decoded_sha256"]) for r in trip) == Counter((d, len(t or ""), hashlib.sha256((t or "").encode()).hexdigest()) for d, t, *_ in odd_rows)
     assert sentencepiece_codec.round_trip(spark, empty).count() == 0
+
+
+def test_densities_by_hand():
+    """Characters a tag, adjusted by the share of characters and tags in links; sums of children."""
+    root = html_text.parse("<body><div><p>aaaaaaaaaa</p><p><a>bbbb</a>cccccc</p></div><nav>menu</nav></body>")
+    body = root.parts[0]
+    got = [(n.tag, n.chars, n.tags, round(n.density, 2), round(n.total, 2)) for n in html_text.measure(body)]
+    # p: 10 / 1; with a link of 4: 10 * ln(10/4) / ln(ln(10/6*4 + 0.2*10 + e)); div: 20/3 * ln(20/4 * 3) / ln(ln(20/16*4 + 0.2*20 + e))
+    assert got[1:] == [("div", 20, 3, 20.05, 20.31), ("p", 10, 0, 10.0, 0.0), ("p", 10, 1, 10.31, 0.0)]
+    assert got[0][:3] == ("body", 20, 4) and got[0][4] == 20.05
+
+
+def test_density_finds_the_text_without_an_article():
+    page = "<body><div class='top'><a href=1>One</a> <a href=2>Two</a></div><div id=x><h1>Head</h1>{}</div><div class=comments>{}</div></body>"
+    own, other = "".join(f"<p>{'word ' * (20 + i)}</p>" for i in range(5)), "".join(f"<p>{'reply ' * 60}</p>" for i in range(9))
+    want = " ".join(["Head", *(" ".join(["word"] * (20 + i)) for i in range(5))])
+    assert html_text.main_text(page.format(own, other)) == want
+
+
+def test_article_tag_does_not_decide(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()
+    for (page,) in rows:
+        assert html_text.main_text(page.replace("<article>", "<div>").replace("</article>", "</div>")) == html_text.main_text(page)
+
+
+def test_inline_elements_that_are_no_content_nest():
+    assert html_text.main_text("<p>x <span class='ad'>a <span>b</span> leak</span> y") == "x y"
+    assert html_text.main_text("<div><p>x <span class=ad>a <b>b</p><p>next</div>") == "x next"
+
+
+def test_words_of_a_class_inside_the_article():
+    assert html_text.main_text("<article><div class='tags related side-by-side'>kept</div><div class='ad-box'>gone</div></article>") == "kept"
+
+
+@pytest.mark.parametrize("part, times", [('<a "', 250_000), ('<a ">" ', 150_000), ("<a '>", 200_001), ("<", 1_000_000), ("<!--", 250_000), ("<span class=ad>", 70_000), ("<script>", 130_000), ("</div>", 170_000), ("<div>", 200_000)])
+def test_broken_pages_take_linear_time(part, times):
+    start = time.process_time()
+    html_text.main_text(part * times + '"')
+    assert time.process_time() - start < 2
