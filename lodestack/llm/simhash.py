@@ -163,11 +163,14 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     ways = F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v"))))
     both = materialise(edges.select(ways.alias("e")).select("e.u", "e.v").distinct(), "links")
     labels = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("v"), F.least("u", "m").alias("label")), "labels")
+    count = labels.count()
     for _ in range(most):
         near = both.join(labels, "v").groupBy(F.col("u").alias("v")).agg(F.min("label").alias("near"))
         step = labels.join(near, "v").select("v", F.least("label", "near").alias("label"), F.col("label").alias("old"))
-        hop = step.select(F.col("v").alias("label"), F.col("label").alias("jump"))
-        new = materialise(step.join(hop, "label").select("v", F.col("jump").alias("label"), (F.col("jump") != F.col("old")).alias("moved")), "labels")
+        step = materialise(step, "steps")
+        hop = step.groupBy("label").agg(F.count("*").alias("n")).join(step.select(F.col("v").alias("label"), F.col("label").alias("jump")), "label")
+        jumped = join_by_key(step, hop, "label", "n", count)  # most vertices of a large component have one label
+        new = materialise(jumped.select("v", F.col("jump").alias("label"), (F.col("jump") != F.col("old")).alias("moved")), "labels")
         labels = new.select("v", "label")
         if new.filter("moved").isEmpty():
             return labels
@@ -192,8 +195,10 @@ def kept_rows(prints: DataFrame, classes: DataFrame, found: DataFrame) -> DataFr
     """Rows of prints with the component of their fingerprint; found names components of more than one fingerprint."""
     total = prints.count()
     known = classes.join(found, classes["fp"] == found["v"], "left").select("fp", "first", "n", F.coalesce("label", "fp").alias("label"))
-    least = known.groupBy("label").agg(F.min("first").alias("least"))
-    named = materialise(known.join(least, "label").select("fp", "n", F.col("least.doc_id").alias("component_id"), F.col("least.file").alias("keep_file"), F.col("least.row").alias("keep_row")), "components")
+    known = materialise(known, "known")
+    least = known.groupBy("label").agg(F.min("first").alias("least"), F.count("*").alias("members"))
+    known = join_by_key(known, least, "label", "members", total)
+    named = materialise(known.select("fp", "n", F.col("least.doc_id").alias("component_id"), F.col("least.file").alias("keep_file"), F.col("least.row").alias("keep_row")), "components")
     stays = (F.col("file") == F.col("keep_file")) & (F.col("row") == F.col("keep_row"))
     joined = join_by_key(prints, named, "fp", "n", total)
     return joined.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", stays.alias("stays"), "file", "row")

@@ -222,11 +222,12 @@ def edited_rows():
     return rows + [(7000, None), (7001, ""), (7002, "a B"), (7003, "A  b"), (7004, "a b c")]
 
 
-@pytest.mark.parametrize("bins, block, many", [(near_copies.BINS, near_copies.BLOCK, 0), (1, 16, 60), (4096, 4, 60)])
-def test_near_copies_against_all_pairs(spark, monkeypatch, bins, block, many):
-    """Also with components that must be split into blocks, and many sets outside their largest part."""
+@pytest.mark.parametrize("bins, block, direct, many", [(near_copies.BINS, near_copies.BLOCK, near_copies.DIRECT, 0), (1, 16, 8, 60), (4096, 4, 0, 60)])
+def test_near_copies_against_all_pairs(spark, monkeypatch, bins, block, direct, many):
+    """Also with components that must be split into blocks, many sets outside their largest part, and keys that are chained."""
     monkeypatch.setattr(near_copies, "BINS", bins)
     monkeypatch.setattr(near_copies, "BLOCK", block)
+    monkeypatch.setattr(near_copies, "DIRECT", direct)
     rows = edited_rows()
     base = [f"v{i}" for i in range(60)]
     for i in range(many):  # copies of one text with one or two words changed
@@ -240,6 +241,39 @@ def test_near_copies_against_all_pairs(spark, monkeypatch, bins, block, many):
     assert {d for d, r in got.items() if r["stays"]} == set(want.values())
 
 
+def test_candidates_connect_all_that_may_be_alike(spark, monkeypatch):
+    """Keys over several tasks and batches: sets that share a key, with fitting sizes and fingerprints, come out connected."""
+    monkeypatch.setattr(near_copies, "DIRECT", 20)
+    r = np.random.default_rng(4)
+    values = [np.unique(r.integers(0, 1 << 63, int(n), dtype=np.uint64)) for n in r.integers(5, 60, 60)]
+    values += [np.sort(np.concatenate([v[:-1], r.integers(0, 1 << 63, 1, dtype=np.uint64)])) for v in values for _ in range(8)]
+    rows = [(i, len(v), bytearray(near_copies.parities(v)), [int(k) for k in r.choice(6, 2, False, [0.6, 0.3, 0.04, 0.03, 0.02, 0.01])]) for i, v in enumerate(values)]
+    prints = spark.createDataFrame(rows, "fp long, size int, sketch binary, keys array<long>")
+    with_settings = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        edges = [(e["a"], e["b"]) for e in near_copies.candidates(spark, prints, prints).collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", with_settings)
+    part = list(range(len(rows)))
+
+    def root(x):
+        while part[x] != x:
+            x = part[x]
+        return x
+
+    for a, b in edges:
+        assert set(rows[a][3]) & set(rows[b][3]) and a != b
+        part[root(a)] = root(b)
+    links = 0
+    for a in range(len(rows)):
+        for b in range(a):
+            if set(rows[a][3]) & set(rows[b][3]) and 9 * len(np.setxor1d(values[a], values[b])) <= len(values[a]) + len(values[b]):
+                assert root(a) == root(b)
+                links += 1
+    assert links > 100
+
+
 def test_stage_drops_copies_that_short_fingerprints_miss(spark, tmp_path):
     import corpus_pipeline
 
