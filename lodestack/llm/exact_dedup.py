@@ -10,12 +10,11 @@ split into exact groups. Only DataFrame and Structured Streaming operations are
 from __future__ import annotations
 
 from collections.abc import Callable
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestack.llm.work import fresh_path, join_by_key, located, materialise
+from lodestack.llm.work import fresh_path, join_by_key, located, materialise, settings
 
 #: Rows of one digest that are checked in one task at most, about.
 CHECKED = 1000
@@ -27,18 +26,6 @@ STATE = {
 }
 
 
-@contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]):
-    before = {k: spark.conf.get(k, None) for k in values}
-    for k, v in values.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def absorb(spark: SparkSession, landing: str, checkpoint: str) -> None:
     """Stream every file of landing that the state has not seen yet into the state.
 
@@ -47,14 +34,14 @@ def absorb(spark: SparkSession, landing: str, checkpoint: str) -> None:
     """
     rows = spark.readStream.schema("doc_id long, digest binary, file string, row long").parquet(landing)
     state = rows.groupBy("digest").agg(F.max(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "file", "row")).alias("keep"), F.count("*").alias("n"))
-    with _settings(spark, STATE):
+    with settings(spark, STATE):
         stream = state.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     stream.awaitTermination()
 
 
 def state_rows(spark: SparkSession, checkpoint: str) -> DataFrame:
     """What the state retains: digest, keep_id, keep_file, keep_row, n."""
-    with _settings(spark, STATE):
+    with settings(spark, STATE):
         read = spark.read.format("statestore").load(checkpoint)
     keep, n = (f"value.{f}" for f in read.schema["value"].dataType.names)
     return read.select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ HOT_ROWS = 1000
 HOT_PARTS = 100_000
 #: Words of 64 bits in the table that sieve broadcasts, whatever the number of members.
 SIEVE_WORDS = 1 << 18
+BATCH = "4m"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -33,10 +35,27 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/lodestack/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for the time of a block."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends, lost executors cost nothing."""
+    """Write df to the shared folder and read it back: lineage ends, lost executors cost nothing.
+
+    Batches for Python are cut at BATCH bytes, since JVM and Python worker hold some of them each.
+    """
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with settings(df.sparkSession, {"spark.sql.execution.arrow.maxBytesPerBatch": BATCH}):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
