@@ -3,10 +3,11 @@
 Lengths are counted over all pieces; that histogram has at most `capacity` entries however
 large the input is, so the program is solved on the driver in bounded memory. A configuration
 is a multiset of lengths that fits one sequence. Multiplicative weights on the covering
-constraints price configurations, and a knapsack dynamic program finds the one of greatest
-weight. The fractional solution is rounded down to whole sequences, rarer remainders go by
-best fit into gaps and new sequences, still on counts. Then every piece takes its place by its
-rank within its length; no group of pieces is gathered anywhere.
+constraints price configurations, and a knapsack dynamic program finds those of greatest
+weight, until all lengths are covered. The fractional solution is rounded to whole sequences,
+and solved again for what is left, until they hold at least SOLVED of all tokens; the remainder
+goes by best fit into gaps and new sequences, still on counts. Then every piece takes its place
+by its rank within its length; no group of pieces is gathered anywhere.
 """
 
 from __future__ import annotations
@@ -40,60 +41,83 @@ def knapsack(weights: np.ndarray, lengths: np.ndarray, capacity: int) -> tuple[n
     return best, last
 
 
-def configuration_program(histogram: dict[int, int], capacity: int, rounds: int = 400, eta: float = 4.0, tolerance: float = 0.005) -> dict[tuple[int, ...], float]:
-    """Fractional numbers of configurations (descending lengths) that nearly cover the histogram.
+def configuration_program(histogram: dict[int, int], capacity: int, rounds: int = 100, eta: float = 4.0, width: float = 3.0, slack: float = 1.002, tolerance: float = 0.01, least: float = 0.99) -> tuple[dict[tuple[int, ...], float], np.ndarray]:
+    """Fractional numbers of configurations (descending lengths) that cover the histogram, and how far each length is covered.
 
-    Multiplicative weights: the price of a length is its share of the capacity times exp(eta *
-    lag), lag being how far its coverage is behind the pace, round / rounds. A round solves one
-    knapsack with these prices; from its table it reads, for every length, the heaviest
-    configuration that holds it, and takes those within tolerance of the heaviest of all (an
-    approximate oracle), as far as no length gets ahead of the pace. So all lengths are covered
-    in proportion, and those that lack partners gain weight until they go without.
+    Multiplicative weights for the covering program: rounds portions of equal value add up to
+    slack times the least that the tokens need. The price of a length is its share of the
+    capacity times exp(eta * lag), lag being how far its coverage is behind the pace, round /
+    rounds. A portion consists of the configurations of greatest price, found by knapsacks: from a
+    table come, for every length, the heaviest configuration that holds it, and those within
+    tolerance of the heaviest of all are taken; no length gets more than width times its share of
+    a portion, nor more than its number. So lengths that lack partners gain weight and go first.
+    More portions follow, at most as many, while a length is covered less than `least`.
     """
     lengths = np.array(sorted(histogram))
     size = lengths.tolist()
     need = np.array([histogram[x] for x in size], float)
-    covered = np.zeros(len(size))
+    value = slack * float(need @ lengths) / capacity
+    covered, used = np.zeros(len(size)), 0.0
     found: dict[tuple[int, ...], float] = defaultdict(float)
-    for r in range(1, rounds + 1):
-        weights = lengths / capacity * np.exp(eta * (r / rounds - covered))
-        best, last = knapsack(weights, lengths, capacity)
-        room = ((r / rounds - covered) * need).tolist()
-        price, bar = weights.tolist(), (1 - tolerance) * best[capacity]
-        value = weights + best[capacity - lengths]
-        for i in sorted(np.flatnonzero(value >= bar).tolist(), key=lambda i: (-value[i], -size[i])):
-            if room[i] <= 1e-9:
-                continue
-            times, c, total = {i: 1}, capacity - size[i], price[i]
-            while (j := int(last[c])) >= 0:
-                if room[j] > 1e-9:
-                    times[j] = times.get(j, 0) + 1
-                    total += price[j]
-                c -= size[j]
-            if total < bar:
-                continue
-            step = min(room[j] / n for j, n in times.items())
-            for j, n in times.items():
-                room[j] -= step * n
-            found[tuple(sorted((size[j] for j, n in times.items() for _ in range(n)), reverse=True))] += step
-        covered = r / rounds - np.array(room) / need
-    return dict(found)
-
-
-def rounded(histogram: dict[int, int], found: dict[tuple[int, ...], float], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Whole numbers of configurations that hold exactly the histogram: (lengths, times).
-
-    Configurations are taken floor times, the fullest first; what remains is placed in
-    descending length into the tightest gap, on counts of like sequences rather than on
-    sequences, so the work doesn't grow with the data.
+    for r in range(1, 2 * rounds + 1):
+        if r > rounds and covered.min() >= least:
+            break
+        weights = np.where(covered < 1, lengths / capacity * np.exp(np.clip(eta * (r / rounds - covered), -30, 30)), 0.0)
+        given = np.minimum(width * need / rounds, np.maximum(0.0, 1 - covered) * need)
+        room, price, due = given.tolist(), weights.tolist(), value * r / rounds - used
+        while due > 1e-9 * value:
+            open_ = np.array(room) > 1e-9
+            best, last = knapsack(np.where(open_, weights, 0.0), lengths, capacity)
+            bar, before = (1 - tolerance) * best[capacity], due
+            heaviest = np.where(open_, weights + best[capacity - lengths], -1.0)
+            for i in sorted(np.flatnonzero(heaviest >= bar).tolist(), key=lambda i: (-heaviest[i], -size[i])):
+                if room[i] <= 1e-9:
+                    continue
+                times, c, total = {i: 1}, capacity - size[i], price[i]
+                while (j := int(last[c])) >= 0:
+                    if room[j] > 1e-9 and price[j] > 0:
+                        times[j] = times.get(j, 0) + 1
+                        total += price[j]
+                    c -= size[j]
+                if total < bar:
+                    continue
+                step = min(due, *(room[j] / n for j, n in times.items()))
+                for j, n in times.items():
+                    room[j] -= step * n
+                due -= step
+                found[tuple(sorted((size[j] for j, n in times.items() for _ in range(n)), reverse=True))] += step
+                if due <= 1e-9 * value:
+                    break
+            if due == before:
+                break
+        used = value * r / rounds - due
+        covered += (given - np.array(room)) / need
+    return dict(found), covered
+
+
+def rounded(histogram: dict[int, int], found: dict[tuple[int, ...], float], most: float = float("inf")) -> Counter:
+    """Whole numbers of configurations that the histogram holds: each rounded down, then those of few and long pieces rounded up until there are `most`."""
+    left, out = Counter(histogram), Counter()
+    for up in (False, True):
+        for c, x in sorted(found.items(), key=lambda p: (len(p[0]), -sum(p[0]), -(p[1] % 1), p[0])):
+            if up and out.total() >= most:
+                break
+            each = Counter(c)
+            k = min([1 if up else int(x + 1e-6), *(left[v] // n for v, n in each.items())])
+            if k > 0:
+                out[c] += k
+                left.subtract({v: n * k for v, n in each.items()})
+    return out
+
+
+def best_fit(left: Counter, placed: Counter, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Configurations and times, after the pieces left went in descending length into the tightest gaps.
+
+    On counts of like sequences rather than on sequences, so the work doesn't grow with the data.
     """
-    left = Counter(histogram)
     bins: dict[int, Counter] = defaultdict(Counter)  # by free room
-    for c, x in sorted(found.items(), key=lambda p: (-sum(p[0]), -p[1], p[0])):
-        k = min([int(x + 1e-6), *(left[v] // n for v, n in Counter(c).items())])
-        if k > 0:
-            bins[capacity - sum(c)][c] += k
-            left.subtract({v: n * k for v, n in Counter(c).items()})
+    for c, k in placed.items():
+        bins[capacity - sum(c)][c] += k
     for length in sorted((v for v, n in left.items() if n), reverse=True):
         n = left[length]
         while n:
@@ -114,23 +138,34 @@ def rounded(histogram: dict[int, int], found: dict[tuple[int, ...], float], capa
     return [(c, k) for r in sorted(bins) for c, k in sorted(bins[r].items()) if k]
 
 
-#: Shares of the fractional solution that rounding tries; the rest goes by best fit.
-SHARES = (1.0, 0.9, 0.75, 0.5, 0.25, 0.1)
+#: Share of all sequences that comes from configurations of the program; the rest goes by best fit.
+SOLVED = 0.91
 
 
-def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Configurations and times for a histogram of lengths from 1 to capacity.
+def solved(histogram: dict[int, int], capacity: int) -> Counter:
+    """Whole configurations of the program, solved again for what rounding leaves, until they are SOLVED of all sequences."""
+    left, out = Counter(histogram), Counter()
+    goal = SOLVED * sum(v * n for v, n in histogram.items()) / capacity
+    while out.total() < goal:
+        found, _ = configuration_program({v: n for v, n in left.items() if n}, capacity)
+        new = rounded(left, found, goal - out.total())
+        if not new:
+            break
+        out += new
+        for c, k in new.items():
+            left.subtract({v: n * k for v, n in Counter(c).items()})
+    return out
 
-    The program's solution is rounded at several shares, and the rounding with the fewest
-    sequences is kept: short pieces left to best fit close gaps that whole configurations leave.
-    """
+
+def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Configurations and times for a histogram of lengths from 1 to capacity."""
     full = [((capacity,), histogram[capacity])] if histogram.get(capacity) else []
     rest = {v: n for v, n in histogram.items() if v < capacity}
-    if not rest:
-        return full
-    found = configuration_program(rest, capacity)
-    tried = [rounded(rest, {c: x * share for c, x in found.items()}, capacity) for share in SHARES]
-    return full + min(tried, key=lambda p: sum(k for _, k in p))
+    placed = solved(rest, capacity)
+    left = Counter(rest)
+    for c, k in placed.items():
+        left.subtract({v: n * k for v, n in Counter(c).items()})
+    return full + best_fit(left, placed, capacity)
 
 
 class Slots:

@@ -126,3 +126,51 @@ def test_knapsack_is_optimal():
     best, _ = packing.knapsack(weights, lengths, 30)
     brute = max(a * weights[0] + b * weights[1] + c * weights[2] + d * weights[3] for a in range(11) for b in range(7) for c in range(5) for d in range(3) if 3 * a + 5 * b + 7 * c + 11 * d <= 30)
     assert abs(best[30] - brute) < 1e-12
+
+
+def test_program_covers_the_lengths_of_documents_near_the_bound(library):
+    """At least 99 % of each length, within 1 % of what the tokens need; at least nine in ten sequences are the program's."""
+    import duckdb
+
+    lengths = Counter()
+    for (text,) in duckdb.sql("select text from read_parquet('/root/testdata/sf0.01/documents.parquet')").fetchall():
+        lengths[(len(library.encode(text or "", add_special_tokens=False).ids)) % 1024 + 1] += 1
+    lengths.pop(1024, None)
+    found, covered = packing.configuration_program(dict(lengths), 1024)
+    bound = sum(v * n for v, n in lengths.items()) / 1024
+    assert covered.min() >= 0.99 and sum(found.values()) <= 1.01 * bound
+    held = Counter()
+    for c, x in found.items():
+        assert sum(c) <= 1024
+        for v in c:
+            held[v] += x
+    assert all(abs(held[v] / n - k) < 1e-6 for (v, n), k in zip(sorted(lengths.items()), covered))
+    own, made = packing.solved(dict(lengths), 1024), packing.plan(dict(lengths), 1024)
+    assert own.total() >= 0.9 * sum(k for _, k in made)
+    assert sum(k for _, k in made) <= 456  # what best fit alone gives; the tokens need 454
+
+
+def fewest(lengths, capacity):
+    """Fewest sequences by trying all partitions (first piece with every subset of the others)."""
+    from functools import lru_cache
+
+    @lru_cache(None)
+    def go(left):
+        if not left:
+            return 0
+        out, rest = len(left), left[1:]
+        for pick in range(1 << len(rest)):
+            chosen = [x for i, x in enumerate(rest) if pick >> i & 1]
+            if left[0] + sum(chosen) <= capacity:
+                out = min(out, 1 + go(tuple(x for i, x in enumerate(rest) if not pick >> i & 1)))
+        return out
+
+    return go(tuple(sorted(lengths, reverse=True)))
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_plan_of_few_pieces_against_all_partitions(seed):
+    r = np.random.default_rng(seed)
+    lengths = r.integers(2, 20, 9).tolist()
+    made = packing.plan(dict(Counter(lengths)), 20)
+    assert fewest(lengths, 20) <= sum(k for _, k in made) <= fewest(lengths, 20) + 1
