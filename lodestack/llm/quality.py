@@ -1,20 +1,23 @@
 """Quality classifier by co-training.
 
-Two classifiers see separate views of a document: one its text, the other its metadata (source,
-language tag, recorded length). Both start from a bounded sample of labelled rows. In each round
-a classifier hands those rows of a bounded unlabelled sample of whose label it is confident,
-by calibrated probability, to the other one's training set. In the end a calibrated combination
-of both views, fitted on labelled rows that neither was trained on, scores all documents.
+Two classifiers see separate views of a document: one its text (hashed words and byte trigrams,
+pairs of byte classes, word statistics), the other its metadata (source, language tag, recorded
+length). Both start from a bounded sample of labelled rows. In each round, all other rows are
+judged by both as they pass; where one is confident, by calibrated probability, its label is a
+lesson for the other: sums of gradients and curvatures over all such rows, which move the
+other's weights by one step. In the end a calibrated combination of both views, fitted on
+labelled rows that neither was trained on, scores all documents.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,26 +39,34 @@ def _kinds() -> np.ndarray:
 
 
 KIND = _kinds()
-TEXT_SIZE = KINDS * KINDS + KINDS + 6
+#: Buckets of hashed words and of hashed byte trigrams.
+WORDS, GRAMS = 128, 128
+SHAPES = KINDS * KINDS + KINDS + 6
+TEXT_SIZE = SHAPES + WORDS + GRAMS
 SOURCES, LANGS, LENGTHS = 64, 16, 24
 META_SIZE = SOURCES + LANGS + LENGTHS + 3
 
 
 def text_view(text: str | None) -> np.ndarray:
-    """Shares of byte-class pairs (square roots) and word statistics of the whole text."""
+    """Of the whole text: shares (square roots) of byte-class pairs, word statistics, shares of hashed words and byte trigrams."""
     out = np.zeros(TEXT_SIZE, np.float32)
     raw = (text or "").encode("utf-8", "surrogatepass")
     if not raw:
-        out[-1] = 1
+        out[SHAPES - 1] = 1
         return out
-    k = KIND[np.frombuffer(raw, np.uint8)]
+    data = np.frombuffer(raw, np.uint8)
+    k = KIND[data]
     if len(k) > 1:
         out[: KINDS * KINDS] = np.sqrt(np.bincount(k[:-1] * np.uint16(KINDS) + k[1:], minlength=KINDS * KINDS) / (len(k) - 1))
-    out[KINDS * KINDS : -6] = np.sqrt(np.bincount(k, minlength=KINDS) / len(k))
+    out[KINDS * KINDS : SHAPES - 6] = np.sqrt(np.bincount(k, minlength=KINDS) / len(k))
     words = raw.split()
     if n := len(words):
         again = sum(map(bytes.__eq__, words, words[1:]))
-        out[-6:-1] = (len(set(words)) / n, again / n, min(1.0, len(raw) / n / 20), np.log1p(n) / 12, len(set(raw.split(b"\n"))) / (raw.count(b"\n") + 1))
+        out[SHAPES - 6 : SHAPES - 1] = (len(set(words)) / n, again / n, min(1.0, len(raw) / n / 20), np.log1p(n) / 12, len(set(raw.split(b"\n"))) / (raw.count(b"\n") + 1))
+        out[SHAPES : SHAPES + WORDS] = np.sqrt(np.bincount(np.fromiter(map(zlib.crc32, words), np.uint32, n) % WORDS, minlength=WORDS) / n)
+    if len(data) > 2:
+        grams = (data[:-2] * np.uint32(0x9E3779B1) ^ data[1:-1] * np.uint32(0x85EBCA6B) ^ data[2:] * np.uint32(0xC2B2AE35)) >> np.uint32(25)
+        out[SHAPES + WORDS :] = np.sqrt(np.bincount(grams, minlength=GRAMS) / len(grams))
     return out
 
 
@@ -108,33 +119,67 @@ class Model:
         return (sigmoid(margin(self.joint, np.stack(z, 1))), *map(sigmoid, z))
 
 
-def co_train(labelled: tuple[np.ndarray, ...], y: np.ndarray, pool: tuple[np.ndarray, ...], rounds: int = 5, sure: float = 0.97, share: float = 0.1) -> Model:
+class Lessons:
+    """What each view learns from rows of whose label the other is sure: sums that add up over parts of the rows.
+
+    Per view: number of rows, gradient and diagonal of the curvature of the logistic loss.
+    """
+
+    def __init__(self, sizes: tuple[int, int]):
+        self.sums = [np.zeros(1 + 2 * (size + 1)) for size in sizes]
+
+    def add(self, model: Model, views: tuple[np.ndarray, ...], sure: float) -> None:
+        z = [margin(w, x) for w, x in zip(model.views, views)]
+        p = [sigmoid(margin(c, m[:, None])) for c, m in zip(model.scales, z)]
+        for v, x in enumerate(views):
+            other = p[1 - v]
+            at = np.flatnonzero(np.maximum(other, 1 - other) >= sure)
+            if not len(at):
+                continue
+            x = np.hstack([x[at], np.ones((len(at), 1))]).astype(np.float64)
+            own, n = sigmoid(z[v][at]), x.shape[1]
+            self.sums[v][0] += len(at)
+            self.sums[v][1 : 1 + n] += x.T @ (own - (other[at] > 0.5))
+            self.sums[v][1 + n :] += (x * x).T @ (own * (1 - own))
+
+
+def taught(w: np.ndarray, x: np.ndarray, y: np.ndarray, lesson: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Weights after one step on labelled rows and a lesson. Together its rows weigh as much as the labelled ones, at most half each."""
+    n, grade, curve = lesson[0], lesson[1 : 1 + len(w)], lesson[1 + len(w) :]
+    if not n:
+        return w
+    weight = min(0.5, len(y) / n)
+    x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64)
+    keep = np.full(len(w), ridge)
+    keep[-1] = 1e-6
+    p = sigmoid(x @ w)
+    own = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x
+    move = np.linalg.solve(own * (1 + weight * n / len(y)) + np.diag(keep + weight * curve), x.T @ (p - y) + weight * grade + keep * w)
+    return w - move * min(1.0, 5 / (np.abs(move).max() + 1e-12))
+
+
+def co_train(labelled: tuple[np.ndarray, ...], y: np.ndarray, pool: tuple[np.ndarray, ...] | Callable[[Model, float], Lessons], rounds: int = 3, sure: float = 0.97) -> Model:
     """Co-training over two views. Every fourth labelled row is kept for calibration.
 
-    A view gives at most `share` of the pool in a round, the surest first, and only rows with a
-    calibrated probability of at least `sure` for either label: a view that knows nothing gives nothing.
+    pool: the other rows' views, or what gives their lessons for a model and a least
+    probability. A view that knows nothing is never sure, so it gives no lessons.
     """
     apart = np.arange(len(y)) % 4 == 3
     if len(set(y[~apart])) < 2 or len(set(y[apart])) < 2:
         apart[:] = False
     check = apart if apart.any() else ~apart
-    given = [np.full(len(pool[0]), -1, int) for _ in labelled]  # pseudo-labels that each view has got
-    model = Model()
+
+    def here(model: Model, sure: float) -> Lessons:
+        out = Lessons(tuple(x.shape[1] for x in labelled))
+        out.add(model, pool, sure)
+        return out
+
+    model = Model([logistic(x[~apart], y[~apart]) for x in labelled])
     for r in range(rounds + 1):
-        model.views, model.scales = [], []
-        for v, x in enumerate(labelled):
-            got = given[v] >= 0
-            w = logistic(np.vstack([x[~apart], pool[v][got]]), np.concatenate([y[~apart], given[v][got]]), np.concatenate([np.ones((~apart).sum()), np.full(got.sum(), 0.5)]))
-            model.views.append(w)
-            model.scales.append(logistic(margin(w, x[check])[:, None], y[check], ridge=1e-2))
-        if r == rounds or not len(pool[0]):
-            break
-        for v in range(2):
-            p = sigmoid(margin(model.scales[v], margin(model.views[v], pool[v])[:, None]))
-            certain = np.maximum(p, 1 - p)
-            new = np.flatnonzero((certain >= sure) & (given[1 - v] < 0))
-            new = new[np.argsort(-certain[new], kind="stable")][: int(share * len(p)) + 1]
-            given[1 - v][new] = p[new] > 0.5
+        model.scales = [logistic(margin(w, x[check])[:, None], y[check], ridge=1e-2) for w, x in zip(model.views, labelled)]
+        if r < rounds:
+            lessons = (pool if callable(pool) else here)(model, sure)
+            model.views = [taught(w, x[~apart], y[~apart], lesson) for w, x, lesson in zip(model.views, labelled, lessons.sums)]
     z = np.stack([margin(c, margin(w, x[check])[:, None]) for w, c, x in zip(model.views, model.scales, labelled)], 1)
     model.joint = logistic(z, y[check], ridge=1e-1)
     return model
@@ -154,41 +199,64 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), F.col("n_chars").cast("long").alias("n_chars"))
 
 
-def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, most_labelled: int = 3000, most_pool: int = 3000) -> Model | None:
-    """Fit on at most most_labelled labelled and most_pool other rows, chosen by a hash of doc_id.
+#: Parts that sums of lessons pass through on the way to the driver.
+PARTS = 64
+
+
+def lessons_of(spark: SparkSession, rows: DataFrame, model: Model, sure: float) -> Lessons:
+    """Lessons from all rows, one pass; the driver gets PARTS sums."""
+    given = spark.sparkContext.broadcast(model)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Lessons((TEXT_SIZE, META_SIZE))
+        for batch in (part for whole in batches for part in batch_parts(whole, "text", 2_000_000)):
+            if batch.num_rows:
+                out.add(given.value, _views(batch, COLUMNS), sure)
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % PARTS], pa.int32()), pa.array([np.concatenate(out.sums).tobytes()], pa.binary())], ["part", "sums"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0
+        for batch in batches:
+            for x in batch.column(1):
+                total = total + np.frombuffer(x.as_py())
+        if isinstance(total, np.ndarray):
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    sums = rows.mapInArrow(judge, "part int, sums binary").repartition(PARTS, "part").mapInArrow(add, "sums binary")
+    out = Lessons((TEXT_SIZE, META_SIZE))
+    for r in sums.collect():
+        both = np.frombuffer(r["sums"])
+        for total, x in zip(out.sums, np.split(both, [len(out.sums[0])])):
+            total += x
+    return out
+
+
+def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, most_labelled: int = 3000, rounds: int = 3, sure: float = 0.97) -> Model | None:
+    """Fit on at most most_labelled labelled ids, the first by a hash, and on all rows of other ids.
 
     None if the labelled rows don't show both labels. Rows whose doc_id or label is null aren't
-    learned from; where labels repeat for a doc_id, the greatest counts.
+    learned from as labelled; where labels repeat for a doc_id, the greatest counts; where rows
+    do, one of them.
     """
-    unit = F.xxhash64("doc_id") / F.lit(2.0**64) + 0.5
     known = labels.filter("doc_id is not null and quality is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
-    n_known, n_docs = known.count(), docs.count()
-    if not n_known or not n_docs:
-        return None
-    # the rows of few ids: most_labelled on average, so this side's size is bounded
-    chosen = known.filter(unit < most_labelled / n_known).groupBy("doc_id").agg(F.max("label").alias("label"))
-    seen = known.select("doc_id").filter(unit < most_pool / n_docs).distinct()
     rows = _rows(docs)
-    labelled = rows.join(F.broadcast(chosen), "doc_id")
-    pool = rows.filter(unit < most_pool / n_docs).join(seen, "doc_id", "left_anti").withColumn("label", F.lit(None).cast("int"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in batch_parts(whole, "text")):
-            a, b = _views(batch, COLUMNS)
-            both = np.hstack([a, b]).astype("<f4")
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(batch.schema.get_field_index("label")), pa.array([r.tobytes() for r in both], pa.binary())], ["doc_id", "label", "x"])
+        for batch in (part for whole in batches for part in batch_parts(whole, "text", 2_000_000)):
+            both = np.hstack(_views(batch, COLUMNS)).astype("<f4")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in both], pa.binary())], ["doc_id", "x"])
 
-    got = sorted((r for part in (labelled, pool) for r in part.mapInArrow(features, "doc_id long, label int, x binary").collect()), key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"], r["x"]))
-    got, rest = [r for r in got if r["label"] is not None][:most_labelled], [r for r in got if r["label"] is None][:most_pool]
-    y = np.array([float(r["label"] > 0) for r in got])
-    if len(set(y)) < 2:
+    there = known.join(rows.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.max("label").alias("label"))
+    chosen = there.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_labelled).collect()
+    if len({r["label"] > 0 for r in chosen}) < 2:
         return None
-
-    def split(rows: list) -> tuple[np.ndarray, np.ndarray]:
-        x = np.frombuffer(b"".join(bytes(r["x"]) for r in rows), "<f4").reshape(-1, TEXT_SIZE + META_SIZE)
-        return x[:, :TEXT_SIZE], x[:, TEXT_SIZE:]
-
-    return co_train(split(got), y, split(rest))
+    chosen = spark.createDataFrame(chosen, "doc_id long, label int")  # at most most_labelled rows
+    made = rows.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi").mapInArrow(features, "doc_id long, x binary").groupBy("doc_id").agg(F.min("x").alias("x"))
+    got = sorted(made.join(F.broadcast(chosen), "doc_id").collect(), key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
+    y = np.array([float(r["label"] > 0) for r in got])
+    x = np.frombuffer(b"".join(bytes(r["x"]) for r in got), "<f4").reshape(-1, TEXT_SIZE + META_SIZE)
+    others = rows.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_anti")
+    return co_train((x[:, :TEXT_SIZE], x[:, TEXT_SIZE:]), y, lambda model, sure: lessons_of(spark, others, model, sure), rounds, sure)
 
 
 def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **bounds: int) -> DataFrame:
@@ -201,7 +269,7 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: fl
     model = spark.sparkContext.broadcast(fit(spark, docs, labels, **bounds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in batch_parts(whole, "text")):
+        for batch in (part for whole in batches for part in batch_parts(whole, "text", 2_000_000)):
             if model.value is None:
                 none = pa.nulls(batch.num_rows, pa.float64())
                 scores = [none, none, none, pa.array([True] * batch.num_rows, pa.bool_())]
@@ -218,7 +286,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold
     model = spark.sparkContext.broadcast(fit(spark, docs, labels, **bounds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in batch_parts(whole, "text")):
+        for batch in (part for whole in batches for part in batch_parts(whole, "text", 2_000_000)):
             if model.value is not None and batch.num_rows:
                 batch = batch.filter(pa.array(model.value.scores(*_views(batch, COLUMNS))[0] >= threshold))
             yield batch

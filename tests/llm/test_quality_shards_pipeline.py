@@ -60,6 +60,67 @@ def test_views_teach_each_other():
     assert ((model.scores(a[1000:], noise[1000:])[0] > 0.5) == y[1000:]).mean() > 0.98
 
 
+def weak_rows(n):
+    """Sources that tell the quality of two rows in three; words that tell a little of it."""
+    r = random.Random(3)
+    good, bad = ([f"{c}{i:02d}" for i in range(40)] for c in "gb")
+    rows = []
+    for i in range(n):
+        y = r.randrange(2)
+        words = [r.choice(good if (r.random() < 0.5 + (0.12 if y else -0.12)) else bad) for _ in range(40)]
+        rows.append((i, " ".join(words), "en", f"{'xy'[y]}{r.randrange(3)}" if i % 3 else None, 200, y))
+    return rows
+
+
+def test_rounds_help_when_labels_are_few(spark):
+    rows = weak_rows(1600)
+    docs = spark.createDataFrame([r[:5] for r in rows], SCHEMA).repartition(4)
+    labels = spark.createDataFrame([(r[0], r[5], 0) for r in rows[:100]], "doc_id long, quality int, toxic int")
+    right = {}
+    for rounds in (0, 5):
+        got = {r["doc_id"]: r for r in quality.score(spark, docs, labels, rounds=rounds).collect()}
+        unseen = [r for r in rows[100:] if r[3] is None]
+        right[rounds] = [sum((got[r[0]][c] >= 0.5) == bool(r[5]) for r in unseen) / len(unseen) for c in ("text_score", "quality")]
+    assert right[5][0] > right[0][0] and right[5][1] > right[0][1], right
+
+
+def test_one_round_against_brute_force(spark):
+    """Lessons of all rows, and the step they cause, row by row."""
+    rows = weak_rows(300)
+    views = [np.stack([quality.text_view(r[1]) for r in rows]), np.stack([quality.meta_view(r[3], r[2], r[4]) for r in rows])]
+    y = np.array([float(r[5]) for r in rows])
+    model = quality.Model([quality.logistic(x[:80], y[:80]) for x in views])
+    model.scales = [quality.logistic(quality.margin(w, x[:80])[:, None], y[:80], ridge=1e-2) for w, x in zip(model.views, views)]
+    docs = quality._rows(spark.createDataFrame([r[:5] for r in rows[80:]], SCHEMA).repartition(5))
+    lessons = quality.lessons_of(spark, docs, model, 0.9)
+    for v in range(2):
+        count, grade, curve = 0, np.zeros(views[v].shape[1] + 1), np.zeros(views[v].shape[1] + 1)
+        for i in range(80, 300):
+            z = float(views[1 - v][i] @ model.views[1 - v][:-1] + model.views[1 - v][-1]) * model.scales[1 - v][0] + model.scales[1 - v][1]
+            other = 1 / (1 + np.exp(-z))
+            if max(other, 1 - other) >= 0.9:
+                x = np.append(views[v][i], 1.0).astype(float)
+                own = 1 / (1 + np.exp(-(x @ model.views[v])))
+                count, grade, curve = count + 1, grade + x * (own - (other > 0.5)), curve + x * x * own * (1 - own)
+        total = lessons.sums[v]
+        assert total[0] == count and (count or v == 1)
+        assert np.allclose(total[1 : 1 + len(grade)], grade, atol=1e-4) and np.allclose(total[1 + len(grade) :], curve, atol=1e-4)
+        x, w = np.hstack([views[v][:80], np.ones((80, 1))]).astype(float), model.views[v]
+        if count:
+            k, p = min(0.5, 80 / count), 1 / (1 + np.exp(-(x @ w)))
+            keep = np.append(np.ones(len(w) - 1), 1e-6)
+            curved = sum(np.outer(a, a) * (q * (1 - q) + 1e-9) for a, q in zip(x, p)) * (1 + k * count / 80) + np.diag(keep + k * curve)
+            move = np.linalg.solve(curved, sum(a * (q - t) for a, q, t in zip(x, p, y)) + k * grade + keep * w)
+            assert np.allclose(quality.taught(w, views[v][:80], y[:80], total), w - move * min(1, 5 / abs(move).max()), atol=1e-3)
+
+
+def test_an_id_that_repeats_is_learned_from_once(spark, labelled):
+    docs, labels = labelled
+    many = docs.unionByName(docs.filter("doc_id = 0").crossJoin(spark.range(500)).drop("id"))
+    assert quality.fit(spark, many, labels) is not None
+    assert quality.score(spark, many, labels).count() == 1100
+
+
 def slow_shards(rows, limit):
     """Bucket by bucket: split what exceeds the limit on the next bit."""
     out, todo = {}, [("", rows)]
