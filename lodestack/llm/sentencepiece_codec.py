@@ -3,12 +3,15 @@
 Pieces form arcs over the characters. The search keeps, for each boundary in a window bounded by
 the longest piece, the arc by which the best path gets there; whenever all paths that survive
 run back to one boundary, the ids before it are committed and the window moves on. Which arc is
-best depends on the kind of model. Unigram: greatest sum of scores. BPE: a segmentation is what the
-merges give if and only if they give every two neighbouring pieces of it by themselves; so
-each boundary has exactly one such arc, and the ids are the library's.
-
-No piece goes on across a space after another character, so all paths meet there; words are
-searched once and kept in a bounded table.
+best depends on the kind of model. Unigram: greatest sum of scores. BPE sums no scores: a
+segmentation is what the merges give if and only if they give every two neighbouring pieces of
+it by themselves; so each boundary has exactly one such arc, and the ids are the library's.
+
+Whole texts are read in portions. No piece goes on across a space after another character, so
+all paths meet before each space: what stands before the last space of a portion is committed,
+the rest waits for the next one. Between two such commits the ids of a word come from the search
+or, if it was searched before, from a bounded table. A text without spaces for a whole portion
+goes on through the search alone, which then commits where its paths meet.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +33,8 @@ SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 #: What an unknown character costs below the least score, as in the library.
 UNKNOWN_PENALTY = 10.0
+#: Characters of a text that are read at once.
+PORTION = 8192
 
 
 def _varint(raw: bytes, at: int) -> tuple[int, int]:
@@ -87,6 +93,7 @@ class Codec:
         self.pairs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
         self.kept = kept
+        self.commits = self.widest = 0  # commits of stream and of searches in it; the most characters that one waited for
 
     def merged(self, text: str) -> list[str]:
         """What the merges make of a short text: the pair of greatest score first, the left one of equals."""
@@ -130,6 +137,7 @@ class Codec:
                 else:
                     chars += portion
             n = len(chars)
+            self.widest = max(self.widest, n)
             back += [None] * (n + 1 - len(back))
             best += [float("-inf")] * (n + 1 - len(best))
             stop = n if ended else n - self.longest
@@ -164,6 +172,7 @@ class Codec:
                 path.append((piece, chars[i:k]))
                 k = i
             if path:
+                self.commits += 1
                 yield path[::-1]
             if ended:
                 return
@@ -216,6 +225,39 @@ class Codec:
             out[i] = self.encode(texts[i].as_py())
         return out
 
+    def stream(self, texts: list[Iterable[str]]) -> list[bytes]:
+        """Ids of texts, each given as portions of any size, as little-endian uint32."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        todo = [(i, "", iter(t)) for i, t in enumerate(texts)]  # text, what waits, what comes
+        while todo:
+            ready, going = [], []
+            for i, waits, portions in todo:
+                portion = next(portions, None)
+                chars = waits + (portion or "")
+                self.widest = max(self.widest, len(chars))
+                if portion is None:
+                    ready.append((i, chars))
+                    continue
+                cut = chars.replace(SPACE, " ").rstrip(" ").rfind(" ")
+                while cut > 0 and chars[cut - 1] in (" ", SPACE):  # before all spaces of a run
+                    cut -= 1
+                if cut > 0:
+                    ready.append((i, chars[:cut]))
+                    going.append((i, chars[cut:], portions))
+                elif len(chars) <= PORTION:
+                    going.append((i, chars, portions))
+                else:  # one word: the search alone, to the end
+                    head = [] if out[i] or not self.prefix else [SPACE]
+                    rest = (x.replace(" ", SPACE) for x in chain(head, [chars], portions))
+                    out[i].append(np.array(self.search(rest), "<u4").tobytes())
+            # a later part begins with a space, which stands for the mark that a first part is given
+            parts = pa.array([x[1:] if self.prefix and out[i] else x for i, x in ready], pa.string())
+            self.commits += len(ready)
+            for (i, _), ids in zip(ready, self.encode_all(parts)):
+                out[i].append(ids)
+            todo = going
+        return [b"".join(x) for x in out]
+
     def _word(self, chars: str, key: str | None = None) -> bytes:
         out = np.array(self.search([chars]), "<u4").tobytes()
         if key is not None and len(self.words) < self.kept:
@@ -227,6 +269,10 @@ class Codec:
         return (raw[1:] if self.prefix and raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
+def portions(text: str) -> Iterator[str]:
+    return (text[i : i + PORTION] for i in range(0, len(text), PORTION))
+
+
 _CODECS: dict[str, Codec] = {}
 
 
@@ -258,7 +304,7 @@ def encode_documents(docs: DataFrame, model: str | None = None) -> DataFrame:
         for batch in batches:
             texts = batch.column(1)
             for a, b in text_groups(texts):
-                ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in codec(path).encode_all(texts.slice(a, b - a))]
+                ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in codec(path).stream([portions(t) for t in texts.slice(a, b - a).to_pylist()])]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids), pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), column], ["doc_id", "ids"])
@@ -287,7 +333,7 @@ def round_trip(spark: SparkSession, docs: DataFrame, model: str | None = None) -
         for batch in batches:
             rows, texts = [], batch.column(1)
             for a, b in text_groups(texts):
-                for ids in codec(path).encode_all(texts.slice(a, b - a)):
+                for ids in codec(path).stream([portions(t) for t in texts.slice(a, b - a).to_pylist()]):
                     back = codec(path).decode(ids)
                     rows.append((len(ids) // 4, zlib.crc32(ids), len(back), hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest()))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())

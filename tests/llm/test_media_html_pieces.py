@@ -217,3 +217,37 @@ def test_broken_pages_take_linear_time(part, times):
     start = time.process_time()
     html_text.main_text(part * times + '"')
     assert time.process_time() - start < 2
+
+
+def test_stream_commits_often_and_waits_for_little(spark, monkeypatch):
+    """The query's path over long texts: many commits, a bounded window, ids of the library."""
+    from sentencepiece import SentencePieceProcessor
+
+    path = sentencepiece_codec.model_path(None)
+    library = SentencePieceProcessor(model_file=path)
+    texts = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    r = random.Random(5)
+    texts += ["  two   spaces \n" * 90, "", " ", " " * 300, "a" * 1000, "x " + "é日" * 700 + " y  ", "\u2581mark\u2581\u2581 x", "a \u2581b" * 200, " ".join(texts[:40])]
+    texts += ["".join(r.choice("ab  \u2581é") for _ in range(400)) for _ in range(40)]
+    want = [np.array(library.encode(t), "<u4").tobytes() for t in texts]
+    with open(path, "rb") as f:
+        model = f.read()
+    for portion in (sentencepiece_codec.PORTION, 64, 7):
+        monkeypatch.setattr(sentencepiece_codec, "PORTION", portion)
+        made = sentencepiece_codec.Codec(model)
+        assert made.stream([sentencepiece_codec.portions(t) for t in texts]) == want
+        longest = max(len(w) for t in texts for w in t.split(" "))
+        assert made.commits >= sum(map(len, texts)) / (2 * portion + longest) and made.widest <= max(2 * portion, 2 * made.longest + 64 + portion) + (longest if portion > 64 else 300)
+
+
+def test_search_alone_holds_a_bounded_window():
+    """One word of 200,000 characters: commits where all paths meet."""
+    from sentencepiece import SentencePieceProcessor
+
+    path = sentencepiece_codec.model_path(None)
+    word = "".join(random.Random(2).choice("etaoinshr") for _ in range(200_000))
+    with open(path, "rb") as f:
+        made = sentencepiece_codec.Codec(f.read())
+    got = made.stream([sentencepiece_codec.portions(word)])
+    assert got == [np.array(SentencePieceProcessor(model_file=path).encode(word), "<u4").tobytes()]
+    assert made.commits >= len(word) / (2 * sentencepiece_codec.PORTION) and made.widest <= 3 * sentencepiece_codec.PORTION
