@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Keys above this many rows, and above 1/HOT_PARTS of all rows, are joined by broadcast.
-HOT_ROWS = 1000
+HOT_ROWS = 250
 HOT_PARTS = 100_000
 #: Words of 64 bits in the table that sieve broadcasts, whatever the number of members.
 SIEVE_WORDS = 1 << 18

@@ -244,10 +244,12 @@ def test_near_copies_against_all_pairs(spark, monkeypatch, bins, block, direct,
 def test_candidates_connect_all_that_may_be_alike(spark, monkeypatch):
     """Keys over several tasks and batches: sets that share a key, with fitting sizes and fingerprints, come out connected."""
     monkeypatch.setattr(near_copies, "DIRECT", 20)
+    monkeypatch.setattr(near_copies, "LONG", 30)
     r = np.random.default_rng(4)
     values = [np.unique(r.integers(0, 1 << 63, int(n), dtype=np.uint64)) for n in r.integers(5, 60, 60)]
     values += [np.sort(np.concatenate([v[:-1], r.integers(0, 1 << 63, 1, dtype=np.uint64)])) for v in values for _ in range(8)]
     rows = [(i, len(v), bytearray(near_copies.parities(v)), [int(k) for k in r.choice(6, 2, False, [0.6, 0.3, 0.04, 0.03, 0.02, 0.01])]) for i, v in enumerate(values)]
+    places = {r[0]: {k: i for i, k in enumerate(r[3])} for r in rows}
     prints = spark.createDataFrame(rows, "fp long, size int, sketch binary, keys array<long>")
     with_settings = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
@@ -268,7 +270,9 @@ def test_candidates_connect_all_that_may_be_alike(spark, monkeypatch):
     links = 0
     for a in range(len(rows)):
         for b in range(a):
-            if set(rows[a][3]) & set(rows[b][3]) and 9 * len(np.setxor1d(values[a], values[b])) <= len(values[a]) + len(values[b]):
+            both = len(values[a]) + len(values[b])
+            shared = [k for k in rows[a][3] if k in rows[b][3] and 9 * min(len(values[a]) - places[a][k], len(values[b]) - places[b][k]) >= 4 * both]
+            if shared and 9 * len(np.setxor1d(values[a], values[b])) <= both:
                 assert root(a) == root(b)
                 links += 1
     assert links > 100
