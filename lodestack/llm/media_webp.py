@@ -2,16 +2,18 @@
 
 The decoder reads prefix codes, back-references, colour cache and meta prefix images, and
 inverts the predictor, cross-colour, subtract-green and palette transforms. Pixels are arrays of
-(height, width) uint32 ARGB. Images whose prefix codes all have one length and that hold
-literals alone are decoded as arrays; all others pixel by pixel.
+(height, width) uint32 ARGB. Many images are decoded side by side: one step gives the next pixel
+of every image, from tables of its own prefix codes; images with meta prefix codes go pixel by
+pixel.
 
-The media operator lays a text's bytes out as RGB pixels, 64 to a row, in such images.
+The media operator lays a text's bytes out as RGB pixels, 64 to a row, in images of at most ROWS
+rows. Each image takes what makes it smallest by entropy: a transform (palette, subtract-green,
+predictor), a colour cache or back-references, and prefix codes from its own counts.
 """
 
 from __future__ import annotations
 
 import hashlib
-import heapq
 import struct
 import zlib
 from collections import Counter
@@ -43,6 +45,9 @@ class Bits:
         byte = self.at >> 3
         return int.from_bytes(self.raw[byte : byte + 6], "little") >> (self.at & 7) & ((1 << n) - 1)
 
+    def span(self, at: int, n: int) -> int:
+        return int.from_bytes(self.raw[at >> 3 : (at + n + 7) >> 3], "little") >> (at & 7) & ((1 << n) - 1)
+
     def read(self, n: int) -> int:
         out = self.peek(n)
         self.at += n
@@ -51,6 +56,15 @@ class Bits:
         return out
 
 
+@lru_cache
+def reversals(n: int) -> np.ndarray:
+    """Every number of n bits read backwards."""
+    out = np.zeros(1, np.int64)
+    for _ in range(n):
+        out = np.concatenate([2 * out, 2 * out + 1])
+    return out
+
+
 class Prefix:
     """Canonical prefix code. uniform is its one length, if it has one for all its symbols."""
 
@@ -65,62 +79,92 @@ class Prefix:
             raise ValueError("a prefix code is not complete")
         self.longest = 0 if self.only is not None else int(used.max())
         self.lengths = lengths
-        self._table: list | None = None
+        self._table: np.ndarray | None = None
+        self._list: list | None = None
 
-    def table(self) -> list:
-        """(length, symbol) by the next `longest` bits of the stream."""
+    def table(self) -> np.ndarray:
+        """symbol << 4 | length by the next `longest` bits of the stream."""
         if self._table is None:
-            self._table = [(0, 0)] * (1 << self.longest)
-            for symbol, (code, n) in codes(self.lengths).items():
-                for high in range(0, 1 << self.longest, 1 << n):
-                    self._table[high | code] = (n, symbol)
+            if self.only is not None:
+                self._table = np.array([self.only << 4], np.int64)
+            else:
+                n = self.lengths[self.symbols].astype(np.int64)
+                order = np.argsort(n, kind="stable")
+                spread = np.repeat(self.symbols[order] << 4 | n[order], 1 << (self.longest - n[order]))
+                self._table = spread[reversals(self.longest)]
         return self._table
 
     def read(self, bits: Bits) -> int:
         if self.only is not None:
             return self.only
-        n, symbol = (self._table or self.table())[bits.peek(self.longest)]
-        bits.at += n
-        return symbol
+        if self._list is None:
+            self._list = self.table().tolist()
+        found = self._list[bits.peek(self.longest)]
+        bits.at += found & 15
+        return found >> 4
 
 
 def codes(lengths: np.ndarray) -> dict[int, tuple[int, int]]:
     """symbol -> (code as it stands in the stream, length), canonical."""
-    out, code, last = {}, 0, 0
-    for n, symbol in sorted((int(n), s) for s, n in enumerate(lengths) if n):
-        code <<= n - last
-        out[symbol] = (int(format(code, f"0{n}b")[::-1], 2), n)
-        code, last = code + 1, n
-    return out if len(out) > 1 else {s: (0, 0) for s in out}
+    code, n = stream_codes(lengths)
+    used = np.flatnonzero(lengths)
+    return dict(zip(used.tolist(), zip(code[used].tolist(), n[used].tolist())))
+
+
+def stream_codes(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """By symbol: code as it stands in the stream, and its length (none for a lone symbol)."""
+    used = np.flatnonzero(lengths)
+    code, n = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
+    if len(used) > 1:
+        order = used[np.argsort(lengths[used], kind="stable")]
+        n[order] = lengths[order]
+        longest = int(n[order[-1]])
+        each = 1 << (longest - n[order])
+        code[order] = reversals(longest)[np.cumsum(each) - each]
+    return code, n
 
 
 def read_prefix(bits: Bits, size: int) -> Prefix:
     lengths = np.zeros(size, np.uint8)
     if bits.read(1):
         two, wide = bits.read(1), bits.read(1)
-        lengths[bits.read(8 if wide else 1)] = 1
-        if two:
-            lengths[bits.read(8)] = 1
+        for n in (8 if wide else 1, 8)[: 1 + two]:
+            symbol = bits.read(n)
+            if symbol >= size:
+                raise ValueError("a prefix code has symbols beyond its alphabet")
+            lengths[symbol] = 1
         return Prefix(lengths)
     of_lengths = np.zeros(19, np.uint8)
     for k in range(4 + bits.read(4)):
         of_lengths[LENGTH_ORDER[k]] = bits.read(3)
     code = Prefix(of_lengths)
+    table, mask = code.table().tolist(), (1 << code.longest) - 1
     most = 2 + bits.read(2 + 2 * bits.read(3)) if bits.read(1) else size
-    at, last = 0, 8
-    while at < size and most:
+    out, last = [], 8
+    word, used = bits.span(bits.at, 2048), 0
+    while len(out) < size and most:
         most -= 1
-        n = code.read(bits)
+        if used > 2000:
+            bits.at += used
+            word, used = bits.span(bits.at, 2048), 0
+        entry = table[word & mask]
+        n, width = entry >> 4, entry & 15
+        word >>= width
+        used += width
         if n < 16:
-            lengths[at] = n
-            at, last = at + 1, n or last
+            out.append(n)
+            last = n or last
         else:
             least, extra, value = ((3, 2, last), (3, 3, 0), (11, 7, 0))[n - 16]
-            times = least + bits.read(extra)
-            if at + times > size:
-                raise ValueError("code lengths run over")
-            lengths[at : at + times] = value
-            at += times
+            out += [value] * (least + (word & ((1 << extra) - 1)))
+            word >>= extra
+            used += extra
+    bits.at += used
+    if len(out) > size:
+        raise ValueError("code lengths run over")
+    if bits.at > bits.end:
+        raise ValueError("the WebP stream ends early")
+    lengths[: len(out)] = out
     return Prefix(lengths)
 
 
@@ -134,7 +178,16 @@ def extended(bits: Bits, symbol: int) -> int:
 
 def read_group(bits: Bits, cache_bits: int) -> list[Prefix]:
     green = LITERALS + LENGTHS + ((1 << cache_bits) if cache_bits else 0)
-    return [read_prefix(bits, n) for n in (green, LITERALS, LITERALS, LITERALS, DISTANCES)]
+    out = [read_prefix(bits, green)]
+    start = bits.at
+    out.append(read_prefix(bits, LITERALS))
+    size = bits.at - start
+    if bits.span(start, size) == bits.span(bits.at, size):  # blue has the code of red
+        bits.at += size
+        out.append(out[1])
+    else:
+        out.append(read_prefix(bits, LITERALS))
+    return [*out, read_prefix(bits, LITERALS), read_prefix(bits, DISTANCES)]
 
 
 def read_image(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
@@ -253,6 +306,26 @@ def predicted(mode: int, left, top, right, corner):
 def _predictor(pixels: np.ndarray, modes: np.ndarray, bits: int, forward: bool) -> np.ndarray:
     height, width = pixels.shape
     given = channels(pixels).astype(int)
+    if (modes == modes.flat[0]).all() and modes.flat[0] in (1, 2):  # all from the left, or all from above
+        first = np.array([0, 0, 0, 255])
+        if forward:
+            out = given.copy()
+            out[:, 1:] -= given[:, :-1] if modes.flat[0] == 1 else 0
+            out[0, 1:] = given[0, 1:] - given[0, :-1]
+            out[1:, 0] = given[1:, 0] - given[:-1, 0]
+            if modes.flat[0] == 2:
+                out[1:, 1:] = given[1:, 1:] - given[:-1, 1:]
+            out[0, 0] -= first
+        else:
+            out = given.copy()
+            out[0, 0] += first
+            if modes.flat[0] == 1:
+                out[:, 0] = out[:, 0].cumsum(0)
+                out = out.cumsum(1)
+            else:
+                out[0] = out[0].cumsum(0)
+                out = out.cumsum(0)
+        return joined(out & 255)
     out = np.zeros_like(given)
     full = given if forward else out
     for y in range(height):
@@ -305,50 +378,184 @@ def _unpalette(pixels: np.ndarray, table: np.ndarray, width: int) -> np.ndarray:
     return np.concatenate([table, np.zeros(256, np.uint32)])[index]
 
 
+class Opened:
+    """A lossless WebP file read up to its main image."""
+
+    def __init__(self, raw: bytes):
+        if raw[:4] != b"RIFF" or raw[8:12] != b"WEBP":
+            raise ValueError("not a WebP file")
+        at, data = 12, None
+        while at + 8 <= len(raw):
+            kind, size = raw[at : at + 4], struct.unpack_from("<I", raw, at + 4)[0]
+            if kind == b"VP8L":
+                data = raw[at + 8 : at + 8 + size]
+                break
+            at += 8 + size + size % 2
+        if data is None or data[:1] != b"\x2f":
+            raise ValueError("no lossless image in the WebP file")
+        self.bits = bits = Bits(data)
+        bits.at = 8
+        self.width, self.height = bits.read(14) + 1, bits.read(14) + 1
+        bits.read(1)
+        if bits.read(3):
+            raise ValueError("unknown version of the lossless bitstream")
+        self.undo, self.coded = [], self.width
+        while bits.read(1):
+            kind = bits.read(2)
+            if kind in (PREDICTOR, CROSS_COLOUR):
+                b = bits.read(3) + 2
+                w, h = (self.coded + (1 << b) - 1) >> b, (self.height + (1 << b) - 1) >> b
+                self.undo.append((kind, read_image(bits, w, h, False).reshape(h, w), b))
+            elif kind == PALETTE:
+                size = bits.read(8) + 1
+                table = joined(channels(read_image(bits, size, 1, False)).astype(int).cumsum(0) & 255)
+                self.undo.append((kind, table, self.coded))
+                self.coded = (self.coded + (1 << palette_bits(size)) - 1) >> palette_bits(size)
+            else:
+                self.undo.append((kind, None, 0))
+
+    def pixels(self, coded: np.ndarray) -> np.ndarray:
+        """The image from its coded pixels: the transforms are inverted, the last one first."""
+        out = coded.reshape(self.height, self.coded)
+        for kind, data, b in reversed(self.undo):
+            if kind == PREDICTOR:
+                out = _predictor(out, data >> 8 & 255, b, False)
+            elif kind == CROSS_COLOUR:
+                out = _cross_colour(out, data, b, False)
+            elif kind == SUBTRACT_GREEN:
+                out = _subtract_green(out, False)
+            else:
+                out = _unpalette(out, data, b)
+        return out
+
+
 def decode(raw: bytes) -> np.ndarray:
     """Pixels (height, width) of one lossless WebP file."""
-    if raw[:4] != b"RIFF" or raw[8:12] != b"WEBP":
-        raise ValueError("not a WebP file")
-    at, data = 12, None
-    while at + 8 <= len(raw):
-        kind, size = raw[at : at + 4], struct.unpack_from("<I", raw, at + 4)[0]
-        if kind == b"VP8L":
-            data = raw[at + 8 : at + 8 + size]
-            break
-        at += 8 + size + size % 2
-    if data is None or data[:1] != b"\x2f":
-        raise ValueError("no lossless image in the WebP file")
-    bits = Bits(data)
-    bits.at = 8
-    width, height = bits.read(14) + 1, bits.read(14) + 1
-    bits.read(1)
-    if bits.read(3):
-        raise ValueError("unknown version of the lossless bitstream")
-    undo, coded = [], width
-    while bits.read(1):
-        kind = bits.read(2)
-        if kind in (PREDICTOR, CROSS_COLOUR):
-            b = bits.read(3) + 2
-            w, h = (coded + (1 << b) - 1) >> b, (height + (1 << b) - 1) >> b
-            undo.append((kind, read_image(bits, w, h, False).reshape(h, w), b))
-        elif kind == PALETTE:
-            size = bits.read(8) + 1
-            table = joined(channels(read_image(bits, size, 1, False)).astype(int).cumsum(0) & 255)
-            undo.append((kind, table, coded))
-            coded = (coded + (1 << palette_bits(size)) - 1) >> palette_bits(size)
+    image = Opened(raw)
+    return image.pixels(read_image(image.bits, image.coded, image.height, True))
+
+
+#: How often decode_all met each feature of the bitstream, by pixels or images.
+SEEN: Counter = Counter()
+
+
+def decode_all(files: list[bytes]) -> list[np.ndarray]:
+    """Pixels of many files, decoded side by side."""
+    images = [Opened(raw) for raw in files]
+    coded: list = [None] * len(images)
+    side, groups, caches = [], [], []
+    for i, image in enumerate(images):
+        SEEN.update(("predictor", "cross-colour", "subtract-green", "palette")[kind] for kind, *_ in image.undo)
+        at = image.bits.at
+        cache_bits = image.bits.read(4) if image.bits.read(1) else 0
+        if cache_bits > 11:
+            raise ValueError("colour cache too large")
+        if image.bits.read(1):
+            image.bits.at = at
+            coded[i] = read_image(image.bits, image.coded, image.height, True)
+            SEEN["meta"] += 1
         else:
-            undo.append((kind, None, 0))
-    out = read_image(bits, coded, height, True).reshape(height, coded)
-    for kind, data_, b in reversed(undo):
-        if kind == PREDICTOR:
-            out = _predictor(out, data_ >> 8 & 255, b, False)
-        elif kind == CROSS_COLOUR:
-            out = _cross_colour(out, data_, b, False)
-        elif kind == SUBTRACT_GREEN:
-            out = _subtract_green(out, False)
+            side.append(i)
+            caches.append(cache_bits)
+            groups.append(read_group(image.bits, cache_bits))
+    order = sorted(range(len(side)), key=lambda j: -images[side[j]].coded * images[side[j]].height)
+    for j, x in zip(order, _side_by_side([images[side[j]] for j in order], [groups[j] for j in order], [caches[j] for j in order])):
+        coded[side[j]] = x
+    return [image.pixels(x) for image, x in zip(images, coded)]
+
+
+def _side_by_side(images: list[Opened], groups: list[list[Prefix]], caches: list[int]) -> list[np.ndarray]:
+    """Coded pixels of images, those with the most pixels first: step k gives pixel k of each that has one."""
+    if not images:
+        return []
+    raw = b"".join(x.bits.raw + bytes(16) for x in images) + bytes(2048)  # what a broken image may read before the next look at its end
+    starts = np.cumsum([0] + [(len(x.bits.raw) + 16) * 8 for x in images])[:-1]
+    window = np.ndarray((len(raw) - 8,), "<i8", raw, strides=(1,))  # 64 bits from every byte on
+    at, end = starts + [x.bits.at for x in images], starts + [x.bits.end for x in images]
+    n = np.array([x.coded * x.height for x in images])
+    wide = np.array([x.coded for x in images])
+    tables = [[g[c].table() for g in groups] for c in range(5)]
+    flat = np.concatenate([t for per in tables for t in per])
+    sizes = np.array([[len(t) for t in per] for per in tables])
+    base = (np.cumsum(sizes.reshape(-1)) - sizes.reshape(-1)).reshape(sizes.shape)
+    mask = sizes - 1
+    referring = any(g[0].symbols[-1] >= LITERALS for g in groups)
+    left, back = np.zeros(len(images), np.int64), np.ones(len(images), np.int64)
+    cached = np.flatnonzero(caches)
+    bits = np.array(caches)
+    slots = np.where(bits > 0, 1 << bits, 0)
+    first = np.cumsum(slots) - slots
+    cache = np.zeros(int(slots.sum()) + 1, np.int64)
+    alpha = sizes[3].max() > 1
+    out = np.zeros((int(n[0]), len(images)), np.uint32)
+    live = len(images) - np.searchsorted(n[::-1], np.arange(n[0]), "right")  # images with more than k pixels
+    fixed = (flat[base[3]] >> 4) << 24
+
+    def symbol(c: int, word: np.ndarray, m) -> tuple[np.ndarray, np.ndarray]:
+        entry = flat[base[c][m] + (word & mask[c][m])]
+        return entry >> 4, entry & 15
+
+    def extra(code: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Value of length and distance symbols, and how many bits follow them."""
+        wide_ = np.where(code < 4, 0, (code - 2) >> 1)
+        return np.where(code < 4, code + 1, ((2 + (code & 1)) << wide_) + (word & ((1 << wide_) - 1)) + 1), wide_
+
+    for k in range(int(n[0])):
+        m = slice(0, int(live[k]))
+        place = at[m]
+        word = window[place >> 3] >> (place & 7)
+        green, used = symbol(0, word, m)
+        rest = word >> used
+        red, a = symbol(1, rest, m)
+        rest = rest >> a
+        blue, b = symbol(2, rest, m)
+        step = used + a + b
+        if alpha:
+            top, c = symbol(3, rest >> b, m)
+            pixel = top << 24 | red << 16 | green << 8 | blue
+            step = step + c
         else:
-            out = _unpalette(out, data_, b)
-    return out
+            pixel = fixed[m] | red << 16 | green << 8 | blue
+        if referring:
+            copying = left[m] > 0
+            special = np.flatnonzero((green >= LITERALS) & ~copying)
+            if len(special):
+                code = green[special] - LITERALS
+                hit = special[code >= LENGTHS]
+                pixel[hit] = cache[first[hit] + green[hit] - LITERALS - LENGTHS]
+                step[hit] = used[hit]
+                ref = special[code < LENGTHS]
+                if len(ref):
+                    length, more = extra(green[ref] - LITERALS, word[ref] >> used[ref])
+                    here = place[ref] + used[ref] + more
+                    ahead = window[here >> 3] >> (here & 7)
+                    entry = flat[base[4][ref] + (ahead & mask[4][ref])]
+                    far, most = extra(entry >> 4, ahead >> (entry & 15))
+                    near = np.array(NEAR)[np.minimum(far, len(NEAR)) - 1]
+                    far = np.where(far > len(NEAR), far - len(NEAR), np.maximum(1, near[:, 0] + near[:, 1] * wide[ref]))
+                    if (far > k).any() or (k + length > n[ref]).any():
+                        raise ValueError("a back-reference leaves the image")
+                    left[ref], back[ref] = length, far
+                    step[ref] = here + (entry & 15) + most - place[ref]
+                    copying[ref] = True
+                    SEEN["references"] += len(ref)
+                SEEN["cache"] += len(hit)
+            if copying.any():
+                of = np.flatnonzero(copying)
+                pixel[of] = out[k - back[of], of]
+                began = np.isin(of, special)
+                step[of[~began]] = 0
+                left[of] -= 1
+        if len(cached):
+            own = cached[cached < m.stop]
+            cache[first[own] + ((CACHE_MULTIPLIER * pixel[own] & 0xFFFFFFFF) >> (32 - bits[own]))] = pixel[own]
+        out[k, m] = pixel
+        at[m] += step
+        if (k & 255) == 255 and (at > end).any():
+            raise ValueError("the WebP stream ends early")
+    if (at > end).any():
+        raise ValueError("the WebP stream ends early")
+    return [out[:k, i].copy() for i, k in enumerate(n.tolist())]
 
 
 # --- encoder ---------------------------------------------------------------------------------
@@ -366,67 +573,88 @@ class Writer:
         return self.value.to_bytes(-(-self.n // 8), "little")
 
 
-def code_lengths(count: Counter, size: int, most: int = 15) -> np.ndarray:
+def code_lengths(count: Counter | np.ndarray, size: int, most: int = 15) -> np.ndarray:
     """Lengths of an optimal prefix code, made flatter until none exceeds most."""
+    if isinstance(count, Counter):
+        given = np.zeros(size, np.int64)
+        for s, n in count.items():
+            given[s] = n
+        count = given
     out = np.zeros(size, np.uint8)
-    count = Counter({s: n for s, n in count.items() if n}) or Counter({0: 1})
+    symbols = np.flatnonzero(count)
+    if len(symbols) < 2:
+        out[symbols[0] if len(symbols) else 0] = 1
+        return out
+    symbols = symbols[np.argsort(count[symbols], kind="stable")]
+    weight = count[symbols].tolist()
+    n = len(weight)
     while True:
-        heap = [(n, i, (s,)) for i, (s, n) in enumerate(sorted(count.items()))]
-        heapq.heapify(heap)
-        depth, i = Counter(), len(heap)
-        while len(heap) > 1:
-            (a, _, x), (b, _, y) = heapq.heappop(heap), heapq.heappop(heap)
-            depth.update(x + y)
-            heapq.heappush(heap, (a + b, i, x + y))
-            i += 1
-        if max(depth.values(), default=1) <= most:
+        made, parent, i, j = list(weight), [0] * (2 * n - 1), 0, n
+        for new in range(n, 2 * n - 1):  # leaves and sums are both ascending
+            total = 0
+            for _ in range(2):
+                if i < n and (j >= new or made[i] <= made[j]):
+                    k, i = i, i + 1
+                else:
+                    k, j = j, j + 1
+                parent[k] = new
+                total += made[k]
+            made.append(total)
+        depth = [0] * (2 * n - 1)
+        for k in range(2 * n - 3, -1, -1):
+            depth[k] = depth[parent[k]] + 1
+        if max(depth[:n]) <= most:
             break
-        count = Counter({s: (n >> 1) + 1 for s, n in count.items()})
-    for s in count:
-        out[s] = depth[s] or 1
+        weight = [(w >> 1) + 1 for w in weight]
+    out[symbols] = depth[:n]
     return out
 
 
 def write_prefix(w: Writer, lengths: np.ndarray) -> None:
-    used = np.flatnonzero(lengths).tolist()
-    if len(used) <= 2 and used[-1] < 256:
-        w.put(1, 1)
-        w.put(len(used) - 1, 1)
-        w.put(1, 1)
-        w.put(used[0], 8)
-        if len(used) == 2:
-            w.put(used[1], 8)
-        return
-    tokens, at, values = [], 0, lengths.tolist()
-    while at < len(values):
-        run = 1
-        while at + run < len(values) and values[at + run] == values[at]:
-            run += 1
-        v = values[at]
-        if not v and run >= 11:
-            run = min(run, 138)
-            tokens.append((18, run - 11, 7))
-        elif not v and run >= 3:
-            run = min(run, 10)
-            tokens.append((17, run - 3, 3))
-        elif run >= 4:
-            run = min(run, 7)
-            tokens += [(v, 0, 0), (16, run - 4, 2)] if v else []
-        else:
-            run = 1
+    w.put(*prefix_bits(lengths))
+
+
+def prefix_bits(lengths: np.ndarray) -> tuple[int, int]:
+    """A prefix code as it stands in the stream: bits, and their number."""
+    used = np.flatnonzero(lengths)
+    first, last = int(used[0]), int(used[-1])
+    if len(used) <= 2 and last < 256:
+        return (1 | 1 << 2 | first << 3, 11) if len(used) == 1 else (1 | 1 << 1 | 1 << 2 | first << 3 | last << 11, 19)
+    some = lengths[: last + 1]
+    cuts = np.concatenate([[0], np.flatnonzero(some[1:] != some[:-1]) + 1])
+    tokens = []  # (symbol, extra bits, their number)
+    for v, run in zip(some[cuts].tolist(), np.diff(np.append(cuts, last + 1)).tolist()):
+        if v:
             tokens.append((v, 0, 0))
-        at += run
-    of_lengths = code_lengths(Counter(t[0] for t in tokens), 19, 7)
-    last = max(k for k in range(19) if of_lengths[LENGTH_ORDER[k]])
-    w.put(0, 1)
-    w.put(max(4, last + 1) - 4, 4)
-    for k in range(max(4, last + 1)):
-        w.put(int(of_lengths[LENGTH_ORDER[k]]), 3)
-    w.put(0, 1)
-    code = codes(of_lengths)
-    for symbol, extra, n in tokens:
-        w.put(*code[symbol])
-        w.put(extra, n)
+            run -= 1
+            while run >= 3:
+                k = min(run, 6)
+                tokens.append((16, k - 3, 2))
+                run -= k
+        else:
+            while run >= 3:
+                k = min(run, 138)
+                tokens.append((18, k - 11, 7) if k >= 11 else (17, k - 3, 3))
+                run -= k
+        tokens += [(v, 0, 0)] * run
+    tokens += [(0, 0, 0)] * (2 - len(tokens))
+    of_lengths = code_lengths(np.bincount([t[0] for t in tokens], minlength=19), 19, 7)
+    shown = max(4, 1 + max(k for k in range(19) if of_lengths[LENGTH_ORDER[k]]))
+    value, n = (shown - 4) << 1, 5
+    for k in range(shown):
+        value |= int(of_lengths[LENGTH_ORDER[k]]) << n
+        n += 3
+    if last + 1 < len(lengths):  # lengths behind the last token are zero
+        wide = next(x for x in range(2, 17, 2) if len(tokens) - 2 < 1 << x)
+        value |= (1 | (wide - 2) // 2 << 1 | (len(tokens) - 2) << 4) << n
+        n += 4 + wide
+    else:
+        n += 1
+    code, size = (x.tolist() for x in stream_codes(of_lengths))
+    for symbol, extra, more in tokens:
+        value |= (code[symbol] | extra << size[symbol]) << n
+        n += size[symbol] + more
+    return value, n
 
 
 def _split(value: int) -> tuple[int, int, int]:
@@ -513,19 +741,8 @@ def _file(data: bytes) -> bytes:
     return b"RIFF" + struct.pack("<I", size + 12) + b"WEBPVP8L" + struct.pack("<I", size) + data
 
 
-def encode(pixels: np.ndarray, transforms: list[tuple] = (), cache_bits: int = 0, references: bool = True, meta: tuple[int, np.ndarray] | None = None) -> bytes:
-    """A lossless WebP file of pixels (height, width).
-
-    transforms, in the order they are applied: (PREDICTOR, bits, modes), (CROSS_COLOUR, bits,
-    elements), (SUBTRACT_GREEN,) and (PALETTE,). meta: (bits, number of the code group of each block).
-    """
-    height, width = pixels.shape
-    w = Writer()
-    w.put(0x2F, 8)
-    w.put(width - 1, 14)
-    w.put(height - 1, 14)
-    w.put(int((pixels >> 24 != 255).any()), 1)
-    w.put(0, 3)
+def write_transforms(w: Writer, pixels: np.ndarray, transforms: list[tuple]) -> np.ndarray:
+    """Coded pixels after the transforms, which are written with their data."""
     for kind, *rest in transforms:
         w.put(1, 1)
         w.put(kind, 2)
@@ -542,12 +759,29 @@ def encode(pixels: np.ndarray, transforms: list[tuple] = (), cache_bits: int = 0
             bits = palette_bits(len(table))
             index = index.reshape(pixels.shape)
             across = (pixels.shape[1] + (1 << bits) - 1) >> bits
-            packed = np.zeros((height, across), np.uint32)
+            packed = np.zeros((len(pixels), across), np.uint32)
             for x in range(pixels.shape[1]):
                 packed[:, x >> bits] |= index[:, x].astype(np.uint32) << ((8 >> bits) * (x & ((1 << bits) - 1)))
             pixels = packed << 8
         else:
             pixels = _subtract_green(pixels, True)
+    return pixels
+
+
+def encode(pixels: np.ndarray, transforms: list[tuple] = (), cache_bits: int = 0, references: bool = True, meta: tuple[int, np.ndarray] | None = None) -> bytes:
+    """A lossless WebP file of pixels (height, width).
+
+    transforms, in the order they are applied: (PREDICTOR, bits, modes), (CROSS_COLOUR, bits,
+    elements), (SUBTRACT_GREEN,) and (PALETTE,). meta: (bits, number of the code group of each block).
+    """
+    height, width = pixels.shape
+    w = Writer()
+    w.put(0x2F, 8)
+    w.put(width - 1, 14)
+    w.put(height - 1, 14)
+    w.put(int((pixels >> 24 != 255).any()), 1)
+    w.put(0, 3)
+    pixels = write_transforms(w, pixels, transforms)
     w.put(0, 1)
     write_image(w, pixels, True, cache_bits, references, meta)
     return _file(w.bytes())
@@ -555,53 +789,145 @@ def encode(pixels: np.ndarray, transforms: list[tuple] = (), cache_bits: int = 0
 
 # --- texts as media --------------------------------------------------------------------------
 
-UNIT, WIDTH, ROWS = 192, 64, 4096
-_FREQUENT = b"\n !'(),-.:;?" + bytes(range(65, 91)) + bytes(range(97, 123))
-#: Nested alphabets of 64, 128 and 256 bytes, whose codes have 6, 7 and 8 bits.
-ALPHABETS = [
-    np.sort(np.frombuffer(bytes(a), np.uint8))
-    for a in (_FREQUENT, [9, 10, 13, *range(32, 127), 0xC2, 0xC3, *range(0xA0, 0xBC)], range(256))
-]
+UNIT, WIDTH, ROWS = 192, 64, 32
+#: Longest prefix code of a stored text, and bits of its colour cache where it has one.
+LONGEST, CACHE = 12, 7
+OPAQUE = np.uint32(255 << 24)
 
 
-@lru_cache
-def _head(kind: int, rows: int) -> tuple[int, int]:
-    """The stream's bits before the pixels, for an alphabet and a height."""
-    w = Writer()
-    w.put(0x2F, 8)
-    w.put(WIDTH - 1, 14)
-    w.put(rows - 1, 14)
-    w.put(0, 1 + 3 + 1 + 1 + 1)  # no alpha, version 0, no transform, cache or meta image
-    lengths = np.zeros(LITERALS, np.uint8)
-    lengths[ALPHABETS[kind]] = 6 + kind
-    alpha = np.zeros(LITERALS, np.uint8)
-    alpha[255] = 1
-    write_prefix(w, np.pad(lengths, (0, LENGTHS)))
-    write_prefix(w, lengths)
-    write_prefix(w, lengths)
-    write_prefix(w, alpha)
-    write_prefix(w, np.array([1] + [0] * (DISTANCES - 1), np.uint8))
-    return w.value, w.n
+_LOG = np.arange(1 << 16, dtype=float)
+_LOG[1:] *= np.log2(_LOG[1:])
+
 
+def entropy(counts: np.ndarray) -> float:
+    """Bits that so many symbols, fewer than 65,536, take without the code's own."""
+    return float(_LOG[counts.sum()] - _LOG[counts].sum())
 
-_RANK = []
-for _a in ALPHABETS:
-    _rank = np.full(256, 255, np.uint8)
-    _rank[_a] = np.arange(len(_a))
-    _RANK.append(_rank)
-_INSIDE = [np.isin(np.arange(256), a) for a in ALPHABETS]
+
+def _counts(pixels: np.ndarray) -> list[np.ndarray]:
+    """Counts of green, red and blue."""
+    c = channels(pixels.reshape(-1))
+    return [np.bincount(c[:, i], minlength=LITERALS) for i in (1, 2, 0)]
+
+
+def transforms_for(pixels: np.ndarray) -> list[tuple]:
+    """The transform that makes an image smallest by entropy, if one does."""
+    height, width = pixels.shape
+    alike = (pixels[:, 1:] == pixels[:, :-1]).mean() + ((pixels[1:] == pixels[:-1]).mean() if height > 1 else 0)
+    grey = ((pixels ^ pixels >> 8) & 255 == 0).mean()
+    if alike <= 0.1 and grey <= 0.1:
+        return []
+    found = [(sum(map(entropy, _counts(pixels))), [])]
+    if alike > 0.1:
+        colours, n = np.unique(pixels, return_counts=True)
+        if len(colours) <= 256:  # a table's entries take about 18 bits
+            found.append((18 * len(colours) + entropy(n) + 60, [(PALETTE,)]))
+        for mode in (1, 2):
+            modes = np.full(((height + 511) >> 9, (width + 511) >> 9), mode, np.uint32)
+            found.append((sum(map(entropy, _counts(_predictor(pixels, modes, 9, True)))) + 60, [(PREDICTOR, 9, modes)]))
+    found.append((sum(map(entropy, _counts(_subtract_green(pixels, True)))) + 3, [(SUBTRACT_GREEN,)]))
+    return min(found, key=lambda x: x[0])[1]
+
+
+def cache_hits(pixels: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Slot of each pixel in a colour cache, and whether the cache holds the pixel when it comes."""
+    slot = (CACHE_MULTIPLIER * pixels.astype(np.int64) & 0xFFFFFFFF) >> (32 - bits)
+    order = np.argsort(slot, kind="stable")
+    hit = np.zeros(len(pixels), bool)
+    hit[order[1:]] = (slot[order[1:]] == slot[order[:-1]]) & (pixels[order[1:]] == pixels[order[:-1]])
+    return slot, hit
+
+
+def repeats(pixels: np.ndarray) -> int:
+    """Runs of three pixels that an earlier place has too."""
+    if len(pixels) < 6:
+        return 0
+    x = pixels.astype(np.uint64)
+    key = np.sort(x[:-2] * np.uint64(0x9E3779B97F4A7C15) ^ x[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) ^ x[2:] * np.uint64(0x165667B19E3779F9))
+    return int((key[1:] == key[:-1]).sum())
+
+
+def _stream(values: np.ndarray, widths: np.ndarray) -> np.ndarray:
+    """Bits of values one after another, lowest first."""
+    each = np.repeat(values, widths)
+    each >>= np.arange(len(each)) - np.repeat(np.cumsum(widths) - widths, widths)
+    return (each & 1).astype(np.uint8)
+
+
+def _literals(pixels: np.ndarray, width: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Counts of the five alphabets, and (alphabet, symbol) of literals and cache hits in stream order as (places, symbols)."""
+    c = channels(pixels)
+    counts = _counts(pixels)
+    slot, hit = cache_hits(pixels, CACHE)
+    best, cached = sum(map(entropy, counts)), False
+    if 8 * hit.sum() > len(pixels):
+        kept = _counts(pixels[~hit])
+        green = np.concatenate([kept[0], np.zeros(LENGTHS, int), np.bincount(slot[hit], minlength=1 << CACHE)])
+        if sum(map(entropy, (green, *kept[1:]))) + 5 * min(hit.sum(), 1 << CACHE) < best:
+            counts, cached = [green, *kept[1:]], True
+    symbols = np.stack([c[:, 1], c[:, 2], c[:, 0]], 1).astype(np.int64)
+    places = np.tile(np.arange(3), (len(pixels), 1))
+    if cached:
+        symbols[hit, 0] = LITERALS + LENGTHS + slot[hit]
+        places[hit, 1:] = -1
+    keep = places.reshape(-1) >= 0
+    return counts, cached, places.reshape(-1)[keep], symbols.reshape(-1)[keep]
+
+
+def write_best(w: Writer, pixels: np.ndarray) -> np.ndarray:
+    """Header of the main image into w; the bits of its pixels: literals with cache hits, or back-references."""
+    width, pixels = pixels.shape[1], pixels.reshape(-1)
+    alpha = np.zeros(LITERALS, np.uint8)
+    alpha[255] = 1
+    distances = np.array([1] + [0] * (DISTANCES - 1), np.uint8)
+    if repeats(pixels) * 12 > len(pixels):
+        tokens = _tokens(pixels.tolist(), width, 0, True)
+        count = [np.zeros(n, np.int64) for n in (LITERALS + LENGTHS, LITERALS, LITERALS, LITERALS, DISTANCES)]
+        rows = []  # (alphabet, symbol, extra bits, their number)
+        for t in tokens:
+            if t[0] == "pixel":
+                rows += [(0, t[1] >> 8 & 255, 0, 0), (1, t[1] >> 16 & 255, 0, 0), (2, t[1] & 255, 0, 0)]
+            else:
+                rows += [(i, base + x[0], x[1], x[2]) for i, base, x in ((0, LITERALS, _split(t[1])), (4, 0, _split(t[2])))]
+        place, symbol, value, more = np.array(rows, np.int64).T
+        for i in (0, 1, 2, 4):
+            count[i] += np.bincount(symbol[place == i], minlength=len(count[i]))
+        w.put(0, 2)  # no cache, no meta image
+    else:
+        found, cached, place, symbol = _literals(pixels, width)
+        count = [np.pad(found[0], (0, max(0, LITERALS + LENGTHS - len(found[0])))), *found[1:]]
+        value = more = None
+        w.put(int(cached) | CACHE << 1 if cached else 0, 5 if cached else 1)
+        w.put(0, 1)
+    both = count[1] + count[2]
+    one = entropy(both) <= 1.01 * (entropy(count[1]) + entropy(count[2])) + 200  # red and blue with one code
+    green, red = code_lengths(count[0], len(count[0]), LONGEST), code_lengths(both if one else count[1], LITERALS, LONGEST)
+    lengths = [green, red, red if one else code_lengths(count[2], LITERALS, LONGEST), alpha, code_lengths(count[4], DISTANCES, LONGEST) if len(count) > 4 else distances]
+    made = [prefix_bits(x) for x in lengths[:2]]
+    for x in (*made, made[1] if one else prefix_bits(lengths[2]), *map(prefix_bits, lengths[3:])):
+        w.put(*x)
+    starts = np.cumsum([0] + [len(x) for x in lengths[:4]])
+    code, n = (np.concatenate(x) for x in zip(*map(stream_codes, lengths)))
+    at = starts[place] + symbol
+    if value is None:
+        return _stream(code[at], n[at])
+    return _stream(np.stack([code[at], value], 1).reshape(-1), np.stack([n[at], more], 1).reshape(-1))
 
 
 def image_of(payload: bytes) -> bytes:
     """A WebP file whose pixels, in reading order, have the payload's bytes as red, green, blue."""
-    data = np.frombuffer(payload, np.uint8)
-    kind = next(k for k in range(3) if k == 2 or _INSIDE[k][data].all())
-    n = 6 + kind
-    ranks = _RANK[kind][data].reshape(-1, 3)[:, [1, 0, 2]].reshape(-1)  # the stream has green, red, blue
-    value, at = _head(kind, len(data) // (3 * WIDTH))
-    body = np.unpackbits((ranks << (8 - n)).astype(np.uint8)[:, None], axis=1)[:, :n].reshape(-1)
-    start = np.unpackbits(np.frombuffer(value.to_bytes(-(-at // 8), "little"), np.uint8), bitorder="little")[:at]
-    return _file(np.packbits(np.concatenate([start, body]), bitorder="little").tobytes())
+    data = np.frombuffer(payload, np.uint8).reshape(-1, WIDTH, 3).astype(np.uint32)
+    pixels = OPAQUE | data[..., 0] << 16 | data[..., 1] << 8 | data[..., 2]
+    w = Writer()
+    w.put(0x2F, 8)
+    w.put(WIDTH - 1, 14)
+    w.put(len(pixels) - 1, 14)
+    w.put(0, 1 + 3)  # no alpha, version 0
+    coded = write_transforms(w, pixels, transforms_for(pixels))
+    w.put(0, 1)
+    body = write_best(w, coded)
+    head = np.unpackbits(np.frombuffer(w.bytes(), np.uint8), bitorder="little")[: w.n]
+    return _file(np.packbits(np.concatenate([head, body]), bitorder="little").tobytes())
 
 
 def store(payload: bytes) -> bytes:
@@ -610,14 +936,25 @@ def store(payload: bytes) -> bytes:
     return b"".join(image_of(payload[i : i + step]) for i in range(0, len(payload), step))
 
 
-def load(media: bytes) -> np.ndarray:
-    """Pixels of all images of a stored payload."""
+def files_of(media: bytes) -> list[bytes]:
     out, at = [], 0
     while at < len(media):
         size = struct.unpack_from("<I", media, at + 4)[0] + 8
-        out.append(decode(media[at : at + size]))
+        out.append(media[at : at + size])
         at += size
-    return np.concatenate(out)
+    return out
+
+
+def load_all(media: list[bytes]) -> list[np.ndarray]:
+    """Pixels of all images of each stored payload."""
+    files = [files_of(x) for x in media]
+    pixels = iter(decode_all([f for per in files for f in per]))
+    return [np.concatenate([next(pixels) for _ in per]) for per in files]
+
+
+def load(media: bytes) -> np.ndarray:
+    """Pixels of all images of a stored payload."""
+    return load_all([media])[0]
 
 
 def payload_of(pixels: np.ndarray) -> bytes:
@@ -655,10 +992,10 @@ def read_media(stored: DataFrame) -> DataFrame:
     """Pixels of every stored text, and from them its payload's digests and its feature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in batch_parts(whole, "media", 2_000_000)):
             rows = []
-            for doc_id, n, media in zip(*(c.to_pylist() for c in batch.columns)):
-                pixels = load(media)
+            ids, sizes, files = (c.to_pylist() for c in batch.columns)
+            for doc_id, n, media, pixels in zip(ids, sizes, files, load_all(files)):
                 payload = payload_of(pixels)
                 rows.append((doc_id, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature(pixels)))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]

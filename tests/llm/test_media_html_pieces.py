@@ -61,10 +61,65 @@ def test_near_table():
 
 
 def test_broken_streams_raise():
-    good = media_webp.store(b"abc" * 64)
-    for bad in (b"", good[:40], b"RIFX" + good[4:], good[:20] + b"\x00" + good[21:]):
-        with pytest.raises((ValueError, Exception)):
-            media_webp.decode(bad)
+    r = np.random.default_rng(1)
+    good = media_webp.store(r.integers(32, 127, 1920, dtype=np.uint8).tobytes())
+    for read in (media_webp.decode, lambda raw: media_webp.decode_all([raw])):
+        for bad in (b"", good[:40], good[:-200], b"RIFX" + good[4:], good[:20] + b"\x00" + good[21:]):
+            with pytest.raises(ValueError):
+                read(bad)
+    for _ in range(300):  # any other damage is an error or another image
+        bad = bytearray(good)
+        bad[r.integers(20, len(bad))] ^= 1 << int(r.integers(8))
+        for read in (media_webp.decode, lambda raw: media_webp.decode_all([raw])):
+            try:
+                read(bytes(bad))
+            except ValueError:
+                pass
+
+
+@pytest.mark.parametrize("size", [(1, 1, 1), (5, 7, 2), (9, 13, 4), (16, 16, 15), (11, 23, 200)])
+def test_side_by_side_is_one_by_one(size):
+    """Images of all kinds decoded together: caches, references, transforms, meta codes, alpha."""
+    h, w, colours = size
+    r = np.random.default_rng(h)
+    blocks = ((h + 3) // 4, (w + 3) // 4)
+    modes, elements = r.integers(0, 14, blocks).astype(np.uint32), r.integers(0, 1 << 24, blocks).astype(np.uint32)
+    meta = (2, r.integers(0, 3, blocks).astype(np.uint32))
+    files, want = [], []
+    for transforms in ([], [(PREDICTOR, 2, modes)], [(PREDICTOR, 2, modes * 0 + 1)], [(PREDICTOR, 2, modes * 0 + 2)], [(CROSS_COLOUR, 2, elements)], [(SUBTRACT_GREEN,)], [(PALETTE,)]):
+        for cache in (0, 1, 6):
+            for references in (False, True):
+                for groups in (None, meta if transforms != [(PALETTE,)] else None):
+                    p = image(r, h, w, colours)
+                    p[h // 2 :] = p[: h - h // 2] if r.random() < 0.5 else p[h // 2 :]
+                    want.append(p)
+                    files.append(media_webp.encode(p, transforms, cache, references, groups))
+    got = media_webp.decode_all(files)
+    assert all((a == b).all() for a, b in zip(got, want)) and all((media_webp.decode(f) == p).all() for f, p in zip(files, want))
+
+
+def test_stored_texts_use_the_format():
+    """Texts of the corpus come through prefix codes, cache, references and transforms, and get smaller."""
+    import duckdb
+
+    texts = duckdb.sql("select coalesce(text, '') from read_parquet('/root/testdata/sf0.001/documents.parquet')").fetchall()
+    payloads = [t.encode() + b" " * (max(192, -(-len(t.encode()) // 192) * 192) - len(t.encode())) for (t,) in texts] + [b"ab" * 96 * 20, bytes(range(64)) * 3 * 30]
+    media_webp.SEEN.clear()
+    media = [media_webp.store(p) for p in payloads]
+    assert [media_webp.payload_of(x) for x in media_webp.load_all(media)] == payloads
+    assert sum(map(len, media)) < 0.75 * sum(map(len, payloads))
+    assert all(media_webp.SEEN[k] > 0 for k in ("cache", "references", "palette", "predictor"))
+
+
+def test_feature_against_a_plain_loop():
+    r = np.random.default_rng(8)
+    for n in (1, 7, 64, 130):
+        pixels = r.integers(0, 1 << 24, (n, 64)).astype(np.uint32) | np.uint32(255 << 24)
+        flat = [((x >> 16) & 255, (x >> 8) & 255, x & 255) for x in pixels.reshape(-1).tolist()]
+        means = [sum(p[i] for p in flat) / len(flat) for i in range(3)]
+        cuts = [k * len(flat) // 64 for k in range(65)]
+        bits = "".join("1" if sum(map(sum, flat[a:b])) / (b - a) > sum(sum(p) for p in flat) / len(flat) else "0" for a, b in zip(cuts, cuts[1:]))
+        assert media_webp.feature(pixels) == ",".join(f"{m:.3f}" for m in means) + f",{int(bits, 2):016x}"
 
 
 def test_media_columns(spark, odd, odd_rows, empty):
