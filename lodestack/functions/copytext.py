@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-FIELD = r"\t((?:[^\\\t]|\\[\s\S]|\\$)*)"
+# Possessive, so that Java doesn't recurse at every character of a long field.
+FIELD = r"\t((?:[^\\\t]++|\\[\s\S]|\\$)*+)"
 TOKEN = r"\\(?:[0-7]{1,3}|x[0-9A-Fa-f]{1,2}|[\s\S])|[^\\]+|\\$"
 # The letters that escape a control character.
 ESCAPES = {"b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "v": "\v"}

@@ -16,7 +16,7 @@ def to_wkb(text: Column) -> Column:
     flags = F.conv(F.when(order == "01", F.substring(h, 9, 2)).otherwise(F.substring(h, 3, 2)), 16, 10).cast("int")
     clean = F.lpad(F.lower(F.hex(flags.bitwiseAND(0xDF))), 2, "0")
     kind = F.when(order == "01", F.concat(F.substring(h, 3, 6), clean)).otherwise(F.concat(clean, F.substring(h, 5, 6)))
-    out = F.when(~h.rlike("^(?:[0-9a-f]{2})*$"), F.raise_error(F.lit("geometry payload is not hexadecimal")))
+    out = F.when(~h.rlike("^(?:[0-9a-f]{2})*+$"), F.raise_error(F.lit("geometry payload is not hexadecimal")))
     out = out.when(F.length(h) < 10, F.raise_error(F.lit("geometry payload too short")))
     out = out.when(~order.isin("00", "01"), F.raise_error(F.concat(F.lit("invalid byte order "), order)))
     out = out.when(flags.bitwiseAND(0xD0) != 0, F.raise_error(F.lit("geometry with Z, M or bounding box is not supported")))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ELEMENT = r',((?:"(?:[^"\\]|\\[\s\S])*"|[^,"\\]|\\[\s\S])*)'
+# Possessive, so that Java doesn't recurse at every character of a long element.
+ELEMENT = r',((?:"(?:[^"\\]++|\\[\s\S])*+"|[^,"\\]++|\\[\s\S])*+)'
 
 
 def parse(text: Column) -> Column:

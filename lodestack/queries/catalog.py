@@ -163,28 +163,29 @@ def reference_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Datasets of three layers from parts and suppliers: paths that match by every rule."""
+    """Datasets of three layers, one of every part in each: paths that match by every rule, and paths that none does."""
     p = table(spark, sf_dir, "part")
     word = F.lower(F.regexp_replace("p_name", "[^A-Za-z0-9]+", " "))
     brand = F.lower(F.regexp_replace("p_brand", "[^A-Za-z0-9]+", "-"))
     key = F.col("p_partkey")
 
-    def layer(path, keep):
-        return p.filter(keep).select(path.alias("relative_path"), F.col("p_size").cast("long").alias("bytes"), F.lit(1).alias("files"), F.lit(".csv:1").alias("formats"))
+    def layer(path):
+        return p.select(path.alias("relative_path"), F.col("p_size").cast("long").alias("bytes"), F.lit(1).alias("files"), F.lit(".csv:1").alias("formats"))
 
     name = F.concat(word, F.lit(" "), key.cast("string"))
-    raw = layer(F.concat(brand, F.lit("/"), name), key % 2 == 0)
-    numpy = layer(F.when(key % 3 == 0, F.concat(brand, F.lit("/"), name)).when(key % 3 == 1, F.concat(F.lit("other/"), F.replace(name, F.lit(" "), F.lit("-")))).otherwise(F.concat(brand, F.lit("/"), name, F.lit("/part"))), key % 4 == 0)
-    parquet = layer(F.when(key % 5 == 0, F.concat(brand, F.lit("/"), F.replace(name, F.lit(" "), F.lit("_")))).otherwise(F.concat(brand, F.lit("/"), name, F.lit(" bis"))), key % 6 == 0)
+    raw = layer(F.concat(brand, F.lit("/"), name))
+    lost = F.concat(F.lit("attic/x"), key.cast("string"))
+    numpy = layer(F.when(key % 4 != 0, lost).when(key % 3 == 0, F.concat(brand, F.lit("/"), name)).when(key % 3 == 1, F.concat(F.lit("other/"), F.replace(name, F.lit(" "), F.lit("-")))).otherwise(F.concat(brand, F.lit("/"), name, F.lit("/part"))))
+    parquet = layer(F.when(key % 6 != 0, lost).when(key % 5 == 0, F.concat(brand, F.lit("/"), F.replace(name, F.lit(" "), F.lit("_")))).otherwise(F.concat(brand, F.lit("/"), name, F.lit(" bis"))))
     return raw, numpy, parquet
 
 
 _NAME = "lower(regexp_replace(p_name, '[^A-Za-z0-9]+', ' ', 'g')) || ' ' || p_partkey::varchar"
 LAYERS = f"""
 q as (select p_partkey as k, p_size::bigint as bytes, lower(regexp_replace(p_brand, '[^A-Za-z0-9]+', '-', 'g')) as brand, {_NAME} as name from part),
-raw as (select brand || '/' || name as path, bytes from q where k % 2 = 0),
-np as (select case k % 3 when 0 then brand || '/' || name when 1 then 'other/' || replace(name, ' ', '-') else brand || '/' || name || '/part' end as path, bytes from q where k % 4 = 0),
-pqt as (select case k % 5 when 0 then brand || '/' || replace(name, ' ', '_') else brand || '/' || name || ' bis' end as path, bytes from q where k % 6 = 0),
+raw as (select brand || '/' || name as path, bytes from q),
+np as (select case when k % 4 <> 0 then 'attic/x' || k::varchar when k % 3 = 0 then brand || '/' || name when k % 3 = 1 then 'other/' || replace(name, ' ', '-') else brand || '/' || name || '/part' end as path, bytes from q),
+pqt as (select case when k % 6 <> 0 then 'attic/x' || k::varchar when k % 5 = 0 then brand || '/' || replace(name, ' ', '_') else brand || '/' || name || ' bis' end as path, bytes from q),
 norm as (select path, trim(regexp_replace(lower(string_split(path, '/')[-1]), '[^a-z0-9]+', '-', 'g'), '-') as leaf, trim(regexp_replace(lower(regexp_replace(path, '/[^/]*$', '')), '[^a-z0-9]+', '-', 'g'), '-') as parent from (select path from raw union select path from np union select path from pqt)),
 tok as (select path, leaf, parent, list_distinct([x for x in string_split(leaf, '-') if length(x) >= 4]) as tokens from norm),
 pairs as (
@@ -270,7 +271,7 @@ def format_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.formats(rows, "dataset")
 
 
-@query("""with f as (select 'k' || (doc_id % 9)::varchar || '/' || source || case when doc_id % 9 < 3 then '/sub' else '' end as folder, case when doc_id = 27 then 'dataset.json' else 'd' || doc_id::varchar || '.parquet' end as name, strlen(text)::bigint as bytes from documents where doc_id % 9 <> 8 or doc_id % 2 = 0),
+@query("""with f as (select 'k' || (doc_id % 9)::varchar || '/' || source || case when doc_id % 9 < 3 then '/sub' else '' end as folder, case when doc_id = 27 then 'dataset.json' else 'd' || doc_id::varchar || '.parquet' end as name, strlen(text)::bigint as bytes from documents),
   b as (select distinct folder as bound from f where name = 'dataset.json'),
   i as (select f.*, coalesce((select min(bound) from b where folder = bound or starts_with(folder, bound || '/')), folder) as ds from f)
   select ds as relative_path, sum(bytes)::bigint as bytes, count(*)::int as files from i group by 1""")
@@ -279,7 +280,7 @@ def leaf_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("doc_id") % 9
     folder = F.concat(F.lit("k"), k.cast("string"), F.lit("/"), F.col("source"), F.when(k < 3, "/sub").otherwise(""))
     name = F.when(F.col("doc_id") == 27, "dataset.json").otherwise(F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".parquet")))
-    files = table(spark, sf_dir, "documents").filter((k != 8) | (F.col("doc_id") % 2 == 0)).select(F.concat(folder, F.lit("/"), name).alias("path"), F.octet_length("text").cast("long").alias("bytes"))
+    files = table(spark, sf_dir, "documents").select(F.concat(folder, F.lit("/"), name).alias("path"), F.octet_length("text").cast("long").alias("bytes"))
     return matching.inventory(files, "parquet").select("relative_path", "bytes", "files")
 
 

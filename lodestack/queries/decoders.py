@@ -21,12 +21,10 @@ def slug_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", names.slug(F.col("url")).alias("slug"), names.stable_name(F.col("url")).alias("stable_name"))
 
 
-@query("select doc_id, trim(regexp_replace(lower(strip_accents(substr(text, 1, 80))), '[^a-z0-9]+', '-', 'g'), '-') as name from documents where regexp_matches(substr(text, 1, 80), '^[\\x00-\\x7FÀ-ÖØ-öø-ÿ]*$') and not regexp_matches(substr(text, 1, 80), '[ßÆæÐðØøÞþ]')")
+@query("select doc_id, trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', '-', 'g'), '-') as name from documents")
 def normalized_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names without accents: of texts in Latin letters that decompose."""
-    head = F.substring("text", 1, 80)
-    rows = table(spark, sf_dir, "documents").filter(head.rlike(r"^[\x00-\x7FÀ-ÖØ-öø-ÿ]*$") & ~head.rlike("[ßÆæÐðØøÞþ]"))
-    return rows.select("doc_id", names.normalized(head).alias("name"))
+    """Whole texts as names: without accents, other characters as dashes."""
+    return table(spark, sf_dir, "documents").select("doc_id", names.normalized(F.col("text")).alias("name"))
 
 
 PATH = "regexp_replace(regexp_replace(url, '^[a-z]+://', ''), '[?#].*$', '')"
@@ -77,10 +75,10 @@ def copy_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_id", "user_id", "event_type", F.substring("odd", F.lit(1), F.length("odd") - 3 - F.length("event_type")).alias("props"), "value")
 
 
-@query("with t as (select doc_id, substr(text, 1, 200) as v from documents) select doc_id, v as a, case when doc_id % 3 = 0 then null else v end as b, 3 as n from t")
+@query("with t as (select doc_id, text as v from documents) select doc_id, v as a, case when doc_id % 3 = 0 then null else v end as b, 3 as n from t")
 def copy_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text and nulls through COPY fields."""
-    d = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 200).alias("v"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("v"))
     line = F.concat_ws("\t", copytext.escape(F.col("doc_id").cast("string")), copytext.escape(F.col("v")), copytext.escape(F.when(F.col("doc_id") % 3 != 0, F.col("v"))))
     row = d.select(copytext.parse_row(line).alias("f"))
     return row.select(F.col("f")[0].cast("long").alias("doc_id"), F.col("f")[1].alias("a"), F.col("f")[2].alias("b"), F.size("f").alias("n"))
@@ -203,7 +201,7 @@ def size_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.select("event_type", names.gib(F.col("b"), 6).alias("gib"), names.mib(F.col("b")).alias("mib"))
 
 
-@query("""with t as (select page_id, list_distinct([x for x in string_split(lower(regexp_replace(regexp_replace(url, '^[a-z]+://', ''), '[^A-Za-z0-9]+', '-', 'g')), '-') if length(x) >= 4]) as w from pages where page_id % 10 < 3)
+@query("""with t as (select page_id, list_distinct([x for x in string_split(lower(regexp_replace(regexp_replace(url, '^[a-z]+://', ''), '[^A-Za-z0-9]+', '-', 'g')), '-') if length(x) >= 4]) as w from pages)
   select a.page_id as left_page, b.page_id as right_page, len(list_intersect(a.w, b.w)) as common from t a join t b on a.page_id < b.page_id where len(list_intersect(a.w, b.w)) >= 2 and len(list_intersect(a.w, b.w)) / (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w))) >= 0.75""")
 def token_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of page names that share at least two long tokens and three quarters of them all.
@@ -213,7 +211,7 @@ def token_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     url = F.lower(F.regexp_replace(F.regexp_replace("url", "^[a-z]+://", ""), "[^A-Za-z0-9]+", "-"))
     words = F.sort_array(F.array_distinct(F.filter(F.split(url, "-"), lambda t: F.length(t) >= 4)))
-    rows = table(spark, sf_dir, "pages").filter("page_id % 10 < 3").select("page_id", words.alias("w"))
+    rows = table(spark, sf_dir, "pages").select("page_id", words.alias("w"))
     sets = rows.select("w").distinct()
     rank = sets.select(F.explode("w").alias("t")).groupBy("t").agg(F.count("*").alias("sets"))
     ranked = sets.select("w", F.explode("w").alias("t")).join(rank, "t").groupBy("w").agg(F.transform(F.sort_array(F.collect_list(F.struct("sets", "t"))), lambda x: x["t"]).alias("rare"))

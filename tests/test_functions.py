@@ -165,3 +165,12 @@ def test_ntriples(spark):
     assert [tuple(r) for r in ntriples.triples(df).collect()] == [("<a>", "<b>", '"c d . e"@fr', "literal"), ("_:x", "<p>", "<o>", "iri"), ("<s>", "<p>", "_:y", "bnode"), ("<s>", "<p>", "5", "other")]
     with pytest.raises(Exception, match="not an N-Triples line"):
         ntriples.triples(spark.createDataFrame([("<a> <b> <c>",)], "value string")).collect()
+
+
+def test_very_long_values(spark):
+    """Fields, elements and payloads of 300,000 characters with many escapes: no recursion by length."""
+    text = "ab\t\\\n\"{}," * 30_000
+    row = spark.createDataFrame([(text,)], "t string").select(
+        copytext.parse_row(F.concat_ws("\t", copytext.escape(F.col("t")), F.lit("x"))).alias("f"), pgarray.parse(pgarray.render(F.array("t", F.lit("y")))).alias("a"), F.length(ewkb.to_wkb(F.repeat(F.lit("00"), 200_000))).alias("n")
+    ).first()
+    assert list(row["f"]) == [text, "x"] and list(row["a"]) == [text, "y"]
