@@ -31,7 +31,7 @@ def convert_dump(spark: SparkSession, a) -> int:
 def migrate_tree(spark: SparkSession, a) -> int:
     only = None
     if a.preflight:
-        kinds, clash = migrate.preflight(migrate.selected(migrate.listing(spark, a.root), a.handled or ()))
+        kinds, clash = migrate.preflight(migrate.selected(migrate.listing(spark, a.root), a.handled or migrate.HANDLED))
         for r in kinds.collect():
             _tell(r.asDict())
         found = [r.asDict() for r in clash.collect()]
@@ -40,7 +40,7 @@ def migrate_tree(spark: SparkSession, a) -> int:
     if a.retry:
         sizes = migrate.listing(spark, a.root).select(F.col("path").alias("source"), "bytes")
         only = reconcile.retry_queue(catalogs.read_logs(spark, a.log), a.root, a.retry, sizes, a.kinds, a.min_size)
-    counts = migrate.run(spark, a.root, a.output, a.log, a.handled or (), None if a.retry else a.kinds, only)
+    counts = migrate.run(spark, a.root, a.output, a.log, a.handled or migrate.HANDLED, None if a.retry else a.kinds, only, floor=a.floor)
     _tell(counts)
     return 1 if counts.get("failed") else 0
 
@@ -164,7 +164,7 @@ def parser() -> argparse.ArgumentParser:
     flag, optional, many = {"action": "store_true"}, {}, {"nargs": "+"}
     needed = {"nargs": "+", "required": True}
     add("convert", convert_dump, source=None, output=None, catalog=optional, tables=many, allow_type_fallback=flag, reference=optional, dry_run=flag, member=optional)
-    add("migrate", migrate_tree, root=None, output=None, log=None, handled=many, kinds=many, retry=many, min_size={"type": int, "default": 0}, preflight=flag)
+    add("migrate", migrate_tree, root=None, output=None, log=None, handled=many, kinds=many, retry=many, min_size={"type": int, "default": 0}, floor={"type": int, "default": 20 << 30}, preflight=flag)
     add("triples", triples, sources=needed, output=None)
     add("features", features, sources=needed, output=None, work=None, csv_folder=optional)
     add("audit", audit, root=None, output=None)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gzip
+import io
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,6 +58,19 @@ def kind(path: Column, content: Column) -> Column:
     return F.when(plain_xml, "non-tabular").otherwise(found)
 
 
+def payload(data: bytes) -> str:
+    """Kind of gzipped bytes by what they hold: json.gz, csv.gz (a delimiter in the first line), or gzip."""
+    try:
+        with gzip.open(io.BytesIO(data)) as f:
+            start = f.read(256 << 10)
+    except (OSError, EOFError):
+        return "gzip"
+    if start.lstrip()[:1] in (b"{", b"["):
+        return "json.gz"
+    lines = start.decode("utf-8-sig", "replace").splitlines()
+    return "csv.gz" if lines and any(d in lines[0] for d in ";,\t|") else "gzip"
+
+
 def json_layout(text: Column) -> Column:
     """array, lines (several objects), object, empty or unknown, by the first characters.
 

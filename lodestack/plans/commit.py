@@ -7,18 +7,20 @@ import os
 import shutil
 import time
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 from typing import Any
 
+import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from lodestack.sources.files import atomic_json, utc_now
 
 MARKER = "_SUCCESS.json"
 #: Rows a part, and the Parquet settings of every writer.
 PART_ROWS = 250_000
-OPTIONS = {"compression": "zstd", "parquet.compression.codec.zstd.level": "3", "parquet.writer.version": "v2", "parquet.enable.dictionary": "true"}
+OPTIONS = {"compression": "zstd", "parquet.compression.codec.zstd.level": "3", "parquet.writer.version": "v2", "parquet.enable.dictionary": "true", "parquet.block.row.count.limit": "100000"}
 
 
 class CommitError(RuntimeError):
@@ -44,19 +46,48 @@ def is_complete(folder: str | Path, identity: dict[str, Any]) -> bool:
     return bool(marker) and marker.get("source") == identity and Path(folder).is_dir()
 
 
-def add_footer_metadata(folder: Path, metadata: dict[str, Any]) -> None:
-    """Put key-value metadata into the footers of a folder's files; each is copied group by group beside itself."""
+def add_footer_metadata(spark: SparkSession, folder: Path, metadata: dict[str, Any]) -> None:
+    """Put key-value metadata into the footers of a folder's files: tasks copy a file each, group by group, beside itself."""
     extra = {k.encode(): (v if isinstance(v, str) else json.dumps(v, ensure_ascii=False, separators=(",", ":"))).encode() for k, v in metadata.items()}
-    for f in sorted(folder.rglob("*.parquet")):
-        source = pq.ParquetFile(f)
-        schema = source.schema_arrow.with_metadata({**(source.schema_arrow.metadata or {}), **extra})
-        beside = f.with_suffix(".tmp")
-        with pq.ParquetWriter(beside, schema, compression="zstd", compression_level=3) as w:
-            for k in range(source.num_row_groups):
-                w.write_table(source.read_row_group(k).replace_schema_metadata(schema.metadata))
-        os.replace(beside, f)
-        crc = f.with_name(f".{f.name}.crc")
-        crc.unlink(missing_ok=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                f = Path(name)
+                source = pq.ParquetFile(f)
+                schema = source.schema_arrow.with_metadata({**(source.schema_arrow.metadata or {}), **extra})
+                beside = f.with_suffix(f".{uuid.uuid4().hex}.tmp")  # another attempt of the task writes another file
+                with pq.ParquetWriter(beside, schema, compression="zstd", compression_level=3) as w:
+                    for k in range(source.num_row_groups):
+                        w.write_table(source.read_row_group(k).replace_schema_metadata(schema.metadata))
+                os.replace(beside, f)
+                f.with_name(f".{f.name}.crc").unlink(missing_ok=True)
+            yield pa.RecordBatch.from_arrays([batch.column(0)], ["path"])
+
+    names = [str(f) for f in sorted(folder.rglob("*.parquet"))]
+    rows = spark.createDataFrame([(n,) for n in names], "path string").repartition(max(1, len(names)))
+    rows.mapInArrow(run, "path string").count()
+
+
+def commit_file(source: str | Path, target: str | Path, identity: dict[str, Any], extra: dict[str, Any] | None = None) -> dict[str, Any]:
+    """A Parquet file as a dataset at target, byte for byte: staged, its footer compared, put in place, marked."""
+    source, target = Path(source), Path(target)
+    if target.exists():
+        raise CommitError(f"{target} exists")
+    staging = target.with_name(f".{target.name}.{uuid.uuid4().hex}.staging")
+    began = time.time()
+    try:
+        staging.mkdir(parents=True)
+        shutil.copy2(source, staging / "part-00000.parquet")
+        rows, parts, size = footer_rows(staging)
+        if (rows, size) != (pq.read_metadata(source).num_rows, source.stat().st_size):
+            raise CommitError(f"{source} changed while it was copied")
+        marker = {"source": identity, "rows": rows, "parts": parts, "parquet_bytes": size, "elapsed_seconds": round(time.time() - began, 3), "completed_at": utc_now(), **(extra or {})}
+        atomic_json(staging / MARKER, marker)
+        os.replace(staging, target)
+        return marker
+    finally:
+        shutil.rmtree(staging, ignore_errors=True)
 
 
 def commit(df: DataFrame, target: str | Path, identity: dict[str, Any], expected_rows: int | None = None, part_rows: int = PART_ROWS, metadata: dict[str, Any] | None = None, extra: dict[str, Any] | None = None) -> dict[str, Any]:
@@ -77,7 +108,7 @@ def commit(df: DataFrame, target: str | Path, identity: dict[str, Any], expected
     try:
         df.observe(seen, F.count(F.lit(1)).alias("rows")).write.options(**OPTIONS, maxRecordsPerFile=part_rows).mode("errorifexists").parquet(str(staging))
         if metadata:
-            add_footer_metadata(staging, metadata)
+            add_footer_metadata(df.sparkSession, staging, metadata)
         rows, parts, size = footer_rows(staging)
         counts = {"written": seen.get["rows"], "in footers": rows, **({} if expected_rows is None else {"expected": expected_rows})}
         if len(set(counts.values())) > 1:

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import re
 import shutil
-import tempfile
+import threading
+import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestack.functions import names, sniff
 from lodestack.operators import layout
@@ -21,23 +25,45 @@ from lodestack.sources.files import append_jsonl, atomic_json, identity, utc_now
 #: Levels of archives within archives.
 DEPTH = 4
 ARCHIVES = ("zip", "7z")
+#: Files that are migrated at once.
+WORKERS = 4
+# Folders that have jobs of their own, and kinds of files that can go side by side.
+HANDLED = (
+    "territoire-geospatial/cadastre/batiments/base-donnees-nationale", "territoire-geospatial/cadastre/batiments/imope", "socio-economie/equipements/accessibilite/localisation-acces-population",
+    "climat-environnement/secheresse/vigieau", "tourisme/offre-nationale/datatourisme",
+)
+SIDE_BY_SIDE = ("parquet", "csv", "tsv", "csv.gz", "json", "json.gz", "geojson", "kml", "shapefile", "gpkg", "sqlite", "xlsx", "xls", "ods", "spreadsheetml", "zip", "7z")
+
+
+_LOGGING = threading.Lock()
 
 
 class Unsupported(ValueError):
     pass
 
 
+@F.pandas_udf(T.StringType())
+def _payload(content: pd.Series) -> pd.Series:
+    return content.map(lambda x: sniff.payload(bytes(x)))
+
+
 def listing(spark: SparkSession, root: str) -> DataFrame:
     """path, relative, bytes, kind, output of every file below root. Bytes are read only where the name doesn't tell the kind."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     base = str(root).replace("file://", "").rstrip("/")
     plain_path = F.regexp_replace("path", "^file:(//)?", "")
-    rows = files.select(plain_path.alias("path"), F.col("length").alias("bytes"), F.coalesce(sniff.by_suffix(F.col("path")), sniff.kind(F.col("path"), F.col("content"))).alias("kind"))
+    kind = F.coalesce(sniff.by_suffix(F.col("path")), sniff.kind(F.col("path"), F.col("content")))
+    rows = files.select(plain_path.alias("path"), F.col("length").alias("bytes"), F.when(kind == "gzip", _payload("content")).otherwise(kind).alias("kind"))
     relative = F.substring("path", F.lit(len(base) + 2), F.length("path"))
     return rows.select("path", relative.alias("relative"), "bytes", "kind", F.concat(relative, F.lit(".parquet")).alias("output"))
 
 
-def selected(files: DataFrame, handled: Iterable[str] = ()) -> DataFrame:
+def side_by_side(path: str, kind: str) -> bool:
+    """Whether a file may be migrated beside others: of a kind that takes little memory, or without a suffix."""
+    return kind in SIDE_BY_SIDE or (kind == "unknown" and not Path(path).suffix)
+
+
+def selected(files: DataFrame, handled: Iterable[str] = HANDLED) -> DataFrame:
     """Files outside folders that other jobs handle, and outside hidden folders."""
     out = files.filter(~F.exists(F.split("relative", "/"), lambda p: p.startswith(".")))
     for prefix in handled:
@@ -76,8 +102,6 @@ def reader(spark: SparkSession, path: str, kind: str) -> tuple[DataFrame, str]:
         return geo.read_geopackage(spark, path), "geo-layers"
     if kind in ("xlsx", "xls", "ods", "spreadsheetml"):
         return sheets.read_sheets(spark, path), "sheet-row-json"
-    if kind == "parquet":
-        return spark.read.parquet(path), "parquet"
     if kind == "text":
         return plain.read_lines(spark, path), "lossless-text-lines"
     if kind == "blob":
@@ -99,6 +123,8 @@ def migrate_file(spark: SparkSession, path: str, kind: str, target: Path, log: P
     try:
         if commit.is_complete(target, who):
             record |= {"status": "skip", "rows": commit.read_marker(target)["rows"]}
+        elif kind == "parquet":
+            record |= {"status": "done", "representation": "parquet", **_facts(commit.commit_file(path, target, who, extra={"kind": kind, "representation": "parquet"}))}
         elif kind in ARCHIVES:
             record |= _archive(spark, path, target, who, log, depth, record["source"])
         else:
@@ -118,7 +144,8 @@ def migrate_file(spark: SparkSession, path: str, kind: str, target: Path, log: P
             blob, representation = reader(spark, path, "blob")
             record |= {"status": "done", "representation": representation, **_facts(commit.commit(blob, target, who, extra={"kind": kind, "representation": representation}))}
     if log is not None:
-        append_jsonl(log, record)
+        with _LOGGING:
+            append_jsonl(log, record)
     return record
 
 
@@ -148,7 +175,7 @@ def _archive(spark: SparkSession, path: str, target: Path, who: dict[str, Any],
     """Migrate an archive's members into a folder; its marker is written only if no member failed. Partial members are counted."""
     if depth < 1:
         raise Unsupported("archives within archives are too deep")
-    folder = Path(tempfile.mkdtemp(prefix="lodestack-archive-"))
+    folder = target.with_name(f".{target.name}.{uuid.uuid4().hex}.members")  # beside the output, where executors see it
     counts: dict[str, int] = {}
     rows = 0
     try:
@@ -177,11 +204,12 @@ def _archive(spark: SparkSession, path: str, target: Path, who: dict[str, Any],
     return {"status": "done", "rows": rows, "members": counts}
 
 
-def run(spark: SparkSession, root: str, output: str | Path, log: str | Path, handled: Iterable[str] = (), kinds: Iterable[str] | None = None, only: DataFrame | None = None) -> dict[str, int]:
+def run(spark: SparkSession, root: str, output: str | Path, log: str | Path, handled: Iterable[str] = HANDLED, kinds: Iterable[str] | None = None, only: DataFrame | None = None, workers: int = WORKERS, floor: int | None = None) -> dict[str, int]:
     """Migrate all files below root (or those that only names by `source`); counts by status.
 
-    Colliding outputs raise before anything is written. Files go one after another; each file's
-    rows are read and written by all executors.
+    Colliding outputs raise before anything is written. Files that may go side by side do, at
+    most `workers` at once, each in jobs of its own: what fails is logged for that file and the others
+    go on. With floor, so many bytes must stay free on the output's disk before a file is begun.
     """
     files = selected(listing(spark, root), handled).filter("kind <> 'non-tabular'")
     if kinds is not None:
@@ -191,10 +219,32 @@ def run(spark: SparkSession, root: str, output: str | Path, log: str | Path, han
     _, clash = preflight(files)
     if found := clash.take(1):
         raise commit.CommitError(f"several files would become {found[0]['output']}: {found[0]['paths']}")
+
+    def one(f) -> str:
+        if floor is not None:
+            Path(output).mkdir(parents=True, exist_ok=True)
+            commit.free_space(output, f["bytes"], f["kind"].endswith(".gz"), floor)
+        return migrate_file(spark, f["path"], f["kind"], Path(output, f["output"]), Path(log))["status"]
+
     counts: dict[str, int] = {}
-    for f in files.orderBy("relative").toLocalIterator():
-        got = migrate_file(spark, f["path"], f["kind"], Path(output, f["output"]), Path(log))
-        counts[got["status"]] = counts.get(got["status"], 0) + 1
+    alone = []
+
+    def beside(f) -> bool:
+        if side_by_side(f["path"], f["kind"]):
+            return True
+        alone.append(f)
+        return False
+
+    with ThreadPoolExecutor(max(1, workers)) as pool:
+        waiting: list = []
+        for f in filter(beside, files.orderBy("relative").toLocalIterator()):
+            waiting.append(pool.submit(one, f))
+            if len(waiting) > 4 * workers:
+                status = waiting.pop(0).result()
+                counts[status] = counts.get(status, 0) + 1
+        statuses = [w.result() for w in waiting]
+    for status in (*statuses, *map(one, alone)):
+        counts[status] = counts.get(status, 0) + 1
     return counts
 
 

@@ -63,3 +63,38 @@ g as (
 l as (select * from (select *, row_number() over (partition by source order by ts desc, event_id desc) as rn from g) where rn = 1)
 """
 CLASS = "case when status in ('done', 'skip') then 'complete' when status = 'partial' then 'partial' when status = 'failed' then 'missing' when status = 'unsupported' then 'ignored' else 'unknown' end"
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the one that driver and executors share (spark.checkpoint.dir; a local one where that is unset)."""
+    import tempfile
+    import uuid
+
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        root = "file://" + tempfile.mkdtemp(prefix="lodestack-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/lodestack-{name}-{uuid.uuid4().hex}"
+
+
+def local(path: str) -> str:
+    """A path of the shared folder as the driver's own file system sees it."""
+    return path.removeprefix("file://") if path.startswith("file://") else path.removeprefix("file:")
+
+
+def one_file(lines: DataFrame, path: str, head: str = "", tail: str = "", gzipped: bool = False) -> str:
+    """Lines, in the order of lines' partitions, as one text file: tasks write the parts, which are then put one behind another."""
+    import gzip
+    import shutil
+    from pathlib import Path
+
+    lines.write.text(path + ".parts")
+    Path(local(path)).parent.mkdir(parents=True, exist_ok=True)
+    with (gzip.open if gzipped else open)(local(path), "wb") as out:
+        out.write(head.encode())
+        for part in sorted(Path(local(path + ".parts")).glob("part-*")):
+            with part.open("rb") as f:
+                shutil.copyfileobj(f, out)
+        out.write(tail.encode())
+    shutil.rmtree(local(path + ".parts"))
+    return path

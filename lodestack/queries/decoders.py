@@ -10,7 +10,7 @@ from lodestack.operators.ranking import ranked
 from lodestack.plans import commit
 from lodestack.queries.common import LOG, events_log, table
 from lodestack.registry import query
-from lodestack.sources import pgdump, sheets
+from lodestack.sources import pgdump
 from lodestack.streaming import status
 
 SLUG = "coalesce(nullif(trim(regexp_replace(lower({0}), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'dataset')"
@@ -170,25 +170,6 @@ def magic_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", sniff.by_magic(text.cast("binary")).alias("magic"), sniff.by_suffix(name).alias("suffix"))
 
 
-@query()
-def html_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of tables in pages: lines of a list are laid out as a table, as the pages hold none."""
-    html = F.regexp_replace(F.regexp_replace("html", "<ul>", "<table>"), "</ul>", "</table>")
-    html = F.regexp_replace(F.regexp_replace(html, "<li>", "<tr><td>"), "</li>", "</td></tr>")
-    rows = table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
-
-    def run(batches):
-        import json
-
-        import pyarrow as pa
-
-        for batch in batches:
-            out = [(i, t, json.dumps(cells, ensure_ascii=False)) for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for t, cells in sheets.html_tables(text or "")]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()), pa.array([r[2] for r in out], pa.string())], ["page_id", "table_number", "row_json"])
-
-    return rows.mapInArrow(run, "page_id long, table_number long, row_json string")
-
-
 @query("select doc_id, floor((row_number() over (order by doc_id) - 1) / 250)::bigint as part from documents")
 def part_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part of each row when parts hold exactly 250 rows in order: ranks from counts of at most 100,000 id ranges."""
