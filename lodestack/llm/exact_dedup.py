@@ -3,8 +3,9 @@
 Digests stream through keyed state on disk (RocksDB) that never expires. For each digest it
 retains the digest, the stable identifier that stays (largest doc_id), the content locator of
 that row (file and row index) and the number of rows. Rows whose digest is hit by another row
-are then checked byte for byte against the located content; a digest that two texts share is
-split into exact groups. Only DataFrame and Structured Streaming operations are used.
+are then checked byte for byte against the located content; of other rows, nearly all texts stay
+where they are, held back by a filter of fixed size. A digest that two texts share is split into
+exact groups. Only DataFrame and Structured Streaming operations are used.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestack.llm.work import fresh_path, join_by_key, located, materialise, settings
+from lodestack.llm.work import fresh_path, join_by_key, located, materialise, settings, sieve
 
 #: Rows of one digest that are checked in one task at most, about.
 CHECKED = 1000
@@ -67,7 +68,8 @@ def dedup(spark: SparkSession, docs: DataFrame, digest: Callable[[Column], Colum
     single = state.filter("n = 1").select(F.col("keep_id").alias("doc_id"), "keep_id", F.col("n").alias("group_size"), F.lit(True).alias("kept"), sha, F.col("keep_file").alias("file"), F.col("keep_row").alias("row"))
 
     members = join_by_key(landing, state.filter("n > 1"), "digest", "n", landing.count())
-    hits = source.select("file", "row", "text").join(members.hint("shuffle_hash"), ["file", "row"])
+    members = materialise(members, "exact-dedup-members")
+    hits = sieve(source.select("file", "row", "text"), members, "file", "row").join(members.hint("shuffle_hash"), ["file", "row"])
     parts = F.ceil(F.col("n") / CHECKED).cast("int")
     hits = materialise(hits.withColumn("salt", F.pmod(F.xxhash64("file", "row"), parts).cast("int")), "exact-dedup-hits")
     content = hits.filter("file = keep_file and row = keep_row").select("digest", F.col("text").alias("content"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("salt"))

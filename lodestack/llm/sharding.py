@@ -21,6 +21,8 @@ MORE, BEYOND = 8, 6
 BITS = 64
 #: Directory rows (about 100 bytes each) up to which the directory is broadcast.
 SMALL = 100_000
+#: Byte limit of a shard where the caller sets none: a 64th of all bytes, but within these bounds.
+LEAST, MOST = 64 << 10, 16 << 20
 
 
 def prefix(hashed: Column, depth: int | Column) -> Column:
@@ -85,16 +87,22 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("key"), size.alias("bytes"))
 
 
-def shards(spark: SparkSession, docs: DataFrame, limit: int = 16 << 20) -> DataFrame:
+def limit_for(rows: DataFrame) -> int:
+    """A 64th of all bytes, at least LEAST and at most MOST: small tables are split too."""
+    return max(LEAST, min(MOST, (rows.agg(F.sum("bytes")).first()[0] or 0) // 64))
+
+
+def shards(spark: SparkSession, docs: DataFrame, limit: int | None = None) -> DataFrame:
     """One row per document: doc_id, bytes, shard (bits), depth, shard_bytes, shard_documents, oversize.
 
-    bytes is the text's length in UTF-8; null text counts as empty. The key hashes doc_id and
-    text, so that rows of one doc_id can part; equal rows share a shard. oversize marks the only
+    limit is a shard's most bytes; None takes limit_for. bytes is the text's length in UTF-8; null
+    text counts as empty. The key hashes doc_id and text, so that rows of one doc_id can part;
+    equal rows share a shard. oversize marks the only
     shards that exceed the limit: those whose documents all have one key, such as a single
     document above it. An empty table gives no rows; columns but doc_id and text are not read.
     """
     rows = materialise(keyed(docs), "shard-keys")
-    return place(rows, directory_of(rows, limit)).select("doc_id", "bytes", "shard", "depth", "shard_bytes", "shard_documents", "oversize")
+    return place(rows, directory_of(rows, limit or limit_for(rows))).select("doc_id", "bytes", "shard", "depth", "shard_bytes", "shard_documents", "oversize")
 
 
 def write_shards(spark: SparkSession, docs: DataFrame, path: str, limit: int = 16 << 20) -> DataFrame:

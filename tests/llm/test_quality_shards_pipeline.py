@@ -157,6 +157,12 @@ def test_shards(spark, limit):
         assert not r["oversize"] or r["shard_documents"] == 1
 
 
+def test_the_query_splits_unevenly(spark):
+    got = queries.op9_sharding(spark, "/root/testdata/sf0.01").select("shard", "depth", "shard_bytes", "oversize").distinct().collect()
+    assert len(got) > 32 and len({r["depth"] for r in got}) > 1
+    assert all(r["oversize"] or r["shard_bytes"] <= sharding.LEAST for r in got)
+
+
 def test_shards_of_odd_rows(spark, odd, odd_rows, empty, tmp_path):
     got = sharding.shards(spark, odd, 50_000).collect()
     assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in odd_rows)
