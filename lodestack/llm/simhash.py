@@ -25,6 +25,8 @@ SEED = 42
 DIRECT = 2048
 #: Mean fingerprints a bucket beyond which more, longer keys are used.
 LOAD = 64
+#: Files of a round's table of labels: a file for so many links, but some at least.
+ROWS_A_FILE, MIN_FILES = 50_000, 8
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -156,23 +158,24 @@ def links(spark: SparkSession, classes: DataFrame, count: int, distance: int) ->
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
     """Vertices of edges (a, b) with the smallest vertex of their component: v, label.
 
-    Rounds of: take the least label among neighbours, then the label's own label. Every round is
+    Rounds of: the least of the labels of its neighbours and of its label's own label. Every round is
     a written table, so lost executors cost one round. The number of rounds grows with the
     logarithm of the diameter; if `most` didn't do, it raises instead of returning part.
     """
+    spark = edges.sparkSession
     ways = F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v"))))
     both = materialise(edges.select(ways.alias("e")).select("e.u", "e.v").distinct(), "links")
-    labels = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("v"), F.least("u", "m").alias("label")), "labels")
-    count = labels.count()
+    count = both.count()
+    files = min(partitions(spark), max(MIN_FILES, count // ROWS_A_FILE))  # small tables in few files
+    labels = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("v"), F.least("u", "m").alias("label")).coalesce(files), "labels")
     for _ in range(most):
         near = both.join(labels, "v").groupBy(F.col("u").alias("v")).agg(F.min("label").alias("near"))
-        step = labels.join(near, "v").select("v", F.least("label", "near").alias("label"), F.col("label").alias("old"))
-        step = materialise(step, "steps")
-        hop = step.groupBy("label").agg(F.count("*").alias("n")).join(step.select(F.col("v").alias("label"), F.col("label").alias("jump")), "label")
-        jumped = join_by_key(step, hop, "label", "n", count)  # most vertices of a large component have one label
-        new = materialise(jumped.select("v", F.col("jump").alias("label"), (F.col("jump") != F.col("old")).alias("moved")), "labels")
-        labels = new.select("v", "label")
-        if new.filter("moved").isEmpty():
+        hop = labels.groupBy("label").agg(F.count("*").alias("n")).join(labels.select(F.col("v").alias("label"), F.col("label").alias("jump")), "label")
+        jumped = join_by_key(labels, hop, "label", "n", count)  # most vertices of a large component have one label
+        step = jumped.join(near, "v").select("v", F.least("jump", "near").alias("new"), "label")
+        step = materialise(step.select("v", F.col("new").alias("label"), (F.col("new") != F.col("label")).alias("moved")).coalesce(files), "labels")
+        labels = step.select("v", "label")
+        if step.filter("moved").isEmpty():
             return labels
     raise RuntimeError(f"labels still move after {most} rounds")
 
