@@ -52,7 +52,7 @@ def convert(spark: SparkSession, source: str, output: str | Path, catalog_path:
     try:
         catalog = pgdump.load_catalog(catalog_path, source)
     except (OSError, ValueError):
-        catalog = pgdump.build_catalog(source, member)
+        catalog = pgdump.build_catalog(source, member, spark=spark)
         pgdump.save_catalog(catalog, catalog_path)
     entries = wanted(catalog, tables)
     earlier = load_reference(reference) if reference else {}

@@ -1,9 +1,11 @@
 """PostgreSQL dumps: an index of COPY blocks, and a data source that reads them by byte ranges.
 
 The dump is a plain `.sql` file, or one member of a tar, gzipped or not. Scanning it once gives a catalog:
-tables, columns, declared types, geometries and byte ranges. Ranges of an uncompressed
-dump are read in parallel, cut at row starts that the scan noted; a gzipped dump can't be
-entered in the middle, so it is one partition, or is unpacked first.
+tables, columns, declared types, geometries and byte ranges. An uncompressed dump is scanned in
+parallel: tasks find lines that may be control lines or ends of rows in their bytes, and the
+driver puts these few in order. Its rows are read in parallel too, cut at row starts that the
+scan noted; a gzipped dump can't be entered in the middle, so it is one partition, or is
+unpacked first.
 """
 
 from __future__ import annotations
@@ -14,8 +16,10 @@ import re
 import tarfile
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
+from itertools import islice
 from typing import Any, BinaryIO
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition
@@ -23,12 +27,15 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter
 from lodestack.functions import copytext, pgtypes
 from lodestack.sources.files import identity, open_bytes
 
+# The grammar of a dump's control lines.
 ALTER = re.compile(r'ALTER TABLE\s+"([^"]+)"\."([^"]+)"\s+ADD COLUMN\s+"([^"]+)"\s+(.+);', re.I)
 COPY = re.compile(r'COPY\s+"([^"]+)"\."([^"]+)"\s*\((.*)\)\s+FROM STDIN;', re.I)
 _QUOTED = r"'\s*([^']+?)\s*'"
 GEOMETRY = re.compile(rf"SELECT\s+AddGeometryColumn\({_QUOTED},{_QUOTED},{_QUOTED},\s*(\d+)\s*,{_QUOTED},\s*(\d+)\s*\);", re.I)
 COLUMN = re.compile(r'\s*(?:"((?:[^"]|"")*)"|([^",]*?))\s*(,|$)')
 CHUNK = 1 << 20
+#: Rows of an Arrow batch.
+BATCH = 10_000
 #: Bytes of rows a partition, about.
 SPLIT = 128 << 20
 
@@ -88,46 +95,125 @@ def goes_on(line: bytes) -> bool:
     return line.endswith(b"\n") and (len(body) - len(body.rstrip(b"\\"))) % 2 == 1
 
 
-def scan(stream: BinaryIO, tar_data_offset: int = 0, split: int = SPLIT) -> dict[str, Any]:
-    """Catalog of a dump: tables with columns, types, geometries, byte ranges, rows and row starts.
+#: Lines that may be control lines, wherever they stand.
+CONTROL = re.compile(rb"^(?:COPY|ALTER|SELECT)\b[^\n]*\n?", re.I | re.M)
+END = re.compile(rb"^\\\.\r?(?:\n|\Z)", re.M)
+GOES_ON = re.compile(rb"(\\+)\n")
+Fact = tuple[str, int, int, str, int]
 
-    A range begins at the COPY line and ends after the terminator. starts are offsets of rows, about
-    every `split` bytes, at which reading can begin.
+
+def facts(stream: BinaryIO, first: int, stop: int | None, split: int, inside: bool = False) -> Iterator[Fact]:
+    """(kind, offset, end, text, rows before it here) of lines of the text from first to stop: `control` lines,
+    `end` (a terminator), and a `row` about every quarter of split, of lines that begin a row; last `total`.
+
+    stream stands at first, which begins a line; stop ends one. A line begins a row unless the line
+    before it goes on (inside: that before the first does). Whole lines are scanned at once, CHUNK bytes or more.
+    """
+    rest, at, seen, noted = b"", first, 0, None
+    while True:
+        chunk = stream.read(CHUNK if stop is None else max(0, min(CHUNK, stop - at - len(rest))))
+        data = rest + chunk
+        cut = data.rfind(b"\n") + 1 if chunk else len(data)
+        block, rest = data[:cut], data[cut:]
+        # beginnings of lines that don't begin a row, as they follow one that goes on
+        inner = {m.end() for m in GOES_ON.finditer(block) if len(m[1]) % 2} | ({0} if inside and block else set())
+        inside = cut in inner if block else inside
+        inner.discard(cut)
+        marks = [(m.start(), "control", m) for m in CONTROL.finditer(block)] + [(m.start(), "end", m) for m in END.finditer(block)]
+        before = place = k = 0
+        order = sorted(inner)
+        for start, kind, m in sorted(marks, key=lambda x: x[0]):
+            if start in inner:
+                continue
+            before += block.count(b"\n", place, start)
+            place = start
+            while k < len(order) and order[k] < start:
+                k += 1
+            yield kind, at + start, at + m.end(), m[0].decode("utf-8", "replace") if kind == "control" else "", seen + before - k
+        x = 0
+        while x < cut:
+            wait = 0 if noted is None else noted + split // 4 - (at + x)
+            if wait <= 0 and x not in inner:
+                yield "row", at + x, at + x, "", 0
+                noted, wait = at + x, split // 4
+            x = block.find(b"\n", x + max(0, wait - 1)) + 1 or cut
+        seen += block.count(b"\n") + (block != b"" and not block.endswith(b"\n")) - len(inner)
+        at += cut
+        if not chunk:
+            yield "total", at, at, "", seen
+            return
+
+
+def assembled(found: list[Fact], tar_data_offset: int, split: int) -> dict[str, Any]:
+    """The catalog from a dump's facts in order of offset, rows counted from its beginning.
+
+    What looks like a control line within the rows of a table is a row.
     """
     types: dict[tuple, dict[str, str]] = {}
     geometries: dict[tuple, dict[str, Geometry]] = {}
-    tables, lines = [], physical_lines(stream)
-    for offset, raw in lines:
-        found = parse_control(raw.decode("utf-8"))
-        if found is None:
+    tables: list[dict[str, Any]] = []
+    copying: dict[str, Any] | None = None
+    for kind, offset, end, text, before in found:
+        if copying is not None:
+            if kind == "row" and offset > copying["starts"][-1] and offset - copying["starts"][-1] >= split:
+                copying["starts"].append(offset)
+            elif kind == "end":
+                rows = before - copying.pop("before") - 1
+                starts = [x for x in copying.pop("starts") if x < offset]
+                tables.append({**copying, "range_size": end - copying["sql_offset"], "rows": rows, "starts": starts if rows else []})
+                copying = None
+            continue
+        if kind != "control" or (control := parse_control(text)) is None:
             continue
-        kind, values = found
+        name, values = control
         key = values[:2]
-        if kind == "column":
+        if name == "column":
             types.setdefault(key, {})[values[2]] = values[3]
-        elif kind == "geometry":
+        elif name == "geometry":
             geometries.setdefault(key, {})[values[2].name] = values[2]
         else:
-            rows, starts, whole, end = 0, [], True, None
-            for at, line in lines:
-                if whole and ends_copy(line):
-                    end = at + len(line)
-                    break
-                if whole:
-                    rows += 1
-                    if not starts or at - starts[-1] >= split:
-                        starts.append(at)
-                whole = not goes_on(line)
-            if end is None:
-                raise EOFError(f"the dump ends within the rows of {key}")
-            tables.append({
-                "schema": key[0], "table": key[1], "columns": values[2], "pg_types": dict(types.get(key, {})),
-                "geometries": {n: asdict(g) for n, g in geometries.get(key, {}).items()},
-                "sql_offset": offset, "tar_offset": tar_data_offset + offset, "range_size": end - offset, "rows": rows, "starts": starts,
-            })
+            copying = {
+                "schema": key[0], "table": key[1], "columns": values[2], "pg_types": dict(types.get(key, {})), "geometries": {n: asdict(g) for n, g in geometries.get(key, {}).items()},
+                "sql_offset": offset, "tar_offset": tar_data_offset + offset, "before": before, "starts": [end],
+            }
+    if copying is not None:
+        raise EOFError(f"the dump ends within the rows of {(copying['schema'], copying['table'])}")
     return {"version": 1, "tar_data_offset": tar_data_offset, "tables": tables}
 
 
+def scan(stream: BinaryIO, tar_data_offset: int = 0, split: int = SPLIT) -> dict[str, Any]:
+    """Catalog of a dump: tables with columns, types, geometries, byte ranges, rows and row starts.
+
+    A range begins at the COPY line and ends after the terminator. starts are offsets of rows, about
+    every `split` bytes, at which reading can begin.
+    """
+    return assembled(sorted(facts(stream, 0, None, split), key=lambda f: (f[1], f[0])), tar_data_offset, split)
+
+
+def line_start(stream: BinaryIO, at: int, size: int) -> tuple[int, bool]:
+    """Where the first line from offset at on begins, and whether it goes on from the one before."""
+    if not at:
+        return 0, False
+    stream.seek(at - 1)
+    while True:
+        chunk = stream.read(CHUNK)
+        k = chunk.find(b"\n")
+        if k >= 0:
+            break
+        at += len(chunk)
+        if not chunk:
+            return size, False
+    begin = at + k
+    back = min(begin - 1, 1 << 12)
+    while True:
+        stream.seek(begin - 1 - back)
+        tail = stream.read(back)
+        run = len(tail) - len(tail.rstrip(b"\\"))
+        if run < back or back == begin - 1:
+            return begin, run % 2 == 1
+        back = min(begin - 1, back * 16)
+
+
 def open_dump(path: str, member: str | None = None) -> tuple[BinaryIO, int]:
     """Stream of the SQL text, and its offset in the tar (0 outside one).
 
@@ -148,10 +234,71 @@ def open_dump(path: str, member: str | None = None) -> tuple[BinaryIO, int]:
     raise FileNotFoundError(f"no SQL member in {path}")
 
 
-def build_catalog(path: str, member: str | None = None, split: int = SPLIT) -> dict[str, Any]:
+#: Bytes that a task scans, and those up to which a dump is scanned where it is asked for.
+SCANNED = 256 << 20
+
+
+def build_catalog(path: str, member: str | None = None, split: int = SPLIT, spark: SparkSession | None = None, scanned: int = SCANNED) -> dict[str, Any]:
+    """The catalog of a dump. With spark, an uncompressed one of more than `scanned` bytes is scanned by tasks."""
     stream, offset = open_dump(path, member)
     with stream:
-        return {**scan(stream, offset, split), "source": identity(path), "member": member}
+        plain = not _gzipped(path)
+        size = _text_size(path, member, offset) if plain and spark is not None else 0
+        found = scan(stream, offset, split) if size <= scanned else _parallel(spark, path, offset, size, split, scanned)
+    return {**found, "source": identity(path), "member": member}
+
+
+def _gzipped(path: str) -> bool:
+    with open_bytes(path) as f:
+        return f.read(2) == b"\x1f\x8b"
+
+
+def _text_size(path: str, member: str | None, offset: int) -> int:
+    if not offset:
+        return identity(path)["size"]
+    with open_bytes(path) as f:
+        return next(i.size for i in tarfile.open(fileobj=f, mode="r:") if i.offset_data == offset)
+
+
+class _Section:
+    """size bytes of a stream from offset on, as a stream of their own."""
+
+    def __init__(self, stream: BinaryIO, offset: int, size: int):
+        self.stream, self.offset, self.size, self.at = stream, offset, size, 0
+
+    def seek(self, at: int) -> None:
+        self.at = at
+
+    def read(self, n: int) -> bytes:
+        self.stream.seek(self.offset + self.at)
+        out = self.stream.read(max(0, min(n, self.size - self.at)))
+        self.at += len(out)
+        return out
+
+
+def _parallel(spark: SparkSession, path: str, offset: int, size: int, split: int, scanned: int) -> dict[str, Any]:
+    """scan by ranges of bytes: the driver gets what may be control lines, ends and some row starts."""
+    bounds = list(range(0, size, scanned))
+    schema = "part int, kind string, at long, until long, text string, n long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, low in zip(*(c.to_pylist() for c in batch.columns)):
+                with open_bytes(path) as raw:
+                    section = _Section(raw, offset, size)
+                    first, inside = line_start(section, low, size)
+                    stop, _ = line_start(section, low + scanned, size) if low + scanned < size else (size, False)
+                    section.seek(first)
+                    rows = [(part, *f) for f in facts(section, first, max(first, stop), split, inside)]
+                kinds = (pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], [x.split()[0] for x in schema.split(", ")])
+
+    parts = spark.createDataFrame(list(enumerate(bounds)), "part int, low long").repartitionByRange(len(bounds), "part")
+    found = [tuple(r) for r in parts.mapInArrow(run, schema).collect()]
+    base, total = {}, 0
+    for part, *_, n in sorted(f for f in found if f[1] == "total"):
+        base[part], total = total, total + n
+    return assembled(sorted(((k, a, u, t, n + base[p]) for p, k, a, u, t, n in found if k != "total"), key=lambda f: (f[1], f[0])), offset, split)
 
 
 def unpack(path: str, target: str, member: str | None = None) -> str:
@@ -226,7 +373,7 @@ class CopyReader(DataSourceReader):
                     out.append(p)
         return out or [CopyRange(-1, 0, False)]
 
-    def read(self, partition: CopyRange) -> Iterator[tuple]:
+    def read(self, partition: CopyRange) -> Iterator[pa.RecordBatch]:
         if partition.offset < 0:
             return
         if self.direct:
@@ -237,8 +384,9 @@ class CopyReader(DataSourceReader):
             stream.seek(partition.offset)
             base = partition.offset
             lines = ((base + at, line) for at, line in physical_lines(stream))
-            for row in logical_rows(lines, partition.stop):
-                yield partition.table, row
+            rows = logical_rows(lines, partition.stop)
+            while part := list(islice(rows, BATCH)):
+                yield pa.RecordBatch.from_arrays([pa.array([partition.table] * len(part), pa.string()), pa.array(part, pa.string())], ["table", "line"])
 
 
 class PruningCopyReader(CopyReader):
@@ -305,7 +453,7 @@ def typed(lines: DataFrame, entry: dict[str, Any], fallback: bool = False, colum
 def read_table(spark: SparkSession, path: str, table: str, catalog: str | None = None, fallback: bool = False, member: str | None = None) -> DataFrame:
     """A table of a dump, typed. Columns that a query doesn't select aren't decoded."""
     spark.dataSource.register(CopySource)
-    entry = entry_of(load_catalog(catalog, path) if catalog else build_catalog(path, member), table)
+    entry = entry_of(load_catalog(catalog, path) if catalog else build_catalog(path, member, spark=spark), table)
     read = spark.read.format("pgcopy").option("path", path).option("table", table)
     for key, v in (("catalog", catalog), ("member", member)):
         if v:

@@ -1,5 +1,6 @@
 import gzip
 import io
+import random
 import json
 import sqlite3
 import struct
@@ -90,6 +91,53 @@ def test_read_dump(spark, dump, tmp_path, form):
     assert Path(pgdump.unpack(path, str(tmp_path / "plain.sql"))).read_bytes() == (Path(path).read_bytes() if form in ("sql", "crlf") else DUMP.encode())
 
 
+def walked(text):
+    """Catalog facts line by line: (table, offset of COPY, end after the terminator, rows, offsets of rows)."""
+    out, table, whole, at = [], None, True, 0
+    for line in text.split(b"\n"):
+        line += b"\n" if at + len(line) < len(text) else b""
+        if table is None:
+            found = pgdump.parse_control(line.decode())
+            if found and found[0] == "copy":
+                table, whole = (found[1][1], at, []), True
+        elif whole and line.rstrip(b"\r\n") == b"\\.":
+            out.append((table[0], table[1], at + len(line), len(table[2]), table[2]))
+            table = None
+        else:
+            if whole:
+                table[2].append(at)
+            whole = not pgdump.goes_on(line)
+        at += len(line)
+    return out
+
+
+def tricky_dump(seed, crlf):
+    r = random.Random(seed)
+    text = ""
+    for t in range(4):
+        text += f'-- c\nALTER TABLE "s"."t{t}" ADD COLUMN "x" text;\n\nCOPY "s"."t{t}" ("x") FROM STDIN;\n'
+        for _ in range(r.randrange(0, 30)):
+            text += r.choice(["plain", "", "two\\\nlines", "three\\\n\\\nlines", "slash\\\\", 'COPY "s"."no" ("x") FROM STDIN;', 'ALTER TABLE "s"."t0" ADD COLUMN "q" text;', "\\\\\\\n\\.", "x" * 50]) + "\n"
+        text += "\\.\n"
+    return (text.replace("\n", "\r\n").replace("\\\r\n", "\\\n") if crlf else text).encode()
+
+
+@pytest.mark.parametrize("crlf", [False, True])
+def test_scan_by_ranges(spark, tmp_path, monkeypatch, crlf):
+    for seed in range(6):
+        text = tricky_dump(seed, crlf)
+        want = walked(text)
+        assert len(want) == 4
+        path = tmp_path / f"d{seed}.sql"
+        path.write_bytes(text)
+        for chunk in (1 << 20, 7):
+            monkeypatch.setattr(pgdump, "CHUNK", chunk)
+            for made in (pgdump.scan(io.BytesIO(text), split=20), *(pgdump.build_catalog(str(path), split=20, spark=spark, scanned=n) for n in ((40, 333) if chunk > 7 else ()))):
+                assert [(t["table"], t["sql_offset"], t["sql_offset"] + t["range_size"], t["rows"]) for t in made["tables"]] == [w[:4] for w in want]
+                for t, (*_, rows) in zip(made["tables"], want):
+                    assert set(t["starts"]) <= set(rows) and t["starts"][:1] == rows[:1] and all(b - a >= 20 for a, b in zip(t["starts"], t["starts"][1:]))
+
+
 def test_stale_catalog_raises(dump, tmp_path):
     pgdump.save_catalog(pgdump.build_catalog(dump), str(tmp_path / "c.json"))
     assert pgdump.load_catalog(str(tmp_path / "c.json"), dump)["tables"]
