@@ -134,6 +134,10 @@ def train(samples: dict[str, list[bytes]], order: int = 4, states: int = 6000) -
     return Model(languages, order, classes, step.reshape(-1), cost.reshape(-1, len(languages)))
 
 
+#: Most values of lang that are learned.
+LANGUAGES = 200
+
+
 def held_out(doc_id: Column) -> Column:
     """crc32 of the id as text leaves 2 modulo 4; a null id is not held out."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
@@ -142,17 +146,17 @@ def held_out(doc_id: Column) -> Column:
 def sample(docs: DataFrame, texts: int, longest: int, bytes_each: int) -> dict[str, list[bytes]]:
     """Bounded training sample: per language, whole texts in the order of a hash of the id.
 
-    At most about `texts` rows of at most `longest` characters reach the driver for each language,
-    and of those the first that hold `bytes_each` bytes together are learned from. Languages are labels,
-    of which there are few; the bound on rows is texts times languages.
+    At most about `texts` distinct rows of at most `longest` characters reach the driver for each
+    language, and of those the first that hold `bytes_each` bytes together are learned from. Of the
+    values of lang, the LANGUAGES most frequent are languages.
     """
     rows = docs.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("lang").cast("string").alias("lang"), "doc_id", "text")
-    number = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    number = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
     if not number:
         return {}
     share = F.create_map(*[F.lit(x) for k, n in number.items() for x in (k, min(1.0, texts / n))])
-    unit = (F.xxhash64("doc_id", "lang") / F.lit(2.0**64)) + 0.5
-    small = rows.filter((unit < share[F.col("lang")]) & (F.length("text") <= longest) & (F.length("text") > 0))
+    unit = (F.xxhash64("doc_id", "lang", "text") / F.lit(2.0**64)) + 0.5
+    small = rows.filter((unit < F.coalesce(share[F.col("lang")], F.lit(0.0))) & (F.length("text") <= longest) & (F.length("text") > 0)).distinct()
     out: dict[str, list[bytes]] = {}
     size: Counter = Counter()
     for r in small.withColumn("unit", unit).orderBy("unit", "doc_id", "text").select("lang", "text").toLocalIterator():

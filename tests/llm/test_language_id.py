@@ -94,3 +94,18 @@ def test_odd_rows(spark, odd, odd_rows, empty, corpus):
     assert kept.columns == odd.columns and not {1, 2, 8} & {r["doc_id"] for r in kept.collect()}
     assert language_id.keep_known(spark, unlabelled).filter("doc_id = 3").count() == 1
     assert language_id.keep_known(spark, corpus).count() == corpus.count()
+
+
+def test_sample_is_bounded(spark):
+    """Ids that repeat, equal rows, and a lang of its own for every row: what reaches the driver stays small."""
+    learned = [i for i in range(20) if zlib.crc32(str(i).encode()) % 4 != 2]
+    one = [(learned[0], f"the words of row {i}", "en") for i in range(3000)] + [(learned[1], "equal rows", "de")] * 3000
+    got = language_id.sample(spark.createDataFrame(one, "doc_id long, text string, lang string"), 100, 1000, 10**6)
+    assert 40 < len(got["en"]) < 200 and len(got.get("de", [])) <= 1
+    many = spark.range(2000).selectExpr("id as doc_id", "concat('text ', id) as text", "concat('l', id) as lang")
+    assert len(language_id.sample(many, 100, 1000, 10**6)) <= language_id.LANGUAGES
+
+
+def test_ties_go_to_the_first_language():
+    model = language_id.train({"b": [b"same text"], "a": [b"same text"]})
+    assert language_id.predict(model, ["same text"])[0] == ["a"]
