@@ -4,8 +4,8 @@ Two fingerprints that differ in at most `distance` bits agree on at least blocks
 `blocks` blocks, so each fingerprint is keyed by every such choice of blocks and only
 fingerprints with an equal key are compared. Equal fingerprints are one class before that, so
 copies are never paired. A bucket gives the edges of a spanning forest of its links, fewer than
-its fingerprints, instead of all pairs; components come from label propagation with pointer
-jumping over those edges.
+its fingerprints, instead of all pairs; components come from one task's union of those edges while
+they are few, else from label propagation with pointer jumping.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ SEED = 42
 DIRECT = 2048
 #: Mean fingerprints a bucket beyond which more, longer keys are used.
 LOAD = 64
+#: Edges, of 16 bytes each, that one task unites.
+LOCAL = 1_000_000
 #: Files of a round's table of labels: a file for so many links, but some at least.
 ROWS_A_FILE, MIN_FILES = 50_000, 8
 
@@ -155,14 +157,38 @@ def links(spark: SparkSession, classes: DataFrame, count: int, distance: int) ->
     return rows.repartition(partitions(spark), "key").sortWithinPartitions("key").mapInArrow(_bucket_edges(distance), "a long, b long")
 
 
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """v, label of a graph's edges, all in one task."""
+    parts = [[np.asarray(b.column(i)) for i in (0, 1)] for b in batches]
+    a, b = (np.concatenate([np.zeros(0, np.int64), *(p[i] for p in parts)]) for i in (0, 1))
+    v, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = at[: len(a)], at[len(a) :]
+    label = np.arange(len(v))
+    while True:
+        least = np.minimum(label[a], label[b])
+        new = label.copy()
+        for x in (a, b, label[a], label[b]):
+            np.minimum.at(new, x, least)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    for i in range(0, len(v), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(v[i : i + 100_000]), pa.array(v[label[i : i + 100_000]])], ["v", "label"])
+
+
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
     """Vertices of edges (a, b) with the smallest vertex of their component: v, label.
 
-    Rounds of: the least of the labels of its neighbours and of its label's own label. Every round is
-    a written table, so lost executors cost one round. The number of rounds grows with the
-    logarithm of the diameter; if `most` didn't do, it raises instead of returning part.
+    Up to LOCAL distinct edges, counted first, one task unites them in memory. Beyond, in rounds of: the
+    least of the labels of its neighbours and of its label's own label. Every round is a written
+    table, so lost executors cost one round. The number of rounds grows with the logarithm of
+    the diameter; if `most` didn't do, it raises instead of returning part.
     """
     spark = edges.sparkSession
+    edges = materialise(edges.select("a", "b").distinct(), "edges")
+    if edges.count() <= LOCAL:
+        return materialise(edges.coalesce(1).mapInArrow(_united, "v long, label long"), "labels")
     ways = F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v"))))
     both = materialise(edges.select(ways.alias("e")).select("e.u", "e.v").distinct(), "links")
     count = both.count()

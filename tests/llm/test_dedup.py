@@ -178,7 +178,9 @@ def test_large_buckets_are_split_without_loss(monkeypatch):
     assert len(set(zip(whole, split))) == len(set(whole)) == len(set(split))
 
 
-def test_components_of_chains(spark):
+@pytest.mark.parametrize("local", [simhash.LOCAL, 0])
+def test_components_of_chains(spark, monkeypatch, local):
+    monkeypatch.setattr(simhash, "LOCAL", local)
     edges = [(i, i + 1) for i in range(0, 300)] + [(1000, 1001), (1001, 1002), (-5, -4)]
     random.Random(1).shuffle(edges)
     got = {r["v"]: r["label"] for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -224,7 +226,8 @@ def edited_rows():
 
 @pytest.mark.parametrize("bins, block, direct, many", [(near_copies.BINS, near_copies.BLOCK, near_copies.DIRECT, 0), (1, 16, 8, 60), (4096, 4, 0, 60)])
 def test_near_copies_against_all_pairs(spark, monkeypatch, bins, block, direct, many):
-    """Also with components that must be split into blocks, many sets outside their largest part, and keys that are chained."""
+    """Also with components that must be split into blocks, many sets outside their largest part, keys that are chained, and graphs of many edges."""
+    monkeypatch.setattr(simhash, "LOCAL", simhash.LOCAL if bins > 1 else 0)
     monkeypatch.setattr(near_copies, "BINS", bins)
     monkeypatch.setattr(near_copies, "BLOCK", block)
     monkeypatch.setattr(near_copies, "DIRECT", direct)
