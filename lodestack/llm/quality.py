@@ -158,7 +158,7 @@ def taught(w: np.ndarray, x: np.ndarray, y: np.ndarray, lesson: np.ndarray, ridg
     return w - move * min(1.0, 5 / (np.abs(move).max() + 1e-12))
 
 
-def co_train(labelled: tuple[np.ndarray, ...], y: np.ndarray, pool: tuple[np.ndarray, ...] | Callable[[Model, float], Lessons], rounds: int = 3, sure: float = 0.97) -> Model:
+def co_train(labelled: tuple[np.ndarray, ...], y: np.ndarray, pool: tuple[np.ndarray, ...] | Callable[[Model, float], Lessons], rounds: int = 2, sure: float = 0.97) -> Model:
     """Co-training over two views. Every fourth labelled row is kept for calibration.
 
     pool: the other rows' views, or what gives their lessons for a model and a least
@@ -231,7 +231,7 @@ def lessons_of(spark: SparkSession, rows: DataFrame, model: Model, sure: float)
     return out
 
 
-def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, most_labelled: int = 3000, rounds: int = 3, sure: float = 0.97) -> Model | None:
+def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, most_labelled: int = 3000, rounds: int = 2, sure: float = 0.97) -> Model | None:
     """Fit on at most most_labelled labelled ids, the first by a hash, and on all rows of other ids.
 
     None if the labelled rows don't show both labels. Rows whose doc_id or label is null aren't
