@@ -60,6 +60,27 @@ def _keyed(datasets: DataFrame, side: str) -> DataFrame:
     return out.withColumn("tokens", tokens).select(*[F.col(c).alias(f"{side}_{c}") for c in ("relative_path", "leaf", "parent", "bytes", "tokens")])
 
 
+def _alike(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Pairs below one parent that share at least two tokens and three quarters of them all.
+
+    Such a pair shares one of the leading tokens of each side, the rarest of the parent, so a token
+    that many of a parent's datasets have joins none of them as long as they have rarer ones.
+    """
+    every = a.select(F.col("s_parent").alias("parent"), F.explode("s_tokens").alias("token")).unionByName(b.select(F.col("t_parent").alias("parent"), F.explode("t_tokens").alias("token")))
+    number = every.groupBy("parent", "token").agg(F.count("*").alias("n"))
+
+    def leading(rows: DataFrame, side: str) -> DataFrame:
+        own = rows.withColumn("parent", F.col(f"{side}_parent")).withColumn("token", F.explode(f"{side}_tokens")).join(number, ["parent", "token"])
+        keep = [c for c in rows.columns if c != f"{side}_tokens"]
+        rare = own.groupBy("parent", *keep).agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "token"))), lambda x: x["token"]).alias(f"{side}_rare"))
+        n = F.size(f"{side}_rare")
+        return rare.withColumn("token", F.explode(F.slice(f"{side}_rare", F.lit(1), n - F.ceil(n * 0.75).cast("int") + 1)))
+
+    found = leading(a, "s").join(leading(b, "t"), ["parent", "token"])
+    common = F.size(F.array_intersect("s_rare", "t_rare"))
+    return found.filter((common >= 2) & (common / (F.size("s_rare") + F.size("t_rare") - common) >= 0.75))
+
+
 def scored(sources: DataFrame, targets: DataFrame, same_name: bool = True) -> DataFrame:
     """raw_path, target_path, target_bytes, score, reason of every pair that matches, by the first rule that holds.
 
@@ -84,10 +105,7 @@ def scored(sources: DataFrame, targets: DataFrame, same_name: bool = True) -> Da
     upper = above.join(b, above["up"] == path)
     same_parent = F.col("s_parent") == F.col("t_parent")
     leaf = a.join(b, (a["s_leaf"] == b["t_leaf"]) if same_name else (a["s_leaf"] == b["t_leaf"]) & same_parent)
-    ta, tb = a.withColumn("token", F.explode("s_tokens")), b.withColumn("token", F.explode("t_tokens"))
-    common = ta.join(tb, (ta["s_parent"] == tb["t_parent"]) & (ta["token"] == tb["token"]))
-    counted = common.groupBy(*pair).agg(F.count("*").alias("common"), F.first(F.size("s_tokens")).alias("n"), F.first(F.size("t_tokens")).alias("m"))
-    alike = counted.filter((F.col("common") >= 2) & (F.col("common") / (F.col("n") + F.col("m") - F.col("common")) >= 0.75))
+    alike = _alike(a, b)
     every = [
         found(lower, (F.col("s_relative_path") == path, EXACT, 0), (None, RAW_PARENT, 1)), found(upper, (None, DERIVED_PARENT, 2)),
         found(leaf, (same_parent, PARENT_NAME, 3), (None, NAME, 4)), found(alike, (None, SIMILAR, 5)),

@@ -90,7 +90,9 @@ def read_any(spark: SparkSession, path: str, gzipped: bool = False) -> tuple[Dat
         out = read_strings(spark, path, gzipped=gzipped)
         out.write.format("noop").mode("overwrite").save()
         return out, "csv"
-    except Exception as e:  # a ragged or undecodable file; anything else fails again below
-        if isinstance(e, FileNotFoundError):
+    except ValueError:  # no header
+        pass
+    except Exception as e:
+        if "MALFORMED_CSV_RECORD" not in str(e):
             raise
-        return read_lossless(spark, path), "lossless-csv-row-json"
+    return read_lossless(spark, path), "lossless-csv-row-json"
