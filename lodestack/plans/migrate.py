@@ -20,11 +20,14 @@ from lodestack.functions import names, sniff
 from lodestack.operators import layout
 from lodestack.plans import commit
 from lodestack.sources import archives, delimited, geo, jsonfiles, plain, sheets
+from lodestack.plans.snapshots import slug
 from lodestack.sources.files import append_jsonl, atomic_json, identity, utc_now
 
 #: Levels of archives within archives.
 DEPTH = 4
 ARCHIVES = ("zip", "7z")
+#: Files that hold several tables.
+SEVERAL = ("gpkg", "sqlite", "xlsx", "xls", "ods", "spreadsheetml")
 #: Files that are migrated at once.
 WORKERS = 4
 # Folders that have jobs of their own, and kinds of files that can go side by side.
@@ -91,17 +94,13 @@ def reader(spark: SparkSession, path: str, kind: str) -> tuple[DataFrame, str]:
             return jsonfiles.read_object(spark, path), "lossless-top-level-object-json"
         raise Unsupported(f"JSON that is {shape}")
     if kind == "geojson":
-        return geo.read_geojson(spark, path), "geo"
+        return geo.attributes(geo.read_geojson(spark, path)), "geo"
     if kind == "geojson.gz":
         return jsonfiles.read_features(spark, path), "lossless-geojson-feature-text"
     if kind == "shapefile":
-        return geo.read_shapefile(spark, path), "geo"
+        return geo.attributes(geo.read_shapefile(spark, path)), "geo"
     if kind == "kml":
-        return geo.read_kml(spark, path), "geo"
-    if kind in ("gpkg", "sqlite"):
-        return geo.read_geopackage(spark, path), "geo-layers"
-    if kind in ("xlsx", "xls", "ods", "spreadsheetml"):
-        return sheets.read_sheets(spark, path), "sheet-row-json"
+        return geo.attributes(geo.read_kml(spark, path)), "geo"
     if kind == "text":
         return plain.read_lines(spark, path), "lossless-text-lines"
     if kind == "blob":
@@ -125,6 +124,8 @@ def migrate_file(spark: SparkSession, path: str, kind: str, target: Path, log: P
             record |= {"status": "skip", "rows": commit.read_marker(target)["rows"]}
         elif kind == "parquet":
             record |= {"status": "done", "representation": "parquet", **_facts(commit.commit_file(path, target, who, extra={"kind": kind, "representation": "parquet"}))}
+        elif kind in SEVERAL:
+            record |= _several(spark, path, kind, target, who)
         elif kind in ARCHIVES:
             record |= _archive(spark, path, target, who, log, depth, record["source"])
         else:
@@ -149,6 +150,28 @@ def migrate_file(spark: SparkSession, path: str, kind: str, target: Path, log: P
     return record
 
 
+def _several(spark: SparkSession, path: str, kind: str, target: Path, who: dict[str, Any]) -> dict[str, Any]:
+    """A dataset for each layer or sheet, in a folder whose marker is written last; those that are done are skipped."""
+    if kind in ("gpkg", "sqlite"):
+        rows = geo.read_geopackage(spark, path)
+        names_ = [r[0] for r in rows.select("layer").distinct().orderBy("layer").collect()]
+        parts, representation = [(n, geo.attributes(rows.filter(F.col("layer") == n).drop("layer"))) for n in names_], "geo-layers"
+    else:
+        parts, representation = sheets.tables(spark, path), "sheets"
+    outputs = [slug(n) for n, _ in parts]
+    if len(set(outputs)) < len(outputs):
+        raise commit.CommitError(f"several parts of {path} have one name: {sorted(outputs)}")
+    facts = []
+    for name, (_, df) in zip(outputs, parts):
+        place = target / f"{name}.parquet"
+        done = commit.is_complete(place, who)
+        facts.append(_facts(commit.read_marker(place) if done else commit.commit(df, place, who, extra={"kind": kind, "representation": representation})))
+    total = {k: sum(f[k] for f in facts) for k in ("rows", "bytes")}
+    target.mkdir(parents=True, exist_ok=True)
+    atomic_json(target / commit.MARKER, {"source": who, "rows": total["rows"], "parts": len(parts), "parquet_bytes": total["bytes"], "completed_at": utc_now()})
+    return {"status": "done", "representation": representation, **total}
+
+
 def _is_whole(rows: DataFrame | None) -> bool:
     return rows is not None and rows.filter("error is not null").isEmpty()
 

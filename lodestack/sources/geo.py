@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import sqlite3
 import struct
 import tempfile
@@ -209,6 +210,25 @@ def read_geopackage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "layer string, properties_json string, geometry binary")
 
 
+def attributes(rows: DataFrame) -> DataFrame:
+    """rows with a column for each member of properties_json, typed by all values, in place of it.
+
+    Members whose names differ by case alone, or that are called as another column, stay in
+    properties_json, together with all others; so does everything if there are no members.
+    """
+    found = rows.agg(F.schema_of_variant_agg(F.try_parse_json("properties_json"))).first()[0]
+    if not (found or "").startswith("OBJECT<"):
+        return rows
+    schema = re.sub(r"\bVOID\b", "STRING", re.sub(r"\bOBJECT<", "STRUCT<", found))
+    typed = rows.withColumn("_p", F.from_json("properties_json", schema))
+    names = typed.schema["_p"].dataType.names
+    others = [c for c in rows.columns if c != "properties_json"]
+    if not names or len({n.lower() for n in (*names, *others)}) < len(names) + len(others):
+        return rows
+    quoted = ["`" + n.replace("`", "``") + "`" for n in names]
+    return typed.select(*[F.col(f"_p.{q}").alias(n) for q, n in zip(quoted, names)], *others)
+
+
 #: Coordinate reference systems that need no other library (fixed values of the EPSG registry).
 CRS = {4326: ("WGS 84", "degree"), 2154: ("RGF93 v1 / Lambert-93", "metre"), 3857: ("WGS 84 / Pseudo-Mercator", "metre")}
 

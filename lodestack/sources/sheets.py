@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lodestack.sources.files import encoding_of
 
@@ -213,3 +214,21 @@ def read_sheets(spark: SparkSession, path: str) -> DataFrame:
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInArrow(run, "file string, sheet string, row_number long, row_json string")
+
+
+def tables(spark: SparkSession, path: str) -> list[tuple[str, DataFrame]]:
+    """Each sheet of one file as a table of strings: names from its first row, then a row each.
+
+    A name that is empty or was there before gets its column's number. A sheet of one row has no rows.
+    """
+    rows = read_sheets(spark, path)
+    sizes = rows.groupBy("sheet").agg(F.max(F.json_array_length("row_json")).alias("width"), F.max(F.when(F.col("row_number") == 1, F.col("row_json"))).alias("head"))
+    out = []
+    for r in sizes.orderBy("sheet").collect():  # one row a sheet
+        names: list[str] = []
+        for k, name in enumerate((json.loads(r["head"]) + [None] * r["width"])[: r["width"]]):
+            names.append(name if name and name.lower() not in {n.lower() for n in names} else f"{name or 'column'}.{k + 1}")
+        cells = F.from_json("row_json", "array<string>")
+        body = rows.filter((F.col("sheet") == r["sheet"]) & (F.col("row_number") > 1)).select(cells.alias("c"))
+        out.append((r["sheet"], body.select(*[F.get("c", F.lit(k)).alias(n) for k, n in enumerate(names)])))
+    return out

@@ -346,6 +346,36 @@ def test_migrate_and_retry(spark, tmp_path):
     assert [r["source"] for r in queue] == [str(raw / "e.rar")]
 
 
+def test_migrate_layers_and_sheets(spark, tmp_path):
+    """One dataset a layer with typed attributes, one a sheet of strings; a Parquet file byte for byte."""
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    db = sqlite3.connect(raw / "g.gpkg")
+    db.execute("create table roads (id integer, name text, length real)")
+    db.executemany("insert into roads values (?, ?, ?)", [(1, "a", 1.5), (2, None, 2.0)])
+    db.execute("create table places (v text)")
+    db.execute("insert into places values ('q')")
+    db.commit()
+    db.close()
+    make_zip(raw / "x.xlsx", {
+        "xl/workbook.xml": '<workbook xmlns:r="r"><sheets><sheet name="One" r:id="i1"/></sheets></workbook>', "xl/_rels/workbook.xml.rels": '<Relationships><Relationship Id="i1" Target="worksheets/s.xml"/></Relationships>',
+        "xl/worksheets/s.xml": '<worksheet><sheetData><row><c r="A1" t="inlineStr"><is><t>k</t></is></c><c r="C1" t="inlineStr"><is><t>K</t></is></c></row><row><c r="A2"><v>7</v></c><c r="C2"><v>2.5</v></c></row></sheetData></worksheet>',
+    })
+    (raw / "p.geojson").write_text('{"type":"FeatureCollection","features":[{"type":"Feature","properties":{"n":1,"s":"x"},"geometry":null},{"type":"Feature","properties":{"n":2.5},"geometry":null}]}')
+    spark.range(10).coalesce(1).write.parquet(str(tmp_path / "q"))
+    one = next((tmp_path / "q").glob("part-*.parquet"))
+    (raw / "q.parquet").write_bytes(one.read_bytes())
+    out = tmp_path / "out"
+    assert migrate.run(spark, str(raw), out, tmp_path / "log.jsonl") == {"done": 4}
+    roads = spark.read.parquet(str(out / "g.gpkg.parquet" / "roads.parquet"))
+    assert sorted((r["id"], r["name"], float(r["length"])) for r in roads.collect()) == [(1, "a", 1.5), (2, None, 2.0)] and dict(roads.dtypes)["id"] == "bigint"
+    assert spark.read.parquet(str(out / "g.gpkg.parquet" / "places.parquet")).first()["v"] == "q"
+    assert [r.asDict() for r in spark.read.parquet(str(out / "x.xlsx.parquet" / "one.parquet")).collect()] == [{"k": "7", "column.2": None, "K.3": "2.5"}]
+    assert sorted((float(r["n"]), r["s"], r["geometry"]) for r in spark.read.parquet(str(out / "p.geojson.parquet")).collect()) == [(1.0, "x", None), (2.5, None, None)]
+    assert next((out / "q.parquet.parquet").glob("*.parquet")).read_bytes() == one.read_bytes()
+    assert migrate.run(spark, str(raw), out, tmp_path / "log.jsonl") == {"skip": 4}
+
+
 def test_logs_in_order(spark, tmp_path):
     def put(name, *records):
         (tmp_path / name).write_text("\n".join(json.dumps(r) for r in records) + "\n\n")
