@@ -1009,7 +1009,8 @@ def media_columns(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Store every whole text as lossless WebP, read the stored bytes back, return digests and features.
 
     Empty and null texts are one unit of blanks; repeated rows are stored each; texts of more
-    than ROWS rows of pixels become several images; an empty table gives no rows; columns but
-    doc_id and text are not read.
+    than ROWS rows of pixels become several images; a text of more than 2 GB, which neither Arrow
+    nor Parquet holds as one value, raises when it is read; an empty table gives no rows; columns
+    but doc_id and text are not read.
     """
     return read_media(materialise(write_media(docs), "media"))

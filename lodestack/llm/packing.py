@@ -227,7 +227,8 @@ def pack(spark: SparkSession, docs: DataFrame, capacity: int = 1024, tokenizer:
     """Pack documents (doc_id, text) into sequences of at most capacity tokens.
 
     Null text counts as empty: a piece of one end id. Repeated rows are packed each. An empty
-    table gives no rows; other columns are ignored. Per piece: doc_id, piece, start, length,
+    table gives no rows; other columns are ignored. A text of more than 2 GB, which neither Arrow nor
+    Parquet holds as one value, raises when it is read. Per piece: doc_id, piece, start, length,
     ids_crc32, sequence_id, offset. The order of pieces within a length is arbitrary.
     """
     made = materialise(pieces(docs, capacity, tokenizer, end_id), "pieces")

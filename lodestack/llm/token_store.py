@@ -141,7 +141,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str | None = None, end_id
     """Encode documents (doc_id, text), append end_id to each, write segments in ascending doc_id order.
 
     Null text counts as empty, a null doc_id comes first, repeated doc_ids follow one another
-    ordered by text hash, an empty table gives no segments, other columns are ignored. A segment ends with
+    ordered by text hash, an empty table gives no segments, other columns are ignored,
+    a text of more than 2 GB, which neither Arrow nor Parquet holds as one value, raises. A segment ends with
     the document that fills it; a document is never cut. Text is shuffled once, by ranges.
     """
     model = tokenizer_path(tokenizer)
