@@ -37,6 +37,9 @@ PREDICTOR, CROSS_COLOUR, SUBTRACT_GREEN, PALETTE = range(4)
 NEAR = sorted(((x, y) for y in range(8) for x in range(-7, 9) if y or x > 0), key=lambda p: (p[0] ** 2 + p[1] ** 2, -p[1], -p[0]))
 
 
+_NEAR = np.array(NEAR)
+
+
 class Bits:
     def __init__(self, raw: bytes):
         self.raw, self.at, self.end = raw, 0, len(raw) * 8
@@ -518,6 +521,7 @@ def _side_by_side(images: list[Opened], groups: list[list[Prefix]], caches: list
             pixel = fixed[m] | red << 16 | green << 8 | blue
         if referring:
             copying = left[m] > 0
+            fresh = np.zeros(len(copying), bool)
             special = np.flatnonzero((green >= LITERALS) & ~copying)
             if len(special):
                 code = green[special] - LITERALS
@@ -531,20 +535,19 @@ def _side_by_side(images: list[Opened], groups: list[list[Prefix]], caches: list
                     ahead = window[here >> 3] >> (here & 7)
                     entry = flat[base[4][ref] + (ahead & mask[4][ref])]
                     far, most = extra(entry >> 4, ahead >> (entry & 15))
-                    near = np.array(NEAR)[np.minimum(far, len(NEAR)) - 1]
+                    near = _NEAR[np.minimum(far, len(NEAR)) - 1]
                     far = np.where(far > len(NEAR), far - len(NEAR), np.maximum(1, near[:, 0] + near[:, 1] * wide[ref]))
                     if (far > k).any() or (k + length > n[ref]).any():
                         raise ValueError("a back-reference leaves the image")
                     left[ref], back[ref] = length, far
                     step[ref] = here + (entry & 15) + most - place[ref]
-                    copying[ref] = True
+                    copying[ref] = fresh[ref] = True
                     SEEN["references"] += len(ref)
                 SEEN["cache"] += len(hit)
             if copying.any():
                 of = np.flatnonzero(copying)
                 pixel[of] = out[k - back[of], of]
-                began = np.isin(of, special)
-                step[of[~began]] = 0
+                step[of] = np.where(fresh[of], step[of], 0)
                 left[of] -= 1
         if len(cached):
             own = cached[cached < m.stop]
@@ -591,14 +594,18 @@ def code_lengths(count: Counter | np.ndarray, size: int, most: int = 15) -> np.n
     while True:
         made, parent, i, j = list(weight), [0] * (2 * n - 1), 0, n
         for new in range(n, 2 * n - 1):  # leaves and sums are both ascending
-            total = 0
-            for _ in range(2):
-                if i < n and (j >= new or made[i] <= made[j]):
-                    k, i = i, i + 1
-                else:
-                    k, j = j, j + 1
-                parent[k] = new
-                total += made[k]
+            if i < n and (j >= new or made[i] <= made[j]):
+                parent[i] = new
+                total, i = made[i], i + 1
+            else:
+                parent[j] = new
+                total, j = made[j], j + 1
+            if i < n and (j >= new or made[i] <= made[j]):
+                parent[i] = new
+                total, i = total + made[i], i + 1
+            else:
+                parent[j] = new
+                total, j = total + made[j], j + 1
             made.append(total)
         depth = [0] * (2 * n - 1)
         for k in range(2 * n - 3, -1, -1):
@@ -614,6 +621,23 @@ def write_prefix(w: Writer, lengths: np.ndarray) -> None:
     w.put(*prefix_bits(lengths))
 
 
+#: Typical numbers of the symbols that code lengths are written with (a code for those up to 15, one for those up to 12).
+TYPICAL = (24, 1, 4, 8, 12, 20, 28, 40, 40, 40, 40, 30, 20, 1, 1, 1, 8, 30, 24)
+
+
+@lru_cache
+def _length_code(longest: int) -> tuple[int, int, list[int], list[int]]:
+    """Head of a prefix code (bits, their number), and codes and sizes of code length symbols."""
+    lengths = code_lengths(np.array([n if k <= longest or k > 15 else 0 for k, n in enumerate(TYPICAL)]), 19, 7)
+    shown = max(4, 1 + max(k for k in range(19) if lengths[LENGTH_ORDER[k]]))
+    value, n = (shown - 4) << 1, 5
+    for k in range(shown):
+        value |= int(lengths[LENGTH_ORDER[k]]) << n
+        n += 3
+    code, size = (x.tolist() for x in stream_codes(lengths))
+    return value, n, code, size
+
+
 def prefix_bits(lengths: np.ndarray) -> tuple[int, int]:
     """A prefix code as it stands in the stream: bits, and their number."""
     used = np.flatnonzero(lengths)
@@ -621,40 +645,47 @@ def prefix_bits(lengths: np.ndarray) -> tuple[int, int]:
     if len(used) <= 2 and last < 256:
         return (1 | 1 << 2 | first << 3, 11) if len(used) == 1 else (1 | 1 << 1 | 1 << 2 | first << 3 | last << 11, 19)
     some = lengths[: last + 1]
-    cuts = np.concatenate([[0], np.flatnonzero(some[1:] != some[:-1]) + 1])
-    tokens = []  # (symbol, extra bits, their number)
-    for v, run in zip(some[cuts].tolist(), np.diff(np.append(cuts, last + 1)).tolist()):
+    cuts = np.flatnonzero(some[1:] != some[:-1]) + 1
+    value, n, code, size = _length_code(12 if some.max() <= 12 else 15)
+    body = at = tokens = start = 0
+    for stop in (*cuts.tolist(), last + 1):
+        v, run, start = int(some[start]), stop - start, stop
         if v:
-            tokens.append((v, 0, 0))
+            body |= code[v] << at
+            at += size[v]
+            tokens += 1
             run -= 1
             while run >= 3:
                 k = min(run, 6)
-                tokens.append((16, k - 3, 2))
+                body |= (code[16] | (k - 3) << size[16]) << at
+                at += size[16] + 2
+                tokens += 1
                 run -= k
         else:
             while run >= 3:
                 k = min(run, 138)
-                tokens.append((18, k - 11, 7) if k >= 11 else (17, k - 3, 3))
+                symbol, extra, more = (18, k - 11, 7) if k >= 11 else (17, k - 3, 3)
+                body |= (code[symbol] | extra << size[symbol]) << at
+                at += size[symbol] + more
+                tokens += 1
                 run -= k
-        tokens += [(v, 0, 0)] * run
-    tokens += [(0, 0, 0)] * (2 - len(tokens))
-    of_lengths = code_lengths(np.bincount([t[0] for t in tokens], minlength=19), 19, 7)
-    shown = max(4, 1 + max(k for k in range(19) if of_lengths[LENGTH_ORDER[k]]))
-    value, n = (shown - 4) << 1, 5
-    for k in range(shown):
-        value |= int(of_lengths[LENGTH_ORDER[k]]) << n
-        n += 3
-    if last + 1 < len(lengths):  # lengths behind the last token are zero
-        wide = next(x for x in range(2, 17, 2) if len(tokens) - 2 < 1 << x)
-        value |= (1 | (wide - 2) // 2 << 1 | (len(tokens) - 2) << 4) << n
+        for _ in range(run):
+            body |= code[v] << at
+            at += size[v]
+            tokens += 1
+    if last + 1 < len(lengths) and tokens > 1:  # lengths behind the last token are zero
+        wide = next(x for x in range(2, 17, 2) if tokens - 2 < 1 << x)
+        value |= (1 | (wide - 2) // 2 << 1 | (tokens - 2) << 4) << n
         n += 4 + wide
     else:
         n += 1
-    code, size = (x.tolist() for x in stream_codes(of_lengths))
-    for symbol, extra, more in tokens:
-        value |= (code[symbol] | extra << size[symbol]) << n
-        n += size[symbol] + more
-    return value, n
+        while last + 1 < len(lengths):  # one token alone: zeros to the end
+            run = min(138, len(lengths) - last - 1)
+            symbol, extra, more = (18, run - 11, 7) if run >= 11 else (17, run - 3, 3) if run >= 3 else (0, 0, 0)
+            body |= (code[symbol] | extra << size[symbol]) << at
+            at += size[symbol] + more
+            last += run if run >= 3 else 1
+    return value | body << n, n + at
 
 
 def _split(value: int) -> tuple[int, int, int]:
@@ -813,12 +844,13 @@ def _counts(pixels: np.ndarray) -> list[np.ndarray]:
 def transforms_for(pixels: np.ndarray) -> list[tuple]:
     """The transform that makes an image smallest by entropy, if one does."""
     height, width = pixels.shape
-    alike = (pixels[:, 1:] == pixels[:, :-1]).mean() + ((pixels[1:] == pixels[:-1]).mean() if height > 1 else 0)
-    grey = ((pixels ^ pixels >> 8) & 255 == 0).mean()
-    if alike <= 0.1 and grey <= 0.1:
+    flat = pixels.reshape(-1)
+    alike = np.count_nonzero(flat[1:] == flat[:-1]) + np.count_nonzero(flat[width:] == flat[:-width])
+    c = channels(flat)
+    if 10 * alike <= len(flat) and 10 * np.count_nonzero(c[:, 0] == c[:, 1]) <= len(flat):
         return []
     found = [(sum(map(entropy, _counts(pixels))), [])]
-    if alike > 0.1:
+    if 10 * alike > len(flat):
         colours, n = np.unique(pixels, return_counts=True)
         if len(colours) <= 256:  # a table's entries take about 18 bits
             found.append((18 * len(colours) + entropy(n) + 60, [(PALETTE,)]))
@@ -842,9 +874,9 @@ def repeats(pixels: np.ndarray) -> int:
     """Runs of three pixels that an earlier place has too."""
     if len(pixels) < 6:
         return 0
-    x = pixels.astype(np.uint64)
-    key = np.sort(x[:-2] * np.uint64(0x9E3779B97F4A7C15) ^ x[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) ^ x[2:] * np.uint64(0x165667B19E3779F9))
-    return int((key[1:] == key[:-1]).sum())
+    x = pixels * np.uint32(0x9E3779B1)
+    key = np.sort((x[:-2] * np.uint32(0x85EBCA6B) ^ x[1:-1]) * np.uint32(0xC2B2AE35) ^ x[2:])  # two keys are equal by chance once in millions
+    return np.count_nonzero(key[1:] == key[:-1])
 
 
 def _stream(values: np.ndarray, widths: np.ndarray) -> np.ndarray:
@@ -854,8 +886,8 @@ def _stream(values: np.ndarray, widths: np.ndarray) -> np.ndarray:
     return (each & 1).astype(np.uint8)
 
 
-def _literals(pixels: np.ndarray, width: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Counts of the five alphabets, and (alphabet, symbol) of literals and cache hits in stream order as (places, symbols)."""
+def _literals(pixels: np.ndarray) -> tuple[list[np.ndarray], bool, np.ndarray, np.ndarray]:
+    """Counts of green, red and blue, whether there is a cache, and alphabets and symbols in stream order."""
     c = channels(pixels)
     counts = _counts(pixels)
     slot, hit = cache_hits(pixels, CACHE)
@@ -874,13 +906,15 @@ def _literals(pixels: np.ndarray, width: int) -> tuple[list[np.ndarray], list[np
     return counts, cached, places.reshape(-1)[keep], symbols.reshape(-1)[keep]
 
 
+_ALPHA = np.zeros(LITERALS, np.uint8)
+_ALPHA[255] = 1
+_ALPHA_BITS, _NO_DISTANCE = prefix_bits(_ALPHA), prefix_bits(np.array([1] + [0] * (DISTANCES - 1), np.uint8))
+
+
 def write_best(w: Writer, pixels: np.ndarray) -> np.ndarray:
     """Header of the main image into w; the bits of its pixels: literals with cache hits, or back-references."""
     width, pixels = pixels.shape[1], pixels.reshape(-1)
-    alpha = np.zeros(LITERALS, np.uint8)
-    alpha[255] = 1
-    distances = np.array([1] + [0] * (DISTANCES - 1), np.uint8)
-    if repeats(pixels) * 12 > len(pixels):
+    if repeats(pixels) * 4 > len(pixels):
         tokens = _tokens(pixels.tolist(), width, 0, True)
         count = [np.zeros(n, np.int64) for n in (LITERALS + LENGTHS, LITERALS, LITERALS, LITERALS, DISTANCES)]
         rows = []  # (alphabet, symbol, extra bits, their number)
@@ -894,20 +928,25 @@ def write_best(w: Writer, pixels: np.ndarray) -> np.ndarray:
             count[i] += np.bincount(symbol[place == i], minlength=len(count[i]))
         w.put(0, 2)  # no cache, no meta image
     else:
-        found, cached, place, symbol = _literals(pixels, width)
+        found, cached, place, symbol = _literals(pixels)
         count = [np.pad(found[0], (0, max(0, LITERALS + LENGTHS - len(found[0])))), *found[1:]]
         value = more = None
         w.put(int(cached) | CACHE << 1 if cached else 0, 5 if cached else 1)
         w.put(0, 1)
     both = count[1] + count[2]
     one = entropy(both) <= 1.01 * (entropy(count[1]) + entropy(count[2])) + 200  # red and blue with one code
-    green, red = code_lengths(count[0], len(count[0]), LONGEST), code_lengths(both if one else count[1], LITERALS, LONGEST)
-    lengths = [green, red, red if one else code_lengths(count[2], LITERALS, LONGEST), alpha, code_lengths(count[4], DISTANCES, LONGEST) if len(count) > 4 else distances]
-    made = [prefix_bits(x) for x in lengths[:2]]
-    for x in (*made, made[1] if one else prefix_bits(lengths[2]), *map(prefix_bits, lengths[3:])):
+    red = code_lengths(both if one else count[1], LITERALS, LONGEST)
+    lengths = [code_lengths(count[0], len(count[0]), LONGEST), red, red if one else code_lengths(count[2], LITERALS, LONGEST)]
+    if len(count) > 4:
+        lengths += [_ALPHA, code_lengths(count[4], DISTANCES, LONGEST)]
+    made = [prefix_bits(x) for x in (lengths[:2] if one else lengths[:3])]
+    for x in (*made[:2], made[-1], _ALPHA_BITS, prefix_bits(lengths[4]) if len(count) > 4 else _NO_DISTANCE):
         w.put(*x)
-    starts = np.cumsum([0] + [len(x) for x in lengths[:4]])
-    code, n = (np.concatenate(x) for x in zip(*map(stream_codes, lengths)))
+    pairs = [stream_codes(x) for x in (lengths[:2] if one else lengths)]
+    if one:
+        pairs += [pairs[1], *map(stream_codes, lengths[3:])]
+    starts = np.cumsum([0] + [len(x) for x in lengths])[:-1]
+    code, n = (np.concatenate(x) for x in zip(*pairs))
     at = starts[place] + symbol
     if value is None:
         return _stream(code[at], n[at])
