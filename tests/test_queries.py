@@ -90,3 +90,16 @@ def test_inventory(spark):
     assert [(r["relative_path"], r["bytes"], r["files"], r["formats"]) for r in got] == [("domain/dataset-x", 8, 3, ".json:2,.parquet:1"), ("plain/deep", 4, 1, ".csv:1")]
     fast = spark.createDataFrame([("d", '{"bytes": 7, "ntriples_files": 1, "csv_files": 2}'), ("e", "{}")], "relative_path string, json string")
     assert [tuple(r) for r in matching.fast_inventory(fast).collect()] == [("parquet", "d", 7, 3, ".parquet:manifest")]
+
+
+def test_ranks_with_an_outlier(spark, monkeypatch):
+    """One far key doesn't put all others into one range; negative and repeated keys."""
+    from lodestack.operators import ranking
+
+    for name, value in (("RANGES", 10), ("LARGE", 4), ("FINER", 5)):
+        monkeypatch.setattr(ranking, name, value)
+    keys = [*range(-40, 60), *[7] * 9, 10**15, -(10**12)]
+    df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(4)
+    got = sorted((r["rank"], r["k"]) for r in ranking.ranked(df, "k").collect())
+    assert [r for r, _ in got] == list(range(1, len(keys) + 1)) and [k for _, k in got] == sorted(keys)
+    assert ranking.ranked(df.limit(0), "k").count() == 0
