@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestack.llm.token_ids import batch_parts
+from lodestack.llm.work import frugal
 
 UND = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -198,7 +199,7 @@ def identify(spark: SparkSession, docs: DataFrame, order: int = 4, states: int =
     model = spark.sparkContext.broadcast(train(learned, order, states) if learned else None)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in batch_parts(whole, "text")):
+        for batch in (part for whole in batches for part in batch_parts(whole, "text", 2_000_000)):
             names, scores, bits = predict(model.value, batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(bits, pa.float64())], ["doc_id", "held_out", "lang_pred", "score", "bits_per_byte"])
 
@@ -216,7 +217,7 @@ def keep_known(spark: SparkSession, docs: DataFrame, least: float = 0.4, order:
     model = spark.sparkContext.broadcast(train(learned, order, states) if learned else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in batch_parts(whole, "text")):
+        for batch in (part for whole in batches for part in batch_parts(whole, "text", 2_000_000)):
             found = batch.column(batch.schema.get_field_index("text")).to_pylist()
             if model.value is None:
                 keep = [bool(LETTER.search(t or "")) for t in found]
@@ -225,4 +226,4 @@ def keep_known(spark: SparkSession, docs: DataFrame, least: float = 0.4, order:
                 keep = [n != UND and s >= least for n, s in zip(names, scores)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(frugal(run), docs.schema)

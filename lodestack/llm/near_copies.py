@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestack.llm.simhash import SEED, components, kept_rows
-from lodestack.llm.work import in_files, join_by_key, located, materialise, partitions, sieve
+from lodestack.llm.work import frugal, in_files, join_by_key, located, materialise, partitions, sieve
 
 SHINGLE = 5
 #: Counters of the table that orders shingles, and counters a row of it.
@@ -125,9 +125,9 @@ def _added(bins: int):
 
 def common_order(rows: DataFrame, bins: int) -> np.ndarray:
     """For each counter of shingles, its place from rare (0) to frequent (255), over all texts of rows."""
-    parts = rows.select("text").mapInArrow(_tally(bins), "chunk int, at binary, n binary")
+    parts = rows.select("text").mapInArrow(frugal(_tally(bins)), "chunk int, at binary, n binary")
     parts = materialise(parts, "tally")
-    added = parts.repartition(partitions(rows.sparkSession), "chunk").mapInArrow(_added(bins), "chunk int, levels binary")
+    added = parts.repartition(partitions(rows.sparkSession), "chunk").mapInArrow(frugal(_added(bins)), "chunk int, levels binary")
     out = np.zeros(bins, np.uint8)
     for r in added.collect():  # bins bytes in all
         out[r["chunk"] * min(CHUNK, bins) :][: min(CHUNK, bins)] = np.frombuffer(r["levels"], np.uint8)
@@ -312,9 +312,9 @@ def candidates(spark: SparkSession, prints: DataFrame, classes: DataFrame) -> Da
         return rows.repartitionByRange(partitions(spark), "key", "size", "fp").sortWithinPartitions("key", "size", "fp")
 
     keyed = prints.select(F.posexplode("keys").alias("at", "key"), (F.shiftleft(F.col("size").cast("long"), 32) + F.col("at")).alias("size"), "fp").drop("at")
-    shared = materialise(dealt(keyed).mapInArrow(_shared, "key long, size long, fp long"), "shared")
+    shared = materialise(dealt(keyed).mapInArrow(frugal(_shared), "key long, size long, fp long"), "shared")
     with_sketch = materialise(shared.join(classes.select("fp", "sketch"), "fp").select("key", "size", "fp", "sketch"), "sketches")
-    found = materialise(dealt(with_sketch).mapInArrow(_paired, CHAINED), "candidates")
+    found = materialise(dealt(with_sketch).mapInArrow(frugal(_paired), CHAINED), "candidates")
     ends = sorted((r["part"], r["b"], r["key"], r["size"], r["a"]) for r in found.filter("part is not null").collect())  # two a part
     over = [(x[4], y[4]) for x, y in zip(ends[1::2], ends[2::2]) if x[2] == y[2] and x[4] != y[4] and 5 * (x[3] >> 32) >= 4 * (y[3] >> 32)]
     return found.filter("part is null").select("a", "b").union(spark.createDataFrame(over, "a long, b long"))
@@ -375,7 +375,7 @@ def compared(spark: SparkSession, rows: DataFrame, groups: DataFrame, order) ->
     """Edges (a, b): exact links within each group (label, part) of sets fp, whose texts stand at file and row."""
     texts = sieve(rows.select("file", "row", "text"), groups, "file", "row").join(groups, ["file", "row"]).select("label", "part", "fp", "text")
     dealt = texts.repartition(partitions(spark), "label", "part").sortWithinPartitions("label", "part")
-    return materialise(dealt.mapInArrow(_verified(order), "a long, b long"), "near-links")
+    return materialise(dealt.mapInArrow(frugal(_verified(order)), "a long, b long"), "near-links")
 
 
 def _large(spark: SparkSession, rows: DataFrame, members: DataFrame, order) -> DataFrame:
@@ -410,7 +410,7 @@ def near_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     docs = in_files(docs)
     rows = located(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text", "file", "row")
     order = spark.sparkContext.broadcast(common_order(rows, BINS))
-    prints = materialise(rows.mapInArrow(_prints(order), PRINTS), "shingles")
+    prints = materialise(rows.mapInArrow(frugal(_prints(order)), PRINTS), "shingles")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "file", "row")).alias("first")
     classes = materialise(prints.groupBy("fp").agg(first, F.count("*").alias("n"), F.first("size").alias("size"), F.first("sketch").alias("sketch")), "classes")
     maybe = components(candidates(spark, prints, classes))

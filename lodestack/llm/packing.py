@@ -23,8 +23,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestack.llm.token_ids import encoder, text_groups, tokenizer_path
-from lodestack.llm.work import materialise
+from lodestack.llm.work import frugal, materialise
 
+#: Bytes of texts that are encoded at once; what they need meanwhile is about ten times that.
+GROUP = 1_000_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, place long"
 RESULT = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
@@ -205,7 +207,7 @@ def pieces(docs: DataFrame, capacity: int, tokenizer: str | None, end_id: int) -
         tail = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
-            for a, b in text_groups(texts):
+            for a, b in text_groups(texts, GROUP):
                 rows = []
                 for key, raw in zip(keys[a:b], encoder(model).encode(texts.slice(a, b - a))):
                     raw += tail
@@ -220,7 +222,7 @@ def pieces(docs: DataFrame, capacity: int, tokenizer: str | None, end_id: int) -
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(frugal(cut, "encoders"), PIECES)
 
 
 def pack(spark: SparkSession, docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None, end_id: int = 2) -> DataFrame:

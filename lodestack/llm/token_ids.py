@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from lodestack.llm.work import KEPT
+
 MARKS = "!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 JOINED = 64  # chunks a call of the library
 
@@ -133,7 +135,7 @@ class ChunkEncoder:
         return out
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+_ENCODERS: dict[str, ChunkEncoder] = KEPT.setdefault("encoders", {})
 
 
 def encoder(path: str) -> ChunkEncoder:

@@ -229,3 +229,11 @@ def test_stages_take_odd_and_empty_tables(spark, odd, odd_rows, empty, labelled,
 def test_queries_are_registered():
     assert sorted(int(k.split("_")[0][2:]) for k in queries.QUERIES) == list(range(1, 11))
     assert simhash.SEED == 42
+
+
+def test_workers_drop_what_other_stages_keep():
+    from lodestack.llm import token_ids, work
+
+    token_ids.encoder(token_ids.tokenizer_path(None))
+    assert list(work.frugal(lambda batches: batches, "encoders")(iter([1]))) == [1] and token_ids._ENCODERS
+    assert list(work.frugal(lambda batches: batches)(iter([1]))) == [1] and not token_ids._ENCODERS
