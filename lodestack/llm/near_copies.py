@@ -1,4 +1,9 @@
-"""Near copies by the Jaccard similarity of word shingles, without losing a pair.
+"""Near copies by SimHash and by the Jaccard similarity of word shingles, without losing a pair.
+
+Sets have SimHash fingerprints (bits set in over half of their elements); those that differ in at
+most DISTANCE bits are found by pigeonhole blocks and linked as candidates, as in simhash.py. Most
+pairs near the limit differ in more bits, so candidates that SimHash misses are added from the
+elements themselves, where it has not linked the sets already. All candidates are compared exactly.
 
 Two sets with a similarity of at least 4/5 share one of their leading elements, the first
 n - ceil(4n/5) + 1 in any common order, so only sets with an equal leading element are
@@ -26,10 +31,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestack.llm.simhash import SEED, components, kept_rows
+from lodestack.llm.simhash import SEED, components, kept_rows, links, majority
 from lodestack.llm.work import frugal, in_files, join_by_key, located, materialise, partitions, sieve
 
 SHINGLE = 5
+#: Bits of 64 in which SimHash fingerprints of linked sets differ at most.
+DISTANCE = 6
 #: Counters of the table that orders shingles, and counters a row of it.
 BINS = 1 << 22
 CHUNK = 1 << 12
@@ -134,7 +141,7 @@ def common_order(rows: DataFrame, bins: int) -> np.ndarray:
     return out
 
 
-PRINTS = "doc_id long, file string, row long, fp long, size int, sketch binary, keys array<long>"
+PRINTS = "doc_id long, file string, row long, fp long, sim long, size int, sketch binary, keys array<long>"
 
 
 def _prints(order):
@@ -142,16 +149,17 @@ def _prints(order):
         import xxhash
 
         for batch in (b.slice(i, 1000) for b in batches for i in range(0, len(b), 1000)):
-            fp, size, sketch, keys, cuts = [], [], [], [np.zeros(0, np.uint64)], [0]
+            fp, sim, size, sketch, keys, cuts = [], [], [], [], [np.zeros(0, np.uint64)], [0]
             for text in batch.column(1):
                 values = shingles(text.as_py())
                 fp.append(xxhash.xxh64_intdigest(values.tobytes(), SEED))
+                sim.append(majority((values[i : i + 65536] for i in range(0, len(values), 65536)), len(values)))
                 size.append(len(values))
                 sketch.append(parities(values))
                 keys.append(leading(values, order.value))
                 cuts.append(cuts[-1] + len(keys[-1]))
             lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate(keys).view(np.int64)))
-            made = [pa.array(np.array(fp, np.uint64).view(np.int64)), pa.array(size, pa.int32()), pa.array(sketch, pa.binary()), lists]
+            made = [*(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fp, sim)), pa.array(size, pa.int32()), pa.array(sketch, pa.binary()), lists]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), *made], [x.split()[0] for x in PRINTS.split(", ")])
 
     return run
@@ -238,6 +246,17 @@ def folded(sketches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out, full
 
 
+def by_simhash(spark: SparkSession, classes: DataFrame) -> DataFrame:
+    """fp, near of each class: near is the least fp of the component that links of SimHash fingerprints (sim) put it in."""
+    total = classes.count()
+    sims = materialise(classes.groupBy("sim").agg(F.min("fp").alias("least"), F.count("*").alias("n")), "simhashes")
+    found = components(links(spark, sims.select(F.col("sim").alias("fp")), sims.count(), DISTANCE))
+    sims = materialise(sims.join(found, sims["sim"] == found["v"], "left").select("sim", "least", "n", F.coalesce("label", "sim").alias("label")), "simhashes")
+    groups = sims.groupBy("label").agg(F.min("least").alias("near"), F.count("*").alias("members"))
+    named = join_by_key(sims.select("sim", "n", "label"), groups, "label", "members", total).select("sim", "n", "near")
+    return materialise(join_by_key(classes.select("sim", "fp"), named, "sim", "n", total).select("fp", "near"), "simhash-links")
+
+
 CHAINED = "a long, b long, part int, key long, size long"
 
 
@@ -248,26 +267,28 @@ def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = ends or [[None] * len(a)] * 3
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(ends[0], pa.int32()), pa.array(ends[1], pa.int64()), pa.array(ends[2], pa.int64())], [x.split()[0] for x in CHAINED.split(", ")])
 
-    def chain(key, packed, fp) -> pa.RecordBatch:
+    def chain(key, packed, fp, near) -> pa.RecordBatch:
         """Neighbours: sets of fitting sizes are joined by those between them."""
         size = packed >> 32
-        at = np.flatnonzero((key[:-1] == key[1:]) & (fp[:-1] != fp[1:]) & (5 * size[:-1] >= 4 * size[1:]))
+        at = np.flatnonzero((key[:-1] == key[1:]) & (near[:-1] != near[1:]) & (5 * size[:-1] >= 4 * size[1:]))
         return made(fp[at], fp[at + 1])
 
-    def compared(key, packed, fp, sketch, full) -> pa.RecordBatch:
-        """Edges of rows of whole keys."""
+    def compared(key, packed, fp, near, sketch, full) -> pa.RecordBatch:
+        """Edges of rows of whole keys; sets that SimHash has linked need none."""
         size, place = packed >> 32, packed & 0xFFFFFFFF
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         ends = np.append(starts[1:], len(key))
+        mixed = np.minimum.reduceat(near, starts) != np.maximum.reduceat(near, starts)
+        starts, ends = starts[mixed], ends[mixed]
         two = starts[ends - starts == 2]
         two = two[allowed(two, two + 1, size, place, sketch, full)]
         a, b = [fp[two]], [fp[two + 1]]
         for x, y in zip(starts.tolist(), ends.tolist()):
             if y - x > 2:
                 if y - x > DIRECT:
-                    links = chain(key[x:y], packed[x:y], fp[x:y])
-                    a.append(np.asarray(links.column(0)))
-                    b.append(np.asarray(links.column(1)))
+                    edges = chain(key[x:y], packed[x:y], fp[x:y], near[x:y])
+                    a.append(np.asarray(edges.column(0)))
+                    b.append(np.asarray(edges.column(1)))
                 elif found := forest(fp[x:y], size[x:y], place[x:y], sketch[x:y], full[x:y]):
                     at = np.array(found) + x
                     a.append(fp[at[:, 0]])
@@ -276,11 +297,11 @@ def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return made(a[a != b], b[a != b])
 
     part, chained, last = TaskContext.get().partitionId(), None, None  # chained: a key that goes beyond these rows
-    held = [np.zeros(0, np.int64)] * 3 + [np.zeros((0, (SKETCH + SKETCH_LONG) // 64), np.uint64), np.zeros(0, bool)]
+    held = [np.zeros(0, np.int64)] * 4 + [np.zeros((0, (SKETCH + SKETCH_LONG) // 64), np.uint64), np.zeros(0, bool)]
     for batch in batches:
         if not len(batch):
             continue
-        new = [np.asarray(batch.column(i)).astype(np.int64) for i in range(3)] + [*folded(batch.column(3).to_pylist())]
+        new = [np.asarray(batch.column(i)).astype(np.int64) for i in range(4)] + [*folded(batch.column(4).to_pylist())]
         if chained is None:
             chained = new[0][0]
             yield made(new[2][:1], [0], [[part], new[0][:1], new[1][:1]])
@@ -289,31 +310,33 @@ def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = [x[:cut] for x in held]
         if cut:
             own = int(np.searchsorted(done[0], chained, "right"))
-            yield chain(*(x[:own] for x in done[:3]))
+            yield chain(*(x[:own] for x in done[:4]))
             if own < cut:
                 yield compared(*(x[own:] for x in done))
             held = [x[cut:] for x in held]
         if len(held[0]) > 20 * DIRECT:  # a very frequent key is chained as it comes
-            yield chain(*held[:3])
+            yield chain(*held[:4])
             held, chained = [x[-1:] for x in held], held[0][0]
         last = [x[-1:] for x in held]
     if last is not None:
-        yield chain(*held[:3])
+        yield chain(*held[:4])
         yield made(last[2], [1], [[part], last[0], last[1]])
 
 
 def candidates(spark: SparkSession, prints: DataFrame, classes: DataFrame) -> DataFrame:
     """Edges (a, b) of a graph in which all sets that share a leading element and may be alike are connected.
 
-    prints has the leading elements of each set in order (keys), classes one row a set (fp).
+    prints has the leading elements of each set in order (keys), classes one row a set (fp). Where
+    classes has near, sets of equal near are connected already and are not connected again.
     """
+    near = "near" if "near" in classes.columns else F.col("fp").alias("near")
 
     def dealt(rows: DataFrame) -> DataFrame:
         return rows.repartitionByRange(partitions(spark), "key", "size", "fp").sortWithinPartitions("key", "size", "fp")
 
     keyed = prints.select(F.posexplode("keys").alias("at", "key"), (F.shiftleft(F.col("size").cast("long"), 32) + F.col("at")).alias("size"), "fp").drop("at")
     shared = materialise(dealt(keyed).mapInArrow(frugal(_shared), "key long, size long, fp long"), "shared")
-    with_sketch = materialise(shared.join(classes.select("fp", "sketch"), "fp").select("key", "size", "fp", "sketch"), "sketches")
+    with_sketch = materialise(shared.join(classes.select("fp", near, "sketch"), "fp").select("key", "size", "fp", "near", "sketch"), "sketches")
     found = materialise(dealt(with_sketch).mapInArrow(frugal(_paired), CHAINED), "candidates")
     ends = sorted((r["part"], r["b"], r["key"], r["size"], r["a"]) for r in found.filter("part is not null").collect())  # two a part
     over = [(x[4], y[4]) for x, y in zip(ends[1::2], ends[2::2]) if x[2] == y[2] and x[4] != y[4] and 5 * (x[3] >> 32) >= 4 * (y[3] >> 32)]
@@ -404,7 +427,8 @@ def _large(spark: SparkSession, rows: DataFrame, members: DataFrame, order) -> D
 def near_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, fingerprint (of its set of shingles), component_id, stays, and its file and row.
 
-    Links are pairs with a Jaccard similarity of at least 4/5; texts without words are equal.
+    Links are pairs with a Jaccard similarity of at least 4/5, found by SimHash or, where its
+    fingerprints differ in more than DISTANCE bits, by leading elements; texts without words are equal.
     One row of each component stays, chosen as by simhash.near_duplicates.
     """
     docs = in_files(docs)
@@ -412,8 +436,10 @@ def near_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     order = spark.sparkContext.broadcast(common_order(rows, BINS))
     prints = materialise(rows.mapInArrow(frugal(_prints(order)), PRINTS), "shingles")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "file", "row")).alias("first")
-    classes = materialise(prints.groupBy("fp").agg(first, F.count("*").alias("n"), F.first("size").alias("size"), F.first("sketch").alias("sketch")), "classes")
-    maybe = components(candidates(spark, prints, classes))
+    classes = materialise(prints.groupBy("fp").agg(first, F.count("*").alias("n"), F.first("sim").alias("sim"), F.first("size").alias("size"), F.first("sketch").alias("sketch")), "classes")
+    near = by_simhash(spark, classes)
+    more = candidates(spark, prints, classes.select("fp", "sketch").join(near, "fp"))
+    maybe = components(near.filter("fp <> near").select(F.col("fp").alias("a"), F.col("near").alias("b")).union(more))
     sums = maybe.join(classes.select("fp", "size"), maybe["v"] == F.col("fp")).groupBy("label").agg(F.count("*").alias("n"), F.sum("size").alias("all"))
     blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("all") / BLOCK_SHINGLES)).cast("int").alias("blocks")
     named = join_by_key(maybe, sums.select("label", "n", blocks), "label", "n", classes.count()).select("label", "v", "blocks")
@@ -424,4 +450,4 @@ def near_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     large = members.filter("blocks > 1")
     if not large.isEmpty():
         edges = edges.union(_large(spark, rows, large, order))
-    return kept_rows(prints, classes.drop("size", "sketch"), components(edges))
+    return kept_rows(prints, classes.drop("sim", "size", "sketch"), components(edges))

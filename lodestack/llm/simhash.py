@@ -10,7 +10,7 @@ they are few, else from label propagation with pointer jumping.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -45,10 +45,15 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = len(words) - shingle + 1
-    ones = np.zeros(64, np.int64)
     a, b = starts[:n].tolist(), ends[shingle - 1 :].tolist()
-    for i in range(0, n, 65536):
-        h = np.array([digest(joined[x:y], SEED) for x, y in zip(a[i : i + 65536], b[i : i + 65536])], "<u8")
+    parts = (np.array([digest(joined[x:y], SEED) for x, y in zip(a[i : i + 65536], b[i : i + 65536])], "<u8") for i in range(0, n, 65536))
+    return majority(parts, n)
+
+
+def majority(parts: Iterable[np.ndarray], n: int) -> int:
+    """Bits set in over half of n values of 64 bits, which come in parts."""
+    ones = np.zeros(64, np.int64)
+    for h in parts:
         ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
     return int(sum(1 << k for k in np.flatnonzero(2 * ones > n).tolist()))
 

@@ -290,6 +290,33 @@ def test_stage_drops_copies_that_short_fingerprints_miss(spark, tmp_path):
     assert kept == set(slow_copies(rows))
 
 
+def test_simhash_links_are_candidates_and_are_compared(spark, monkeypatch, tmp_path):
+    """SimHash is a step of the stage: without other candidates its links, and no others, are found, and those that are less alike go."""
+    import corpus_pipeline
+
+    rows = edited_rows()
+    sets, fps = [slow_shingles(r[1]) for r in rows], [near_copies.shingles(r[1]) for r in rows]
+    sims = [simhash.majority([x], len(x)) for x in fps]
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if (sims[i] ^ sims[j]).bit_count() <= near_copies.DISTANCE]
+    part = list(range(len(rows)))
+    for i, j in pairs:
+        part = [part[j] if p == part[i] else p for p in part]
+    prints = spark.createDataFrame([(i, s - (s >> 63 << 64)) for i, s in enumerate(sims)], "fp long, sim long")
+    near = {r["fp"]: r["near"] for r in near_copies.by_simhash(spark, prints).collect()}
+    assert near == {i: min(k for k, q in enumerate(part) if q == p) for i, p in enumerate(part)}
+    assert any(not slow_alike(sets[i], sets[j]) for i, j in pairs) and any(slow_alike(sets[i], sets[j]) and sets[i] != sets[j] for i, j in pairs)
+    monkeypatch.setattr(near_copies, "candidates", lambda spark, prints, classes: spark.createDataFrame([], "a long, b long"))
+    want = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if part[i] == part[j] and slow_alike(sets[i], sets[j]):
+                want = [want[j] if p == want[i] else p for p in want]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.near_deduplication(spark, docs, str(tmp_path)).collect()}
+    assert kept == {min(r[0] for r, p in zip(rows, want) if p == q) for q in want}
+    assert len(kept) < len(rows)
+
+
 def test_near_copies_of_odd_rows(spark, odd, odd_rows, empty):
     got = Counter((r["doc_id"], r["component_id"]) for r in near_copies.near_copies(spark, odd).collect())
     assert got == Counter((r[0], c) for r, c in zip(odd_rows, slow_copies(odd_rows)))
