@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import re
 import shutil
 import threading
 import uuid
-from collections.abc import Iterable
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from pathlib import Path
 from typing import Any
+from urllib.parse import unquote
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +35,10 @@ ARCHIVES = ("zip", "7z")
 SEVERAL = ("gpkg", "sqlite", "xlsx", "xls", "ods", "spreadsheetml")
 #: Files that are migrated at once.
 WORKERS = 4
+#: Files of at most so many bytes go together, at most so many of one kind and header in a job.
+SMALL, TOGETHER = 1 << 20, 2000
+#: The settings for the tasks that look up the paths of a job (else one a path), and for what a small file counts in a task.
+LISTING, OPENING = "spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.files.openCostInBytes"
 # Folders that have jobs of their own, and kinds of files that can go side by side.
 HANDLED = (
     "territoire-geospatial/cadastre/batiments/base-donnees-nationale", "territoire-geospatial/cadastre/batiments/imope", "socio-economie/equipements/accessibilite/localisation-acces-population",
@@ -180,16 +189,23 @@ def _facts(marker: dict[str, Any]) -> dict[str, Any]:
     return {"rows": marker["rows"], "bytes": marker["parquet_bytes"]}
 
 
+def _partial_of(target: Path) -> Path:
+    return target.with_name(re.sub(r"\.parquet$", "", target.name) + ".partial.parquet")
+
+
 def _partial(rows: DataFrame, target: Path, who: dict[str, Any], error: str) -> dict[str, Any]:
     """Commit what could be read as `*.partial.parquet`, with a sidecar that tells why."""
-    part = target.with_name(re.sub(r"\.parquet$", "", target.name) + ".partial.parquet")
+    part = _partial_of(target)
     if commit.is_complete(part, who):
         return {"status": "partial", "output": str(part), **_facts(commit.read_marker(part))}
     shutil.rmtree(part, ignore_errors=True)  # of an earlier version of the source
     good = rows.filter("error is null").select("json")
     if good.isEmpty():
         return {}
-    marker = commit.commit(good, part, who, extra={"partial": True})
+    return _sidecar(commit.commit(good, part, who, extra={"partial": True}), part, who, error)
+
+
+def _sidecar(marker: dict[str, Any], part: Path, who: dict[str, Any], error: str) -> dict[str, Any]:
     atomic_json(part.with_suffix(".json"), {"status": "partial", "source": who, "output": str(part), "rows_recovered": marker["rows"], "error": error, "created_at": utc_now()})
     return {"status": "partial", "output": str(part), **_facts(marker)}
 
@@ -227,10 +243,135 @@ def _archive(spark: SparkSession, path: str, target: Path, who: dict[str, Any],
     return {"status": "done", "rows": rows, "members": counts}
 
 
+def shaped(files: DataFrame, output: str | Path) -> DataFrame:
+    """files with shape: of small files that can be read together, what they must have in common (JSON text), else null. Tasks read the beginnings."""
+    columns = ["path", "relative", "bytes", "kind", "output"]
+
+    def shape(path: str, size: int, kind: str, target: str) -> str | None:
+        if size > SMALL or re.search(r"[\[\]{}*?\\]", path) or Path(output, target).exists():
+            return None
+        try:
+            if kind in ("json", "json.gz"):
+                return json.dumps([kind]) if jsonfiles.layout(path, kind.endswith(".gz")) == "array" else None
+            if kind not in ("csv", "tsv", "csv.gz"):
+                return None
+            header, delimiter = delimited.dialect(path, kind.endswith(".gz"))
+        except Exception:  # said by the file's own migration
+            return None
+        plain_names = all(c.strip() and not re.search(r"[`,;{}()\n\r\t=]", c) and not c.startswith("_lodestack") for c in header)
+        return json.dumps([kind, delimiter, *header]) if header and plain_names and len({c.lower() for c in header}) == len(header) else None
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shapes = [shape(p, b, k, o) for p, b, k, o in zip(*(batch.column(c).to_pylist() for c in ("path", "bytes", "kind", "output")))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shapes, pa.string())], [*batch.schema.names, "shape"])
+
+    return files.select(*columns).mapInArrow(look, "path string, relative string, bytes long, kind string, output string, shape string")
+
+
+OUTCOME = "path string, outcome string"
+
+
+def _outcomes(found: Iterable[tuple[str, dict[str, Any]]]) -> Iterator[pa.RecordBatch]:
+    for path, outcome in found:
+        yield pa.RecordBatch.from_arrays([[path], [json.dumps(outcome)]], ["path", "outcome"])
+
+
+def _plain_path(uri: str) -> str:
+    return re.sub("^file:(//)?", "", uri)
+
+
+def _committing(targets: dict[str, str], extra: dict[str, Any], skip: int):
+    """Writes each file's rows, which follow each other, as its dataset: columns FILE, BAD, then the data from column `skip` on (a column `none` marks no row)."""
+
+    def done(path: str, held: list[pa.RecordBatch], bad: bool) -> Iterator[tuple[str, dict[str, Any]]]:
+        if path in targets and bad:
+            yield path, {"status": "bad"}
+        elif path in targets:
+            who = identity(path)
+            marker = commit.read_marker(targets[path]) if commit.is_complete(targets[path], who) else commit.commit_table(pa.Table.from_batches(held), targets[path], who, extra=extra)
+            yield path, {"status": "done", "representation": extra["representation"], **_facts(marker)}
+
+    def files(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, dict[str, Any]]]:
+        path, held, bad = None, [], False
+        for batch in batches:
+            names_, flags = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            cuts = [0, *(i for i in range(1, len(names_)) if names_[i] != names_[i - 1]), len(names_)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if (here := unquote(_plain_path(names_[a]))) != path:
+                    if path is not None:
+                        yield from done(path, held, bad)
+                    path, held, bad = here, [], False
+                part = batch.slice(a, b - a)
+                bad = bad or any(flags[a:b])
+                if skip > 2 and not bad:
+                    part = part.filter(pa.array([not x for x in part.column(2).to_pylist()]))
+                held.append(pa.RecordBatch.from_arrays(part.columns[skip:], part.schema.names[skip:]))
+        if path is not None:
+            yield from done(path, held, bad)
+
+    return lambda batches: _outcomes(files(batches))
+
+
+def _salvaging(targets: dict[str, str], error: str):
+    """What can be saved of cut JSON files, as _partial does."""
+
+    def files(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, dict[str, Any]]]:
+        for batch in batches:
+            for uri, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                path = _plain_path(uri)
+                if path not in targets:
+                    continue
+                part, who = _partial_of(Path(targets[path])), identity(path)
+                items, _ = jsonfiles.salvaged(path, data)
+                outcome = {"status": "failed", "error": error}
+                if commit.is_complete(part, who):
+                    outcome |= {"status": "partial", "output": str(part), **_facts(commit.read_marker(part))}
+                elif items:
+                    shutil.rmtree(part, ignore_errors=True)  # of an earlier version of the source
+                    outcome |= _sidecar(commit.commit_table(pa.table({"json": pa.array(items, pa.string())}), part, who, extra={"partial": True}), part, who, error)
+                yield path, outcome
+
+    return lambda batches: _outcomes(files(batches))
+
+
+def migrate_together(spark: SparkSession, files: list, shape: str, output: str | Path, log: Path, alone) -> Counter:
+    """Migrate small files of one shape in one job, whose tasks commit a file each after the other; counts by status.
+
+    The readers are those of single files. Files that it can't settle go to alone(file); if the job fails, its halves are tried.
+    """
+    kind, *rest = json.loads(shape)
+    targets = {f["path"]: str(Path(output, f["output"])) for f in files}
+    try:
+        if kind.startswith("json"):
+            extra, rows, skip = {"kind": kind, "representation": "lossless-json-text"}, jsonfiles.read_arrays(spark, list(targets)), 3
+        else:
+            extra, rows, skip = {"kind": kind, "representation": "csv"}, delimited.read_strings_of(spark, list(targets), rest[1:], rest[0]), 2
+        found = {r["path"]: json.loads(r["outcome"]) for r in rows.mapInArrow(_committing(targets, extra, skip), OUTCOME).collect()}
+        bad = [p for p, x in found.items() if x["status"] == "bad"]
+        if kind.startswith("json") and bad:
+            content = spark.read.format("binaryFile").load(bad).select("path", "content")
+            found |= {r["path"]: json.loads(r["outcome"]) for r in content.mapInArrow(_salvaging({p: targets[p] for p in bad}, "ValueError: not a whole JSON array"), OUTCOME).collect()}
+    except Exception:
+        if len(files) <= 8:
+            return Counter(map(alone, files))
+        half = len(files) // 2
+        return migrate_together(spark, files[:half], shape, output, log, alone) + migrate_together(spark, files[half:], shape, output, log, alone)
+    settled = {p: x for p, x in found.items() if x["status"] != "bad"}
+    records = [{"time": utc_now(), "source": p, "output": targets[p], "kind": kind, **x} for p, x in settled.items()]
+    if records:
+        with _LOGGING:
+            append_jsonl(log, *records)
+    return Counter(r["status"] for r in records) + Counter(alone(f) for f in files if f["path"] not in settled)
+
+
 def run(spark: SparkSession, root: str, output: str | Path, log: str | Path, handled: Iterable[str] = HANDLED, kinds: Iterable[str] | None = None, only: DataFrame | None = None, workers: int = WORKERS, floor: int | None = None) -> dict[str, int]:
     """Migrate all files below root (or those that only names by `source`); counts by status.
 
-    Colliding outputs raise before anything is written. Files that may go side by side do, at
+    Colliding outputs raise before anything is written. Small delimited files of one header, and small JSON
+    arrays, are migrated many in a job (migrate_together). Other files that may go side by side do, at
     most `workers` at once, each in jobs of its own: what fails is logged for that file and the others
     go on. With floor, so many bytes must stay free on the output's disk before a file is begun.
     """
@@ -239,36 +380,78 @@ def run(spark: SparkSession, root: str, output: str | Path, log: str | Path, han
         files = files.filter(F.col("kind").isin(list(kinds)))
     if only is not None:
         files = files.join(only.select(F.col("source").alias("path")), "path", "left_semi")
+    output = Path(output)
+    listed = output.with_name(f".{output.name}.{uuid.uuid4().hex}.listing")  # beside the output, where executors see it
+    try:
+        with _settings(spark, LISTING, str(2 * spark.sparkContext.defaultParallelism)):
+            found = shaped(files, output)
+            with _settings(spark, OPENING, "131072"):
+                found.write.parquet(str(listed))  # files are listed once; what is migrated meanwhile doesn't change it
+            return _migrated(spark, spark.read.schema(found.schema).parquet(str(listed)), output, Path(log), workers, floor)
+    finally:
+        shutil.rmtree(listed, ignore_errors=True)
+
+
+@contextmanager
+def _settings(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the time of a block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def _migrated(spark: SparkSession, files: DataFrame, output: Path, log: Path, workers: int, floor: int | None) -> dict[str, int]:
+    """Migrate shaped files: small ones of one shape together, others that may go side by side one by one, then the rest."""
     _, clash = preflight(files)
     if found := clash.take(1):
         raise commit.CommitError(f"several files would become {found[0]['output']}: {found[0]['paths']}")
 
     def one(f) -> str:
         if floor is not None:
-            Path(output).mkdir(parents=True, exist_ok=True)
+            output.mkdir(parents=True, exist_ok=True)
             commit.free_space(output, f["bytes"], f["kind"].endswith(".gz"), floor)
-        return migrate_file(spark, f["path"], f["kind"], Path(output, f["output"]), Path(log))["status"]
+        return migrate_file(spark, f["path"], f["kind"], output / f["output"], log)["status"]
 
-    counts: dict[str, int] = {}
-    alone = []
-
-    def beside(f) -> bool:
-        if side_by_side(f["path"], f["kind"]):
-            return True
-        alone.append(f)
-        return False
+    def several(part: list, shape: str | None) -> Counter:
+        if shape is None or len(part) == 1:
+            return Counter(map(one, part))
+        if floor is not None:
+            output.mkdir(parents=True, exist_ok=True)
+            commit.free_space(output, sum(f["bytes"] for f in part), part[0]["kind"].endswith(".gz"), floor)
+        return migrate_together(spark, part, shape, output, log, one)
+
+    counts: Counter = Counter()
+    alone: list = []
+
+    def portions() -> Iterator[tuple[list, str | None]]:
+        """Small files of one shape together, others that may go side by side one by one."""
+        part: list = []
+        for f in files.orderBy("shape", "relative").toLocalIterator():
+            if part and (f["shape"] != part[0]["shape"] or len(part) == TOGETHER):
+                yield part, part[0]["shape"]
+                part = []
+            if f["shape"] is not None:
+                part.append(f)
+            elif side_by_side(f["path"], f["kind"]):
+                yield [f], None
+            else:
+                alone.append(f)
+        if part:
+            yield part, part[0]["shape"]
 
     with ThreadPoolExecutor(max(1, workers)) as pool:
         waiting: list = []
-        for f in filter(beside, files.orderBy("relative").toLocalIterator()):
-            waiting.append(pool.submit(one, f))
+        for part, shape in portions():
+            waiting.append(pool.submit(several, part, shape))
             if len(waiting) > 4 * workers:
-                status = waiting.pop(0).result()
-                counts[status] = counts.get(status, 0) + 1
-        statuses = [w.result() for w in waiting]
-    for status in (*statuses, *map(one, alone)):
-        counts[status] = counts.get(status, 0) + 1
-    return counts
+                counts += waiting.pop(0).result()
+        for w in waiting:
+            counts += w.result()
+    counts += Counter(map(one, alone))
+    return dict(counts)
 
 
 def stable_output(path) -> Any:

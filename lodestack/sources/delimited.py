@@ -17,6 +17,13 @@ from lodestack.functions.jsontext import null_token
 from lodestack.sources.files import encoding_of, head
 
 SAMPLE = 256 << 10
+#: How Spark reads records as strings, and the columns that come before those of many files.
+STRINGS = {"header": "true", "multiLine": "true", "escape": '"', "encoding": "UTF-8"}
+FILE, BAD = "_lodestack_file", "_lodestack_bad"
+
+
+def _strings(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in names])
 
 
 def dialect(path: str, gzipped: bool = False) -> tuple[list[str], str]:
@@ -36,12 +43,16 @@ def read_strings(spark: SparkSession, path: str, delimiter: str | None = None, g
     header, found = dialect(path, gzipped)
     if not header:
         raise ValueError(f"no header in {path}")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    options = {"header": "true", "multiLine": "true", "sep": delimiter or found, "escape": '"', "mode": "FAILFAST", "encoding": "UTF-8"}
-    raw = spark.read.schema(schema).options(**options).csv(path)
+    raw = spark.read.schema(_strings(header)).options(**STRINGS, sep=delimiter or found, mode="FAILFAST").csv(path)
     return raw.select(*[null_token(F.col(f"`{c}`")).alias(c) for c in header])
 
 
+def read_strings_of(spark: SparkSession, paths: list[str], header: list[str], delimiter: str) -> DataFrame:
+    """Rows of files with one header, as read_strings gives them: first FILE and BAD (the row doesn't fit the header), then the columns."""
+    raw = spark.read.schema(_strings([*header, BAD])).options(**STRINGS, sep=delimiter, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD).csv(paths)
+    return raw.select(F.col("_metadata.file_path").alias(FILE), F.col(BAD).isNotNull().alias(BAD), *[null_token(F.col(f"`{c}`")).alias(c) for c in header])
+
+
 def read_inferred(spark: SparkSession, path: str, delimiter: str | None = None) -> DataFrame:
     """Types inferred from the values."""
     _, found = dialect(path)

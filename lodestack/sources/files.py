@@ -54,11 +54,11 @@ def atomic_json(path: str | Path, value: Any) -> None:
     write_atomically(path, (json.dumps(value, ensure_ascii=False, indent=2) + "\n").encode())
 
 
-def append_jsonl(path: str | Path, record: dict[str, Any]) -> None:
-    """Append one record and wait until it is on disk."""
+def append_jsonl(path: str | Path, *records: dict[str, Any]) -> None:
+    """Append records and wait until they are on disk."""
     Path(path).parent.mkdir(parents=True, exist_ok=True)
     with open(path, "a", encoding="utf-8") as f:
-        f.write(json.dumps(record, ensure_ascii=False, separators=(",", ":")) + "\n")
+        f.writelines(json.dumps(r, ensure_ascii=False, separators=(",", ":")) + "\n" for r in records)
         f.flush()
         os.fsync(f.fileno())
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestack.functions import jsontext, sniff
+from lodestack.sources.delimited import BAD, FILE
 from lodestack.sources.files import encoding_of, head
 
 
@@ -32,8 +33,8 @@ def layout(path: str, gzipped: bool = False) -> str:
     return "lines" if len(first) > 1 and first[1].strip().startswith("{") else "object"
 
 
-def _whole(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path, wholetext=True).select(F.regexp_replace("value", "^﻿", "").alias("value"))
+def _whole(spark: SparkSession, path: str | list[str], *more) -> DataFrame:
+    return spark.read.text(path, wholetext=True).select(*more, F.regexp_replace("value", "^﻿", "").alias("value"))
 
 
 def read_array(spark: SparkSession, path: str) -> DataFrame:
@@ -43,6 +44,13 @@ def read_array(spark: SparkSession, path: str) -> DataFrame:
     return _whole(spark, path).select(F.explode(good).alias("item")).select(F.when(F.col("item") != "null", F.col("item")).alias("json"))
 
 
+def read_arrays(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Items of many files as read_array gives them: FILE, BAD (the file isn't a whole array), none (an array without items), json."""
+    rows = _whole(spark, paths, F.col("_metadata.file_path").alias(FILE)).select(FILE, jsontext.items(F.col("value")).alias("items"))
+    found = rows.select(FILE, F.col("items").isNull().alias(BAD), (F.size("items") < 1).alias("none"), F.explode_outer("items").alias("item"))
+    return found.select(FILE, BAD, "none", F.when(F.col("item") != "null", F.col("item")).alias("json"))
+
+
 def read_object(spark: SparkSession, path: str) -> DataFrame:
     """key, kind, item_index, json of a JSON object's members."""
     return jsontext.members(_whole(spark, path), "value")
@@ -63,6 +71,30 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     return _whole(spark, path).select(F.explode(good).alias("feature_json"))
 
 
+def salvaged(name: str, data: bytes, key: str | None = None) -> tuple[list[str], str | None]:
+    """Items of a file's array (or of the array under key) up to where the text breaks, and what is wrong there."""
+    decoder = json.JSONDecoder()
+    raw = gzip.decompress(data) if name.endswith(".gz") else data
+    text = raw.decode(encoding_of(raw[: 1 << 20]), "replace").lstrip("\ufeff")
+    items: list[str] = []
+    at = text.find(f'"{key}"') + len(key) + 2 if key else 0
+    at = text.find("[", at) + 1
+    try:
+        if not at:
+            raise ValueError("no array")
+        while True:
+            while at < len(text) and text[at] in " \t\r\n,":
+                at += 1
+            if at >= len(text):
+                raise ValueError("the text ends within the array")
+            if text[at] == "]":
+                return items, None
+            value, at = decoder.raw_decode(text, at)
+            items.append(json.dumps(value, ensure_ascii=False, separators=(",", ":")))
+    except ValueError as e:
+        return items, str(e)
+
+
 def salvage(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
     """json, error: items of an array (or of the array under key) up to where the text breaks.
 
@@ -71,32 +103,12 @@ def salvage(spark: SparkSession, path: str, key: str | None = None) -> DataFrame
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = json.JSONDecoder()
         for batch in batches:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                raw = gzip.decompress(data) if name.endswith(".gz") else data
-                text = raw.decode(encoding_of(raw[: 1 << 20]), "replace").lstrip("﻿")
-                items, error = [], None
-                at = text.find(f'"{key}"') + len(key) + 2 if key else 0
-                at = text.find("[", at) + 1
-                try:
-                    if not at:
-                        raise ValueError("no array")
-                    while True:
-                        while at < len(text) and text[at] in " \t\r\n,":
-                            at += 1
-                        if at >= len(text):
-                            raise ValueError("the text ends within the array")
-                        if text[at] == "]":
-                            break
-                        value, at = decoder.raw_decode(text, at)
-                        items.append(json.dumps(value, ensure_ascii=False, separators=(",", ":")))
-                except ValueError as e:
-                    error = str(e)
+                items, error = salvaged(name, data, key)
                 errors = [None] * len(items)
                 if error is not None:
-                    items.append(None)
-                    errors.append(error)
+                    items, errors = [*items, None], [*errors, error]
                 yield pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(errors, pa.string())], ["json", "error"])
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")

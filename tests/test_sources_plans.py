@@ -346,6 +346,62 @@ def test_migrate_and_retry(spark, tmp_path):
     assert [r["source"] for r in queue] == [str(raw / "e.rar")]
 
 
+def test_small_files_migrate_together(spark, tmp_path, monkeypatch):
+    """Many small files take a few jobs, not some each; outputs and log are those of files that are migrated alone."""
+    import gzip
+
+    raw = tmp_path / "raw"
+    (raw / "é %41 b").mkdir(parents=True)
+    texts = {f"p{i}.csv": f"x,y\n{i},b\n" for i in range(40)} | {f"q{i}.json": f'[{i}, {{"a": 1.50}}, null]' for i in range(40)} | {f"r{i}.json": "[" for i in range(6)}
+    texts |= {
+        "é %41 b/a.csv": 'x,y\n"1\n2",null\nNULL,"a ""b"""\n', "head.csv": "x,y\n", "ragged.csv": "x,y\n1\n", "long.csv": "x,y\n1,2,3\n", "blank.csv": "x,y\n\n 1 ,\n\n", "bom.csv": "\ufeffx,y\r\n1,2\r\n", "odd.csv": "x,X\n1,2\n", "[z].csv": "x,y\n7,8\n",
+        "none.json": "[]", "cut.json": '[1, {"a": 2}, [', "nested.json": ' [ [1, 2] , "t\\u00e9" ]\n', "tail.json": "[1] x", "lines.json": '{"a": 1}\n{"a": 2}\n', "t1.tsv": "x\ty\n1\t2\n", "t2.tsv": "x\ty\n3\t\n",
+    }
+    for name, text in texts.items():
+        (raw / name).write_text(text)
+    for i in range(3):
+        (raw / f"g{i}.csv.gz").write_bytes(gzip.compress(b"x,y\n5,6\n"))
+        (raw / f"g{i}.json.gz").write_bytes(gzip.compress(b"[1, 2]" if i else b"[1, 2"))
+
+    def state(out, log):
+        records = {r["source"].split("raw/")[1]: (r["status"], r["rows"], r["kind"], r["output"].removeprefix(str(out))) for r in catalogs.read_logs(spark, str(log)).collect()}
+        tables = {}
+        for marker in out.rglob("_SUCCESS.json"):
+            df = spark.read.parquet(str(marker.parent))
+            told = json.loads(marker.read_text())
+            tables[str(marker.parent.relative_to(out))] = (df.dtypes, sorted(map(str, df.collect())), told["rows"], told["parts"], told["source"], told.get("representation"))
+        return records, tables, sorted(str(p.relative_to(out)) for p in out.rglob("*.partial.json"))
+
+    single = []
+    migrated = migrate.migrate_file
+    monkeypatch.setattr(migrate, "migrate_file", lambda *a, **b: single.append(a[1]) or migrated(*a, **b))
+    together = migrate.run(spark, str(raw), tmp_path / "a", tmp_path / "a.jsonl")
+    assert len(single) < 16
+    got = state(tmp_path / "a", tmp_path / "a.jsonl")
+    monkeypatch.setattr(migrate, "SMALL", -1)
+    assert migrate.run(spark, str(raw), tmp_path / "b", tmp_path / "b.jsonl") == together
+    for x, y in zip(got, state(tmp_path / "b", tmp_path / "b.jsonl")):
+        assert x == y
+    assert len(got[0]) == len(texts) + 6 and not list((tmp_path / "a").rglob("*.staging"))
+
+
+def test_a_failing_job_is_halved(spark, tmp_path, monkeypatch):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for i in range(20):
+        (raw / f"{i}.csv").write_text("x,y\n1,2\n")
+    together = migrate.delimited.read_strings_of
+
+    def read(spark, paths, header, delimiter):
+        if any(p.endswith("/13.csv") for p in paths):
+            raise RuntimeError("unreadable")
+        return together(spark, paths, header, delimiter)
+
+    monkeypatch.setattr(migrate.delimited, "read_strings_of", read)
+    assert migrate.run(spark, str(raw), tmp_path / "out", tmp_path / "log.jsonl") == {"done": 20}
+    assert spark.read.parquet(*map(str, (tmp_path / "out").iterdir())).count() == 20
+
+
 def test_migrate_layers_and_sheets(spark, tmp_path):
     """One dataset a layer with typed attributes, one a sheet of strings; a Parquet file byte for byte."""
     raw = tmp_path / "raw"
